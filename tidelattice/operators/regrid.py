@@ -140,26 +140,36 @@ def radius_pairs(
     return pairs.withColumn("rank", F.row_number().over(nearest_first)).filter(F.col("rank") <= cap)
 
 
-def nearest_pairs(source: DataFrame, target: DataFrame, longest: float, carry: Sequence[str] = (), **options) -> DataFrame:
-    """JN-2: the one nearest source within whole metres of `longest`."""
+def nearest_pairs(
+    source: DataFrame, target: DataFrame, longest: float, carry: Sequence[str] = (), group: Sequence[str] = (), **options
+) -> DataFrame:
+    """JN-2: the one nearest source within whole metres of `longest`, per target and group."""
     limit = float(math.floor(longest))
-    pairs = pairs_within(source, target, F.lit(limit), limit, carry=carry, **options)
+    pairs = pairs_within(source, target, F.lit(limit), limit, carry=[*carry, *group], **options)
     best = F.struct("dist", "source_id", *carry)
-    return pairs.groupBy("target_id").agg(F.min(best).alias("_best")).select("target_id", "_best.*")
+    return pairs.groupBy("target_id", *group).agg(F.min(best).alias("_best")).select("target_id", *group, "_best.*")
 
 
 def mapping_edges(
-    source: DataFrame, target: DataFrame, shortest: float, longest: float, neighbours: int | None = 100, **options
+    source: DataFrame,
+    target: DataFrame,
+    shortest: float,
+    longest: float,
+    neighbours: int | None = 100,
+    group: Sequence[str] = (),
+    **options,
 ) -> DataFrame:
-    """Mapping factors as rows (target_id, source_id, dist, is_fallback).
+    """Mapping factors as rows (target_id, …group, source_id, dist, is_fallback).
 
     A fallback edge exists only for a target with no source in its radius.
+    `group` holds columns such as the level, whose sources differ.
     """
-    inside = radius_pairs(source, target, shortest, neighbours, **options).select("target_id", "source_id", "dist")
-    empty = target.join(inside.select("target_id"), "target_id", "left_anti")
-    fallback = nearest_pairs(source, empty, longest, **options)
+    keys = ["target_id", *group]
+    inside = radius_pairs(source, target, shortest, neighbours, group=group, **options).select(*keys, "source_id", "dist")
+    nearest = nearest_pairs(source, target, longest, group=group, **options)
+    fallback = nearest.join(inside.select(*keys), keys, "left_anti")
     return inside.withColumn("is_fallback", F.lit(False)).unionByName(
-        fallback.select("target_id", "source_id", "dist", F.lit(True).alias("is_fallback"))
+        fallback.select(*keys, "source_id", "dist", F.lit(True).alias("is_fallback"))
     )
 
 

@@ -1,4 +1,4 @@
 """Importing this module registers every query."""
 
-from . import regridding  # noqa: F401
+from . import regridding, scalars  # noqa: F401
 from .registry import QUERIES, SQL  # noqa: F401

@@ -25,6 +25,13 @@ FROM (SELECT CAST(g // 325 AS INTEGER) AS k, CAST((g // 25) % 13 AS INTEGER) AS
       FROM range(650) r(g))
 """
 
+FRAMES["native"] = """
+SELECT g.*, CAST(g.tile * 25 + g.j * 5 + g.i AS BIGINT) AS source_id,
+       CAST((g.tile * 28 + g.i * 7) % 360 AS DOUBLE) - CAST(180 AS DOUBLE) AS lon,
+       CAST(g.j * 36 - 80 + g.tile AS DOUBLE) AS lat
+FROM gridmask g SEMI JOIN field f ON g.k = f.k AND g.tile = f.tile AND g.j = f.j AND g.i = f.i
+"""
+
 FRAMES["cells"] = """
 SELECT tile, j, i,
        (CAST(tile * 30 AS DOUBLE) + CAST(i AS DOUBLE) / CAST(3 AS DOUBLE)) % CAST(360 AS DOUBLE) - CAST(180 AS DOUBLE) AS xc,
@@ -80,6 +87,35 @@ FRAMES["nearest400"] = """
 SELECT * FROM near WHERE dist <= CAST(400000 AS DOUBLE)
 """
 
+# Every (target, native cell) pair within 800 km, all levels.
+FRAMES["nearcell"] = """
+SELECT * FROM (
+  SELECT t.target_id, t.radius, o.source_id, o.k, o.hfac,
+         CAST(12742017.6 AS DOUBLE) * asin(least(CAST(1 AS DOUBLE), sqrt(
+             sin(radians(t.lat - o.lat) / CAST(2 AS DOUBLE)) * sin(radians(t.lat - o.lat) / CAST(2 AS DOUBLE))
+             + cos(radians(o.lat)) * cos(radians(t.lat))
+               * sin(radians(t.lon - o.lon) / CAST(2 AS DOUBLE)) * sin(radians(t.lon - o.lon) / CAST(2 AS DOUBLE))))) AS dist
+  FROM target t JOIN native o ON abs(t.lat - o.lat) <= CAST(8 AS DOUBLE))
+WHERE dist <= CAST(800000 AS DOUBLE)
+"""
+
+# Mapping factors of wet native cells: inside the radius, else the nearest within 800 km.
+FRAMES["edges"] = """
+SELECT target_id, k, source_id, dist, false AS is_fallback FROM nearcell
+WHERE hfac > 0 AND dist <= radius AND dist <= (SELECT floor(max(radius)) FROM target)
+UNION ALL
+SELECT target_id, k, source_id, dist, true FROM (
+  SELECT *, row_number() OVER (PARTITION BY target_id, k ORDER BY dist, source_id) AS rn,
+         count_if(dist <= radius AND dist <= (SELECT floor(max(radius)) FROM target)) OVER (PARTITION BY target_id, k) AS n_in
+  FROM nearcell WHERE hfac > 0) WHERE rn = 1 AND n_in = 0
+"""
+
+# Land mask of the target grid: the nearest native cell of the level is wet.
+FRAMES["landmask"] = """
+SELECT target_id, k, hfac > 0 AS wet FROM (
+  SELECT *, row_number() OVER (PARTITION BY target_id, k ORDER BY dist, source_id) AS rn FROM nearcell) WHERE rn = 1
+"""
+
 FRAMES["series"] = """
 SELECT date_trunc('hour', ts) AS "time", event_type AS var, round(avg(value), 6) AS value
 FROM events GROUP BY date_trunc('hour', ts), event_type

@@ -75,6 +75,17 @@ class Tables:
             ((tile + j + i * 2 + k) % 6 != 0).alias("masks"),
         )
 
+    def native_grid(self) -> DataFrame:
+        """Grid dimension with positions, for the cells that occur in the field."""
+        tile, j, i = (F.col(c) for c in ("tile", "j", "i"))
+        seen = self.field().select("k", "tile", "j", "i").distinct()
+        return self.mask().join(seen, ["k", "tile", "j", "i"], "left_semi").select(
+            "*",
+            ((tile * 25 + j * 5 + i).cast("long")).alias("source_id"),
+            (F.pmod(tile * 28 + i * 7, F.lit(360)) - 180.0).alias("lon"),
+            (j * 36.0 - 80.0 + tile).alias("lat"),
+        )
+
     def cells(self) -> DataFrame:
         """Native cells (tile, j, i, xc, yc) that occur in line items, 90 x 90 per tile."""
         li = self.table("lineitem").select(
