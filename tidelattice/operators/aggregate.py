@@ -149,9 +149,11 @@ def snapshot_interval(df: DataFrame, name: str = "short_name") -> Column:
     return F.when(F.bool_or(F.contains(F.col(name), F.lit("DAILY"))), "daily").otherwise("monthly")
 
 
-def range_audit(actual: DataFrame, old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
+def range_audit(
+    actual: DataFrame, old: DataFrame, new: DataFrame, keys: Sequence[str], also: Sequence[str] = ()
+) -> DataFrame:
     """AG-27: do the stored and the corrected range contain the values?"""
-    stored = old.select(*keys, F.col("valid_min").alias("old_min"), F.col("valid_max").alias("old_max"))
+    stored = old.select(*keys, *also, F.col("valid_min").alias("old_min"), F.col("valid_max").alias("old_max"))
     fixed = new.select(*keys, F.col("valid_min").alias("new_min"), F.col("valid_max").alias("new_max"))
     return (
         actual.join(stored, list(keys))

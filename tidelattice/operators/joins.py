@@ -51,13 +51,9 @@ def difference(a: DataFrame, b: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 def stem_and_tail(name: Column) -> Column:
     """JN-8: struct(head incl. period word, tail after the model token); an error without a period word."""
-    out = F.raise_error(F.lit("file name has no period word")).cast("struct<head:string,tail:string>")
-    for word in PERIOD_WORDS:
-        mark = f"_{word}_"
-        head = F.concat(F.substring_index(name, mark, 1), F.lit(f"_{word}"))
-        tail = F.regexp_extract(name, r"_MODEL_V1_(.*)$", 1)
-        out = F.when(F.contains(name, F.lit(mark)), F.struct(head.alias("head"), tail.alias("tail"))).otherwise(out)
-    return out
+    head = F.regexp_extract(name, rf"^(.*?_(?:{'|'.join(PERIOD_WORDS)}))_", 1)
+    checked = F.coalesce(F.nullif(head, F.lit("")), F.raise_error(F.lit("file name has no period word")).cast("string"))
+    return F.struct(checked.alias("head"), F.regexp_extract(name, r"_MODEL_V1_(.*)$", 1).alias("tail"))
 
 
 def lookup_by_name(granules: DataFrame, catalogue: DataFrame, name: str, pattern: str, first: str) -> DataFrame:

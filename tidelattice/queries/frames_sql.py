@@ -100,7 +100,7 @@ WHERE dist <= CAST(800000 AS DOUBLE)
 """
 
 # Mapping factors of wet native cells: inside the radius, else the nearest within 800 km.
-FRAMES["edges"] = """
+FRAMES["celledges"] = """
 SELECT target_id, k, source_id, dist, false AS is_fallback FROM nearcell
 WHERE hfac > 0 AND dist <= radius AND dist <= (SELECT floor(max(radius)) FROM target)
 UNION ALL

@@ -28,3 +28,8 @@ def r3(c) -> Column:
 
 def big(c) -> Column:
     return (F.col(c) if isinstance(c, str) else c).cast("long")
+
+
+def r7(c) -> Column:
+    """Means of two-decimal values: seven digits never fall on a rounding tie below 64 values."""
+    return F.round(c, 7)
