@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -21,8 +22,11 @@ from ..functions.geometry import EARTH_RADIUS, great_circle, neighbour_cap
 from ..functions.missing import mean_all_present, mean_present
 from .scale import exact_median, split_hot_keys
 
-# Target rows (after repetition over bins) that may be broadcast: about 100 bytes each.
-BROADCAST_TARGET_ROWS = 1_000_000
+# Target rows (after repetition over bins) that may be broadcast: about 60 bytes each.
+BROADCAST_TARGET_ROWS = 2_000_000
+# No cap touches more bins than this: a bin is at least as wide as the largest reach, so a
+# cap spans at most three latitude bins, and the bins that near a pole number at most nineteen.
+MOST_BINS_PER_TARGET = 60
 SMALLEST_BIN_DEGREES = 0.01
 _SLACK = 1e-9
 
@@ -70,9 +74,17 @@ def binned_targets(target: DataFrame, width: float) -> DataFrame:
     return spread_rows.withColumn("_col", F.explode(cols)).drop("_half")
 
 
-def largest_radius(target: DataFrame) -> float:
-    """One row from one aggregate: the largest cell radius of the target grid."""
-    return float(target.agg(F.max("radius")).first()[0])
+@dataclass(frozen=True)
+class GridSize:
+    """What one aggregate tells about a target grid before the plan is chosen."""
+
+    cells: int
+    widest: float
+
+    @staticmethod
+    def of(target: DataFrame) -> GridSize:
+        row = target.agg(F.count(F.lit(1)), F.max("radius")).first()
+        return GridSize(int(row[0]), float(row[1]))
 
 
 def pairs_within(
@@ -80,6 +92,7 @@ def pairs_within(
     target: DataFrame,
     reach: Column,
     widest: float,
+    size: GridSize,
     carry: Sequence[str] = (),
     broadcast_rows: int = BROADCAST_TARGET_ROWS,
     rows_per_split: int = 2_000_000,
@@ -87,8 +100,9 @@ def pairs_within(
     """All (target, source) pairs whose great-circle distance is at most the target's `reach` metres.
 
     `widest` bounds `reach` and sets the bin width.  The repeated target grid is
-    counted: up to `broadcast_rows` it is broadcast and the sources never
-    shuffle; beyond that both sides shuffle on the bin, with hot bins split.
+    bounded from its cell count, or counted when the bound is too wide: up to
+    `broadcast_rows` it is broadcast and the sources never shuffle; beyond that
+    both sides shuffle on the bin, with hot bins split.
     """
     width = max(math.degrees(widest / EARTH_RADIUS), SMALLEST_BIN_DEGREES)
     points = binned_sources(source.select("source_id", "lon", "lat", *carry), width)
@@ -99,7 +113,7 @@ def pairs_within(
         width,
     ).withColumnsRenamed({"lon": "_tlon", "lat": "_tlat"})
     keys = ["_row", "_col"]
-    if cells.count() <= broadcast_rows:
+    if size.cells * MOST_BINS_PER_TARGET <= broadcast_rows or cells.count() <= broadcast_rows:
         joined = points.join(F.broadcast(cells), keys)
     else:
         points, cells, keys = split_hot_keys(points, cells, keys, F.col("source_id"), rows_per_split)
@@ -123,6 +137,7 @@ def radius_pairs(
     neighbours: int | None = 100,
     carry: Sequence[str] = (),
     group: Sequence[str] = (),
+    size: GridSize | None = None,
     **options,
 ) -> DataFrame:
     """JN-1 / WN-2: sources within each target's radius, nearest first, with their rank.
@@ -131,8 +146,9 @@ def radius_pairs(
     kept); None keeps them all and adds no rank and no window.  The rank filter
     is applied per map task before the shuffle.
     """
-    widest = largest_radius(target)
-    pairs = pairs_within(source, target, in_reach(widest), widest, carry=[*carry, *group], **options).drop("radius")
+    size = size or GridSize.of(target)
+    widest = size.widest
+    pairs = pairs_within(source, target, in_reach(widest), widest, size, [*carry, *group], **options).drop("radius")
     if neighbours is None:
         return pairs
     cap = min(neighbours, math.ceil((2.0 * widest / shortest) ** 2))
@@ -141,11 +157,18 @@ def radius_pairs(
 
 
 def nearest_pairs(
-    source: DataFrame, target: DataFrame, longest: float, carry: Sequence[str] = (), group: Sequence[str] = (), **options
+    source: DataFrame,
+    target: DataFrame,
+    longest: float,
+    carry: Sequence[str] = (),
+    group: Sequence[str] = (),
+    size: GridSize | None = None,
+    **options,
 ) -> DataFrame:
     """JN-2: the one nearest source within whole metres of `longest`, per target and group."""
     limit = float(math.floor(longest))
-    pairs = pairs_within(source, target, F.lit(limit), limit, carry=[*carry, *group], **options)
+    size = size or GridSize.of(target)
+    pairs = pairs_within(source, target, F.lit(limit), limit, size, [*carry, *group], **options)
     best = F.struct("dist", "source_id", *carry)
     return pairs.groupBy("target_id", *group).agg(F.min(best).alias("_best")).select("target_id", *group, "_best.*")
 
@@ -165,8 +188,9 @@ def mapping_edges(
     `group` holds columns such as the level, whose sources differ.
     """
     keys = ["target_id", *group]
-    inside = radius_pairs(source, target, shortest, neighbours, group=group, **options).select(*keys, "source_id", "dist")
-    nearest = nearest_pairs(source, target, longest, group=group, **options)
+    size = GridSize.of(target)
+    inside = radius_pairs(source, target, shortest, neighbours, group=group, size=size, **options).select(*keys, "source_id", "dist")
+    nearest = nearest_pairs(source, target, longest, group=group, size=size, **options)
     fallback = nearest.join(inside.select(*keys), keys, "left_anti")
     return inside.withColumn("is_fallback", F.lit(False)).unionByName(
         fallback.select(*keys, "source_id", "dist", F.lit(True).alias("is_fallback"))
@@ -228,11 +252,12 @@ def regrid_points(
     is used only where the radius holds none; None switches the fallback off.
     Medians of whole neighbourhoods go through a bracketed exact median.
     """
-    widest = largest_radius(target)
+    size = GridSize.of(target)
+    widest = size.widest
     inner = in_reach(widest)
     limit = 0.0 if longest is None else float(math.floor(longest))
     reach = F.greatest(inner, F.lit(limit)) if longest is not None else inner
-    pairs = pairs_within(source, target, reach, max(widest, limit), carry=["value", *group], **options)
+    pairs = pairs_within(source, target, reach, max(widest, limit), size, ["value", *group], **options)
     keys = ["target_id", *group]
     order = F.struct("dist", "source_id")
     inside = F.col("dist") <= inner
@@ -271,8 +296,8 @@ def regrid_points(
 
 def source_counts(source: DataFrame, target: DataFrame, **options) -> DataFrame:
     """AG-6: number of sources within each target's radius, zeros kept."""
-    widest = largest_radius(target)
-    counted = pairs_within(source, target, in_reach(widest), widest, **options).groupBy("target_id").agg(
+    size = GridSize.of(target)
+    counted = pairs_within(source, target, in_reach(size.widest), size.widest, size, **options).groupBy("target_id").agg(
         F.count(F.lit(1)).alias("n_source")
     )
     return target.select("target_id").join(counted, "target_id", "left").select(

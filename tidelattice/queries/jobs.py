@@ -15,6 +15,7 @@ from ..plans import quality as Q
 from ..plans import region as RG
 from ..plans import subset as SB
 from ..sources.derived import CELL_N
+from ..session import stored
 from ..sources.varlist import parse_varlist
 from .ordering import SEARCH_SQL
 from .registry import query
@@ -46,7 +47,8 @@ WHERE short_name NOT LIKE '%SNAPSHOT%' OR day(gdate) = 1
 """,
 )
 def p_1(t):
-    out = GQ.granule_query(t.granules(), "1996-02", "2000-11", interval="monthly")
+    listing = stored(t.granules(), "granules")
+    out = GQ.granule_query(listing, "1996-02", "2000-11", interval="monthly")
     return out.select("url", day("gdate").alias("gdate"), "filled", F.round("size_bytes", 1).alias("size_bytes"))
 
 

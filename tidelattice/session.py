@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Only engine-neutral settings: sizes are left to the cluster's own configuration.
 DEFAULTS = {
@@ -42,3 +42,14 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
         root = tempfile.mkdtemp(prefix="tidelattice-")
     return os.path.join(root, f"{purpose}-{uuid.uuid4().hex}")
+
+
+def stored(df: DataFrame, purpose: str) -> DataFrame:
+    """Write a frame once to the shared folder and read it back.
+
+    Used where a plan would otherwise compute the same frame several times.
+    The files outlive any executor, and the reading plan has real statistics.
+    """
+    path = shared_folder(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -9,7 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.geometry import cell_area, effective_radius
+from ..functions.geometry import effective_radius
+from ..session import stored
 
 # Fixed sizes of the derived grids: native tile edge of fields and of the wider cell table,
 # levels, and the rows and columns of the 5-degree target grid.
@@ -76,15 +77,16 @@ class Tables:
         )
 
     def native_grid(self) -> DataFrame:
-        """Grid dimension with positions, for the cells that occur in the field."""
+        """Grid dimension with positions, for the cells that occur in the field; a small written table."""
         tile, j, i = (F.col(c) for c in ("tile", "j", "i"))
         seen = self.field().select("k", "tile", "j", "i").distinct()
-        return self.mask().join(seen, ["k", "tile", "j", "i"], "left_semi").select(
+        placed = self.mask().join(seen, ["k", "tile", "j", "i"], "left_semi").select(
             "*",
             ((tile * 25 + j * 5 + i).cast("long")).alias("source_id"),
             (F.pmod(tile * 28 + i * 7, F.lit(360)) - 180.0).alias("lon"),
             (j * 36.0 - 80.0 + tile).alias("lat"),
         )
+        return stored(placed, "native-grid")
 
     def cells(self) -> DataFrame:
         """Native cells (tile, j, i, xc, yc) that occur in line items, 90 x 90 per tile."""

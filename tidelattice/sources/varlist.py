@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.scale import carry_forward
+from ..session import stored
 
 LINES_PER_BLOCK = 100_000
 
@@ -47,6 +48,8 @@ def parse_varlist(lines: DataFrame, section_mark: str, block_rows: int = LINES_P
         },
         block_rows,
     )
+    # Two further steps read the tagged lines; they are written once instead of parsed again.
+    context = stored(context, "varlist-lines")
     at, text_at = F.col("head.name_at"), F.col("head.text_at")
     left_blank = F.trim(F.substring(line, F.lit(1), at - 1)) == ""
     own = context.withColumn(
