@@ -112,10 +112,11 @@ def nearest_time(series: DataFrame, times: Sequence[str], keys: Sequence[str]) -
     )
 
 
-def nearest_time_join(probes: DataFrame, series: DataFrame, keys: Sequence[str], bucket: str = "hour") -> DataFrame:
+def nearest_time_join(probes: DataFrame, series: DataFrame, keys: Sequence[str], bucket: str = "minute") -> DataFrame:
     """JN-13 for a table of probes (…keys, probe): nearest record of the same keys.
 
-    Records and probes meet only inside a time bucket.  A bucket's nearest
+    Records and probes are reduced to distinct instants and meet only inside a
+    time bucket, so a busy key or moment stays small.  A bucket's nearest
     neighbours outside itself are carried as one row per bucket, so gaps of any
     length stay exact.  Ties take the earlier record.
     """

@@ -185,16 +185,27 @@ def mapping_edges(
     """Mapping factors as rows (target_id, …group, source_id, dist, is_fallback).
 
     A fallback edge exists only for a target with no source in its radius.
-    `group` holds columns such as the level, whose sources differ.
+    `group` holds columns such as the level, whose sources differ.  Nearest
+    first, a target's first source is inside the radius if any source is, so one
+    join and one ranking give both kinds of edges.
     """
     keys = ["target_id", *group]
     size = GridSize.of(target)
-    inside = radius_pairs(source, target, shortest, neighbours, group=group, size=size, **options).select(*keys, "source_id", "dist")
-    nearest = nearest_pairs(source, target, longest, group=group, size=size, **options)
-    fallback = nearest.join(inside.select(*keys), keys, "left_anti")
-    return inside.withColumn("is_fallback", F.lit(False)).unionByName(
-        fallback.select(*keys, "source_id", "dist", F.lit(True).alias("is_fallback"))
+    inner = in_reach(size.widest)
+    limit = float(math.floor(longest))
+    reach = F.greatest(inner, F.lit(limit))
+    pairs = pairs_within(source, target, reach, max(size.widest, limit), size, group, **options).withColumn(
+        "is_fallback", F.col("dist") > inner
     )
+    out = [*keys, "source_id", "dist", "is_fallback"]
+    if neighbours is not None:
+        cap = min(neighbours, math.ceil((2.0 * size.widest / shortest) ** 2))
+        nearest_first = Window.partitionBy(*keys).orderBy("dist", "source_id")
+        ranked = pairs.withColumn("rank", F.row_number().over(nearest_first)).filter(F.col("rank") <= cap)
+        return ranked.filter(~F.col("is_fallback") | (F.col("rank") == 1)).select(*out)
+    best = pairs.groupBy(*keys).agg(F.min(F.struct("dist", "source_id", "is_fallback")).alias("_best"))
+    fallback = best.select(*keys, "_best.*").filter("is_fallback")
+    return pairs.filter(~F.col("is_fallback")).select(*out).unionByName(fallback.select(*out))
 
 
 def reduction(operation: str, value: Column, order: Column) -> Column:

@@ -14,6 +14,7 @@ from ..operators import aggregate as A
 from ..operators import joins as J
 from ..operators import regrid as R
 from ..operators import select as S
+from ..session import stored
 
 # UD-1: named transforms applied before mapping; each is DataFrame -> DataFrame.
 TRANSFORMS: dict[str, Callable[[DataFrame], DataFrame]] = {
@@ -68,11 +69,14 @@ def observation_records(
 def monthly_product(
     daily: DataFrame, keys: Sequence[str], skip_missing: bool, drop_empty_days: bool, record: Sequence[str], fill: float
 ) -> DataFrame:
-    """P-6: calendar-month means with exact bounds, filled; months without any value are not written."""
-    kept = A.without_empty_days(daily, record) if drop_empty_days else daily
-    means = A.monthly_mean(kept, keys, skip_missing)
-    filled = means.filter(F.col("value").isNotNull()).select("month").distinct()
-    written = means.join(filled, "month", "left_semi")
+    """P-6: calendar-month means with exact bounds, filled.
+
+    A month without any value is not written.  Leaving out empty records leaves
+    out such months too.
+    """
+    dated = daily.withColumn("_month", F.date_trunc("month", "time"))
+    kept = A.without_empty_days(dated, record if drop_empty_days else ["_month"])
+    written = A.monthly_mean(kept, keys, skip_missing)
     month_end = F.add_months(F.col("month").cast("date"), 1).cast("timestamp")
     bounded = with_bounds(written, month_end, "AVG_MON")
     return bounded.withColumn("duration", F.lit(A.DURATION["monthly"])).withColumn("value", fill_missing(F.col("value"), fill))
@@ -164,8 +168,11 @@ def geometry_product(native: DataFrame, target: DataFrame, layers: DataFrame, sh
 def mixing_product(
     field: DataFrame, native: DataFrame, target: DataFrame, shortest: float, longest: float
 ) -> tuple[DataFrame, DataFrame]:
-    """P-12: time-invariant 3-D coefficients on the lat-lon grid and their ranges; masked after mapping."""
+    """P-12: time-invariant 3-D coefficients on the lat-lon grid and their ranges; masked after mapping.
+
+    The product is written before its ranges are taken from it.
+    """
     cell = ["k", "tile", "j", "i"]
     steady = A.time_mean(field, [*cell, "var"])
-    product = latlon_product(steady, native, target, shortest, longest, ["var"])
+    product = stored(latlon_product(steady, native, target, shortest, longest, ["var"]), "mixing-product")
     return product, A.value_range(product, ["var"])

@@ -38,10 +38,7 @@ FROM field GROUP BY ALL
 )
 def ag_9(t):
     """Both settings of the missing-value switch side by side."""
-    keys = ["month", *CELL]
-    skipped = A.monthly_mean(t.field(), CELL).withColumnRenamed("value", "skipped")
-    strict = A.monthly_mean(t.field(), CELL, skip_missing=False).withColumnRenamed("value", "strict")
-    both = skipped.join(strict, keys)
+    both = A.monthly_means(t.field(), CELL)
     return both.select(day("month").alias("month"), *CELL, r7("skipped").alias("skipped"), r7("strict").alias("strict"))
 
 
