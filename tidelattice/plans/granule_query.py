@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from datetime import date
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -105,8 +103,7 @@ def granule_query(
     ranged = in_range(granules, start, end)
     summary = dataset_summary(ranged, version)
     found = ranged.filter("in_range").drop("in_range")
-    # Only ranges of a day or two can ask for a single day; both ends are known here.
-    if len(start) == 10 and len(end) == 10 and abs((date.fromisoformat(end) - date.fromisoformat(start)).days) <= 1:
+    if start == end and len(start) == 10:
         found = single_days(found)
     listed = stored(fill_gaps(found, summary), "granule-list")
     known = F.when(bytes_of(F.col("size_mb")) > UNKNOWN_SIZE_BYTES, bytes_of(F.col("size_mb")))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -63,12 +63,21 @@ def header_status(granules: DataFrame, repairs: DataFrame) -> DataFrame:
 
 
 def repair_audit(
-    granules: DataFrame, repairs: DataFrame, stored: DataFrame, actual: DataFrame, new: DataFrame, share: float
+    granules: DataFrame,
+    repairs: DataFrame,
+    stored: DataFrame,
+    actual: DataFrame,
+    new: DataFrame,
+    share: float,
+    comment_fixes: Sequence[str] = (),
+    unit_fixes: Mapping[str, str] | None = None,
 ) -> DataFrame:
-    """P-14: one status per granule from its header, its ranges and a sampled look at its values.
+    """P-14: one status per granule from its header, its variables, its ranges and a sampled look at its values.
 
-    `granules` have (id, file_id, dataset, ...), ranges are keyed by (dataset, var).
-    A sampled granule fails when its new range excludes actual values.
+    `granules` have (id, file_id, dataset, units, ...), `units` being a map from
+    variable to unit; ranges are keyed by (dataset, var).  Variables with a new
+    comment (SO-3) or another unit are repaired.  A sampled granule fails when
+    its new range excludes actual values.
     """
     headers = header_status(granules, repairs)
     audit = A.range_audit(actual, stored, new, ["dataset", "var"])
@@ -80,6 +89,9 @@ def repair_audit(
     failed = (F.col("status") == FAILED) | F.col("_changed").isNull() | (
         in_sample(F.col("file_id"), share) & F.col("_bad")
     )
-    updated = (F.col("status") == UPDATED) | F.col("_changed")
+    commented = F.arrays_overlap(F.map_keys("units"), F.array(*[F.lit(v) for v in comment_fixes]).cast("array<string>"))
+    updated = (F.col("status") == UPDATED) | F.col("_changed") | commented
+    for name, unit in (unit_fixes or {}).items():
+        updated = updated | F.coalesce(F.col("units")[name] != F.lit(unit), F.lit(False))
     status = F.when(failed, FAILED).when(updated, UPDATED).otherwise(UNCHANGED)
     return joined.withColumn("status", status.cast("long")).drop("_bad", "_changed")

@@ -296,17 +296,30 @@ def p_13(t):
     """
 WITH a AS (SELECT dataset, var, min(value) AS lo, max(value) AS hi FROM field GROUP BY dataset, var),
 u AS (SELECT dataset, var, "month", valid_min AS omin, valid_max AS omax FROM qc),
-x AS (SELECT u.dataset, bool_or(lo > lo OR hi < hi) AS bad, bool_or(omin <> lo OR omax <> hi) AS changed FROM u JOIN a USING (dataset, var) GROUP BY u.dataset),
+n AS (SELECT dataset, var, min(omin) AS nmin, max(omax) AS nmax FROM u WHERE "month" > '2000-01' GROUP BY dataset, var),
+x AS (SELECT u.dataset, bool_or(nmin > lo OR nmax < hi) AS bad, bool_or(omin <> nmin OR omax <> nmax) AS changed FROM u JOIN a USING (dataset, var) JOIN n USING (dataset, var) GROUP BY u.dataset),
 h AS (SELECT m.*, 'DS_' || (s_suppkey % 3) AS dataset, CASE WHEN fix_title IS NULL OR fix_title <> title THEN -1
          WHEN string_split(link, 'ShortName=')[2] <> fix_short_name OR summary <> fix_summary THEN 1 ELSE 0 END AS st FROM meta m LEFT JOIN repairs USING (id))
-SELECT s_suppkey, h.dataset, CAST(CASE WHEN st = -1 OR changed IS NULL OR (s_suppkey % 100 < 5 AND bad) THEN -1 WHEN st = 1 OR changed THEN 1 ELSE 0 END AS BIGINT) AS status
+SELECT s_suppkey, h.dataset, CAST(CASE WHEN st = -1 OR changed IS NULL OR (s_suppkey % 100 < 5 AND bad) THEN -1 WHEN st = 1 OR changed OR s_suppkey % 3 = 1 OR s_suppkey % 5 = 2 THEN 1 ELSE 0 END AS BIGINT) AS status
 FROM h LEFT JOIN x ON x.dataset = h.dataset
 """,
 )
 def p_14(t):
-    granules = t.metadata().withColumn("dataset", F.concat(F.lit("DS_"), F.col("s_suppkey") % 3)).withColumn("file_id", F.col("s_suppkey"))
+    key = F.col("s_suppkey")
+    unit = F.when(key % 5 == 2, "degC").otherwise("degree_K")
+    granules = t.metadata().withColumns(
+        {
+            "dataset": F.concat(F.lit("DS_"), key % 3),
+            "file_id": key,
+            "units": F.create_map(F.concat(F.lit("V"), key % 3), F.lit("m"), F.lit("Tair"), unit),
+        }
+    )
     actual = A.value_range(t.field(), ["dataset", "var"])
-    out = Q.repair_audit(granules, t.repairs(), t.stored_ranges(), actual, actual, share=0.05)
+    stored_rows = t.stored_ranges()
+    new = A.stored_range(stored_rows.filter(F.col("month") > "2000-01"), ["dataset", "var"])
+    out = Q.repair_audit(
+        granules, t.repairs(), stored_rows, actual, new, share=0.05, comment_fixes=["V1", "absent"], unit_fixes={"Tair": "degree_K"}
+    )
     return out.select("s_suppkey", "dataset", "status")
 
 
