@@ -1,7 +1,8 @@
 """Calendar, lookup, nearest and reconciliation joins.
 
-No join here is hinted: dimension sides are broadcast by Catalyst or AQE when
-their measured size allows, and sort-merge with skew splitting applies beyond.
+Only grid dimensions whose rows were counted are hinted; other sides are
+broadcast by Catalyst or AQE when their measured size allows, and sort-merge
+with skew splitting applies beyond.
 """
 
 from __future__ import annotations
@@ -13,6 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions.geometry import planar_km
 from ..functions.strings import basename
+from .scale import dimension
 
 # Period words that separate the stem of a granule name from its date.
 PERIOD_WORDS = ("snap", "day_mean", "mon_mean")
@@ -126,12 +128,14 @@ def nearest_time_join(probes: DataFrame, series: DataFrame, keys: Sequence[str],
     rec = F.struct(F.col("time"), F.col("value"))
     edges = records.groupBy(*keys, "_b").agg(F.min(rec).alias("_first"), F.max(rec).alias("_last"))
     buckets = edges.join(asked.select(*keys, "_b").distinct(), [*keys, "_b"], "full")
-    along = Window.partitionBy(*keys).orderBy("_b")
+    # Both directions use growing frames; a frame that reaches forward would be quadratic.
+    earlier = Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    later = Window.partitionBy(*keys).orderBy(F.desc("_b")).rowsBetween(Window.unboundedPreceding, -1)
     outer = buckets.select(
         *keys,
         "_b",
-        F.last("_last", ignorenulls=True).over(along.rowsBetween(Window.unboundedPreceding, -1)).alias("_prev"),
-        F.first("_first", ignorenulls=True).over(along.rowsBetween(1, Window.unboundedFollowing)).alias("_next"),
+        F.last("_last", ignorenulls=True).over(earlier).alias("_prev"),
+        F.last("_first", ignorenulls=True).over(later).alias("_next"),
     )
     mixed = records.select(*keys, "_b", F.col("time").alias("_at"), rec.alias("_rec"), F.lit(0).alias("_probe")).unionByName(
         asked.select(*keys, "_b", F.col("probe").alias("_at"), F.lit(None).cast(records.select(rec.alias("r")).schema["r"].dataType).alias("_rec"), F.lit(1).alias("_probe"))
@@ -208,7 +212,7 @@ def cell_corners(corners: DataFrame, n: int) -> DataFrame:
 
 def with_bounds(product: DataFrame, grid: DataFrame, keys: Sequence[str]) -> DataFrame:
     """JN-17: coordinate bounds from the grid dimension."""
-    return product.join(grid, list(keys), "left")
+    return product.join(dimension(grid), list(keys), "left")
 
 
 def memberships(names: DataFrame, groupings: DataFrame) -> DataFrame:

@@ -230,23 +230,31 @@ def apply_mapping(
     group: Sequence[str] = ("time", "var"),
     edge_keys: Sequence[str] = ("source_id",),
     allow_nearest: bool = True,
+    neighbours: int | None = None,
 ) -> DataFrame:
     """JN-3: gather field values along the edges and reduce per target and group.
 
     Time and variable are ordinary grouping columns, so one plan maps a whole
     archive.  A source misses from `field` only when it holds no row at all.
+    `neighbours` is the limit the edges were made with; without one, medians go
+    through the bracketed exact median.
     """
     used = edges if allow_nearest else edges.filter(~F.col("is_fallback"))
-    target_keys = [c for c in edge_keys if c != "source_id"] + ["target_id"]
-    return (
-        used.join(field, list(edge_keys))
-        .groupBy(*target_keys, *group)
-        .agg(
-            reduction(operation, F.col("value"), F.struct("dist", "source_id")).alias("value"),
-            F.count(F.lit(1)).alias("n_source"),
-            F.bool_or("is_fallback").alias("is_fallback"),
-        )
+    keys = [*[c for c in edge_keys if c != "source_id"], "target_id", *group]
+    joined = used.join(field, list(edge_keys))
+    wide_median = operation in ("median", "nanmedian") and neighbours is None
+    core = F.lit(None).cast("double") if wide_median else reduction(operation, F.col("value"), F.struct("dist", "source_id"))
+    out = joined.groupBy(*keys).agg(
+        core.alias("value"),
+        F.count(F.lit(1)).alias("n_source"),
+        F.count("value").alias("_present"),
+        F.bool_or("is_fallback").alias("is_fallback"),
     )
+    if wide_median:
+        keep = F.lit(True) if operation == "nanmedian" else F.col("_present") == F.col("n_source")
+        out = out.join(exact_median(joined, keys, "value", "_middle"), keys, "left")
+        out = out.withColumn("value", F.when(keep, F.col("_middle"))).drop("_middle")
+    return out.drop("_present")
 
 
 def regrid_points(

@@ -12,8 +12,29 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import stored
+
 BLOCK = "_block"
 SPLIT = "_split"
+# Rows of a dimension that may be broadcast; at some 30 bytes a row this is about 150 MB.
+DIMENSION_ROWS = 5_000_000
+
+
+def dimension(df: DataFrame, max_rows: int = DIMENSION_ROWS) -> DataFrame:
+    """A grid or lookup table, broadcast only when its counted rows allow it.
+
+    Beyond the limit the join is planned like any other, with skew splitting.
+    """
+    return F.broadcast(df) if df.count() <= max_rows else df
+
+
+def summary_side(df: DataFrame, purpose: str, max_rows: int = DIMENSION_ROWS) -> DataFrame:
+    """An aggregate that is joined back to the rows it came from.
+
+    It is written first, so its size is known before the join is planned: a
+    small one is broadcast and the rows do not shuffle at all.
+    """
+    return dimension(stored(df, purpose), max_rows)
 
 
 def split_hot_keys(

@@ -5,10 +5,11 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.missing import null_if_nan
+from .scale import dimension, summary_side
 
 # Horizontal coordinates of the native grid, and field location -> mask column.
 LATLON_COORDS = ("XC", "YC", "XG", "YG", "XC_bnds", "YC_bnds")
@@ -98,7 +99,8 @@ def land_mask(field: DataFrame, grid: DataFrame, cell: Sequence[str] = ("tile",
     for loc, name in LOCATION_MASK.items():
         mask = F.when(F.col("loc") == loc, F.col(name)).otherwise(mask)
     levelled = field.withColumn("_level", F.coalesce(F.col("k"), F.lit(0)))
-    joined = levelled.join(grid.withColumnRenamed("k", "_level"), ["_level", *cell], "left")
+    masks = grid.select(F.col("k").alias("_level"), *cell, *LOCATION_MASK.values())
+    joined = levelled.join(dimension(masks), ["_level", *cell], "left")
     masked = F.when(known, F.when(mask, F.col("value"))).otherwise(
         F.raise_error(F.lit("unknown field location")).cast("double")
     )
@@ -108,7 +110,7 @@ def land_mask(field: DataFrame, grid: DataFrame, cell: Sequence[str] = ("tile",
 def wet_points(field: DataFrame, grid: DataFrame, keep_rows: bool = False) -> DataFrame:
     """PRJ-9: only cells with a wet fraction, or missing values elsewhere when rows must stay."""
     cell = ["k", "tile", "j", "i"]
-    wet = grid.filter(F.col("hfac") > 0).select(*cell)
+    wet = dimension(grid.filter(F.col("hfac") > 0).select(*cell))
     if not keep_rows:
         return field.join(wet, cell, "left_semi")
     flagged = field.join(wet.withColumn("_wet", F.lit(True)), cell, "left")
@@ -148,7 +150,7 @@ def layer_swap(df: DataFrame, profile: Sequence[str]) -> DataFrame:
     first = df.groupBy(*profile).agg(F.min_by("zu", "k").alias("_first"))
     done = F.col("_first") < 0
     return (
-        df.join(first, list(profile))
+        df.join(summary_side(first, "first-layers"), list(profile))
         .withColumn("_zu", F.when(done, F.col("zu")).otherwise(F.col("zl")))
         .withColumn("_zl", F.when(done, F.col("zl")).otherwise(F.col("zu")))
         .withColumn("swapped", ~done)
@@ -163,8 +165,6 @@ def hide_leading(df: DataFrame, keys: Sequence[str], order: str, limit: Column)
     `limit` is the number to hide, a Column over `keys`.  Only the leading
     records are ranked, so a long series never meets in one task.
     """
-    from pyspark.sql import Window
-
     most = 2
     first = Window.partitionBy(*keys).orderBy(order)
     leading = (
@@ -175,11 +175,11 @@ def hide_leading(df: DataFrame, keys: Sequence[str], order: str, limit: Column)
         .drop("_pos")
         .withColumn("_hide", F.lit(True))
     )
-    hidden = df.join(leading, [*keys, order], "left")
+    hidden = df.join(summary_side(leading, "leading-records"), [*keys, order], "left")
     return hidden.withColumn("value", F.when(F.col("_hide").isNull(), F.col("value"))).drop("_hide")
 
 
 def apply_mask(product: DataFrame, mask: DataFrame, keys: Sequence[str], name: str = "mask") -> DataFrame:
     """JN-4: values stay where the target mask is true; cells without a mask are missing."""
-    joined = product.join(mask.select(*keys, F.col(name).alias("_mask")), list(keys), "left")
+    joined = product.join(dimension(mask.select(*keys, F.col(name).alias("_mask"))), list(keys), "left")
     return joined.withColumn("value", F.when(F.col("_mask"), F.col("value"))).drop("_mask")

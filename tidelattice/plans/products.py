@@ -14,6 +14,7 @@ from ..operators import aggregate as A
 from ..operators import joins as J
 from ..operators import regrid as R
 from ..operators import select as S
+from ..operators.scale import dimension, summary_side
 from ..session import stored
 
 # UD-1: named transforms applied before mapping; each is DataFrame -> DataFrame.
@@ -107,7 +108,7 @@ def latlon_product(
     """P-8: wet native cells -> lat-lon cells, masked, in stored precision, with cell bounds."""
     factors = level_edges(native, target, shortest, longest) if edges is None else edges
     cell = ["k", "tile", "j", "i"]
-    placed = field.join(native.select(*cell, "source_id"), cell)
+    placed = field.join(dimension(native.select(*cell, "source_id")), cell)
     mapped = R.apply_mapping(factors, placed.select("k", "source_id", "value", *group), "mean", group, ("k", "source_id"))
     masked = S.apply_mask(mapped, nearest_mask(native, target, longest), ["target_id", "k"])
     bounded = J.with_bounds(masked, target.select("target_id", "lon0", "lon1", "lat0", "lat1"), ["target_id"])
@@ -121,7 +122,7 @@ def native_product(field: DataFrame, grid: DataFrame, rename: str) -> DataFrame:
     """
     masked = S.land_mask(field, grid).withColumn("var", rename_by_list(F.col("var"), F.lit(rename)))
     cast = masked.withColumn("value", F.col("value").cast("float"))
-    ranges = A.value_range(cast, ["dataset", "var"])
+    ranges = summary_side(A.value_range(cast, ["dataset", "var"]), "ranges")
     start = F.col("time").cast("timestamp")
     return (
         cast.join(ranges, ["dataset", "var"])

@@ -30,11 +30,12 @@ def product_rows(field: DataFrame, fill: float = FLOAT_FILL) -> DataFrame:
 def write_product(field: DataFrame, path: str, fill: float = FLOAT_FILL) -> None:
     """SNK-1: partitioned by dataset and month, clustered by cell for range pruning.
 
-    Rows of one month are spread over tiles, so a hot dataset is many files.
+    Rows of one month are spread over tiles, and a partition that is still too
+    large is split when the shuffle is read.
     """
     rows = product_rows(field, fill)
     (
-        rows.repartition("dataset", "year_month", "tile")
+        rows.hint("rebalance", "dataset", "year_month", "tile")
         .sortWithinPartitions("dataset", "year_month", "var", "tile", "k", "j", "i")
         .write.mode("overwrite")
         .partitionBy("dataset", "year_month")
