@@ -117,7 +117,7 @@ SELECT target_id, k, hfac > 0 AS wet FROM (
 """
 
 FRAMES["series"] = """
-SELECT date_trunc('hour', ts) AS "time", event_type AS var, round(avg(value), 6) AS value
+SELECT date_trunc('hour', ts) AS "time", event_type AS var, round(avg(value), 7) AS value
 FROM events GROUP BY date_trunc('hour', ts), event_type
 """
 

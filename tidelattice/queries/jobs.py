@@ -120,7 +120,7 @@ i AS (SELECT target_id, CAST(ts AS DATE) AS d, count(*) AS n, CASE WHEN count(va
 c AS (SELECT target_id, d, value FROM (SELECT *, row_number() OVER (PARTITION BY target_id, d ORDER BY dist, source_id) AS rn FROM o WHERE dist <= CAST(400000 AS DOUBLE)) WHERE rn = 1),
 mapped AS (SELECT c.target_id, c.d, CASE WHEN i.n > 0 THEN i.v ELSE c.value END AS value FROM c LEFT JOIN i USING (target_id, d)),
 days AS (SELECT CAST(unnest(generate_series(TIMESTAMP '2023-12-31', TIMESTAMP '2024-01-31', INTERVAL 1 DAY)) AS DATE) AS d)
-SELECT strftime(days.d, '%Y-%m-%d') AS "date", t.target_id, round(coalesce(m.value, CAST(-1 AS DOUBLE)), 6) AS value,
+SELECT strftime(days.d, '%Y-%m-%d') AS "date", t.target_id, round(coalesce(m.value, CAST(-1 AS DOUBLE)), 7) AS value,
        strftime(days.d + INTERVAL 1 DAY, '%Y-%m-%d %H:%M:%S') AS time_end
 FROM target t CROSS JOIN days LEFT JOIN mapped m ON m.target_id = t.target_id AND m.d = days.d
 """,
@@ -129,7 +129,7 @@ def p_5(t):
     out = P.observation_records(
         t.obs(), t.target(), "2023-12-31", "2024-01-31", 400000.0, transforms=["remove_negative"], default=-1.0
     )
-    return out.select(day("date").alias("date"), "target_id", r6("value").alias("value"), stamp("time_end").alias("time_end"))
+    return out.select(day("date").alias("date"), "target_id", r7("value").alias("value"), stamp("time_end").alias("time_end"))
 
 
 @query(

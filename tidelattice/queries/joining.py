@@ -196,7 +196,7 @@ def jn_16(t):
 @query(
     "jn_17",
     """
-SELECT target_id, var, round(v, 6) AS value, lon0, lon1, lat0, lat1
+SELECT target_id, var, round(v, 7) AS value, lon0, lon1, lat0, lat1
 FROM (SELECT target_id, var, avg(value) AS v FROM inside GROUP BY target_id, var) JOIN target USING (target_id)
 """,
 )
@@ -206,7 +206,7 @@ def jn_17(t):
     target = t.target()
     mapped = regrid_points(t.obs(), target, "nanmean", group=("var",))
     out = J.with_bounds(mapped, target.select("target_id", "lon0", "lon1", "lat0", "lat1"), ["target_id"])
-    return out.select("target_id", "var", r6("value").alias("value"), "lon0", "lon1", "lat0", "lat1")
+    return out.select("target_id", "var", r7("value").alias("value"), "lon0", "lon1", "lat0", "lat1")
 
 
 @query(

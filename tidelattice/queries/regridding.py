@@ -8,7 +8,7 @@ from ..operators import regrid as R
 from ..operators import select as S
 from ..operators import windows as W
 from .registry import query
-from .text import day, r3, r6
+from .text import day, r3, r7
 
 LONGEST = 400000.0
 SHORTEST = 1000.0
@@ -28,7 +28,7 @@ def reduced_sql(operation: str) -> str:
     return f"""
 WITH core AS (SELECT target_id, count(*) AS n, {operation} AS v FROM inside GROUP BY target_id),
      closest AS ({CLOSEST})
-SELECT c.target_id, round(CASE WHEN core.n > 0 THEN core.v ELSE c.value END, 6) AS value,
+SELECT c.target_id, round(CASE WHEN core.n > 0 THEN core.v ELSE c.value END, 7) AS value,
        coalesce(core.n, 0) AS n_source, core.n IS NULL AS is_fallback
 FROM closest c LEFT JOIN core USING (target_id)
 """
@@ -53,7 +53,7 @@ WITH ranked AS ({RANKED}), closest AS ({CLOSEST}),
        SELECT target_id, source_id, false AS is_fallback FROM ranked WHERE rank <= 100
        UNION ALL
        SELECT target_id, source_id, true FROM closest WHERE target_id NOT IN (SELECT target_id FROM ranked))
-SELECT target_id, strftime(ts, '%Y-%m-%d') AS day, var, round(avg(value), 6) AS value,
+SELECT target_id, strftime(ts, '%Y-%m-%d') AS day, var, round(avg(value), 7) AS value,
        count(*) AS n_source, bool_or(is_fallback) AS is_fallback
 FROM edges JOIN obs USING (source_id) GROUP BY target_id, strftime(ts, '%Y-%m-%d'), var
 """,
@@ -63,13 +63,13 @@ def jn_3(t):
     edges = R.mapping_edges(obs, t.target(), SHORTEST, LONGEST, neighbours=100)
     field = obs.select("source_id", day("ts").alias("day"), "var", "value")
     out = R.apply_mapping(edges, field, "nanmean", group=("day", "var"))
-    return out.withColumn("value", r6("value"))
+    return out.withColumn("value", r7("value"))
 
 
 @query(
     "jn_4",
     """
-SELECT target_id, round(CASE WHEN ("row" + col) % 4 <> 0 THEN v END, 6) AS value
+SELECT target_id, round(CASE WHEN ("row" + col) % 4 <> 0 THEN v END, 7) AS value
 FROM (SELECT target_id, avg(value) AS v FROM inside GROUP BY target_id) JOIN target USING (target_id)
 """,
 )
@@ -77,12 +77,12 @@ def jn_4(t):
     target = t.target()
     mask = target.select("target_id", ((F.col("row") + F.col("col")) % 4 != 0).alias("mask"))
     mapped = R.regrid_points(t.obs(), target, "nanmean")
-    return S.apply_mask(mapped, mask, ["target_id"]).select("target_id", r6("value").alias("value"))
+    return S.apply_mask(mapped, mask, ["target_id"]).select("target_id", r7("value").alias("value"))
 
 
 def _reduce(t, operation):
     out = R.regrid_points(t.obs(), t.target(), operation, longest=LONGEST)
-    return out.withColumn("value", r6("value"))
+    return out.withColumn("value", r7("value"))
 
 
 @query("ag_1", reduced_sql("CASE WHEN count(value) = count(*) THEN avg(value) END"))
@@ -109,7 +109,7 @@ def ag_4(t):
     "ag_5",
     f"""
 WITH n AS (SELECT target_id, count(*) AS n FROM inside GROUP BY target_id)
-SELECT target_id, round(value, 6) AS value, coalesce(n, 0) AS n_source, n IS NULL AS is_fallback
+SELECT target_id, round(value, 7) AS value, coalesce(n, 0) AS n_source, n IS NULL AS is_fallback
 FROM ({CLOSEST}) LEFT JOIN n USING (target_id)
 """,
 )

@@ -132,7 +132,7 @@ class Tables:
         """1-D series (time, var, value): hourly means of events."""
         return self.table("events").groupBy(
             F.date_trunc("hour", "ts").alias("time"), F.col("event_type").alias("var")
-        ).agg(F.round(F.avg("value"), 6).alias("value"))
+        ).agg(F.round(F.avg("value"), 7).alias("value"))
 
     # --- catalogues -------------------------------------------------------------
 
