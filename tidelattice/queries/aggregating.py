@@ -136,7 +136,7 @@ SELECT list_sort(list(DISTINCT tile)) AS tile, list_sort(list(DISTINCT j)) AS j,
 """,
 )
 def ag_17(t):
-    inside = t.cells().filter(in_box(F.col("xc"), F.col("yc"), -20, 40, 150.15, -110.15))
+    inside = t.cells().filter(in_box(F.col("xc"), F.col("yc"), -85.5, 40, 150.15, -110.15))
     return A.distinct_indices(inside, [], ["tile", "j", "i"])
 
 

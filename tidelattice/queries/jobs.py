@@ -323,13 +323,13 @@ def p_14(t):
     return out.select("s_suppkey", "dataset", "status")
 
 
-REGION_BOX = (-60.0, 60.0, -170.15, 130.15)
+REGION_BOX = (-85.5, 60.0, -170.15, 130.15)
 
 
 @query(
     "p_15",
     """
-WITH box AS (SELECT * FROM cells WHERE yc BETWEEN CAST(-60 AS DOUBLE) AND CAST(60 AS DOUBLE)
+WITH box AS (SELECT * FROM cells WHERE yc BETWEEN CAST(-85.5 AS DOUBLE) AND CAST(60 AS DOUBLE)
    AND (((xc + CAST(170.15 AS DOUBLE) - CAST(0.00001 AS DOUBLE)) % 360) + 360) % 360 <= CAST(300.29999 AS DOUBLE) AND tile IN (10, 2)),
 v AS (SELECT l_partkey % 13 AS tile, l_suppkey % 90 AS j, l_orderkey % 90 AS i, l_returnflag AS var, l_extendedprice AS value FROM lineitem)
 SELECT var, CAST(CASE WHEN tile = 10 THEN 89 - i ELSE j END AS BIGINT) AS "row", CAST(CASE WHEN tile = 10 THEN j ELSE i + 90 END AS BIGINT) AS col, round(avg(value), 7) AS value

@@ -66,13 +66,13 @@ def prj_5(t):
     return S.month_firsts(t.granules(), "gdate").select("url", day("gdate").alias("date"))
 
 
-BOX_SQL = """yc BETWEEN CAST(-20 AS DOUBLE) AND CAST(40 AS DOUBLE)
+BOX_SQL = """yc BETWEEN CAST(-85.5 AS DOUBLE) AND CAST(40 AS DOUBLE)
   AND (((xc - CAST(150.15 AS DOUBLE) - CAST(0.00001 AS DOUBLE)) % 360) + 360) % 360 <= CAST(99.69999 AS DOUBLE)"""
 
 
 @query("prj_6", f"SELECT tile, j, i, round(xc, 6) AS xc, yc FROM cells WHERE {BOX_SQL}")
 def prj_6(t):
-    box = in_box(F.col("xc"), F.col("yc"), -20, 40, 150.15, -110.15)
+    box = in_box(F.col("xc"), F.col("yc"), -85.5, 40, 150.15, -110.15)
     return t.cells().filter(box).select("tile", "j", "i", r6("xc").alias("xc"), "yc")
 
 
