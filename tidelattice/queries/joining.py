@@ -16,7 +16,7 @@ POINTS = [("gulf", -87.5, 28.4), ("dateline", 179.9, -10.0), ("north", 10.0, 88.
     "jn_5",
     """
 WITH rec AS (SELECT CAST("time" AS DATE) AS d, k, tile, j, i, max(value) AS value FROM field GROUP BY ALL),
-     days AS (SELECT CAST(unnest(generate_series(TIMESTAMP '2000-01-25', TIMESTAMP '2000-02-10', INTERVAL 1 DAY)) AS DATE) AS d)
+     days AS (SELECT CAST(unnest(generate_series(TIMESTAMP '1999-12-30', TIMESTAMP '2000-04-05', INTERVAL 1 DAY)) AS DATE) AS d)
 SELECT strftime(days.d, '%Y-%m-%d') AS "date", g.k, g.tile, g.j, g.i, rec.value
 FROM gridmask g CROSS JOIN days LEFT JOIN rec ON rec.d = days.d AND rec.k = g.k AND rec.tile = g.tile AND rec.j = g.j AND rec.i = g.i
 """,
@@ -24,7 +24,7 @@ FROM gridmask g CROSS JOIN days LEFT JOIN rec ON rec.d = days.d AND rec.k = g.k
 def jn_5(t):
     cell = ["k", "tile", "j", "i"]
     records = t.field().groupBy(F.to_date("time").alias("date"), *cell).agg(F.max("value").alias("value"))
-    out = J.densify(records, t.mask().select(*cell), "2000-01-25", "2000-02-10", cell)
+    out = J.densify(records, t.mask().select(*cell), "1999-12-30", "2000-04-05", cell)
     return out.select(day("date").alias("date"), *cell, "value")
 
 

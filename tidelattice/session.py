@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import os
 import tempfile
 import uuid
@@ -31,6 +32,11 @@ def build_session(app: str = "tidelattice", master: str | None = None, **conf: s
     return builder.getOrCreate()
 
 
+@functools.cache
+def _local_root() -> str:
+    return tempfile.mkdtemp(prefix="tidelattice-")
+
+
 def shared_folder(spark: SparkSession, purpose: str) -> str:
     """A fresh path under the cluster's shared checkpoint folder.
 
@@ -40,7 +46,7 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
-        root = tempfile.mkdtemp(prefix="tidelattice-")
+        root = _local_root()
     return os.path.join(root, f"{purpose}-{uuid.uuid4().hex}")
 
 

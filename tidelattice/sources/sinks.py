@@ -5,7 +5,7 @@ Each sink has a `*_rows` function that shapes the rows, and a writer.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -114,6 +114,16 @@ def stored_or_computed(spark: SparkSession, path: str, compute: Callable[[], Dat
     return spark.read.parquet(path)
 
 
+def write_bucketed(df: DataFrame, table: str, path: str, keys: Sequence[str], buckets: int) -> DataFrame:
+    """SNK-8: a table bucketed and sorted by `keys`.
+
+    Mapping factors and fields stored with the same buckets by (k, source_id)
+    join without a shuffle of either side, however often factors are reused.
+    """
+    df.write.mode("overwrite").option("path", path).bucketBy(buckets, *keys).sortBy(*keys).saveAsTable(table)
+    return df.sparkSession.table(table)
+
+
 def granule_name(stem: Column, code: Column, time: Column, tail: Column) -> Column:
     """SNK-9: `stem_period_date_tail`."""
     return F.concat_ws("_", stem, period_label(code)["label"], period_date(time, code), tail)
