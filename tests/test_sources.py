@@ -119,6 +119,7 @@ def test_dataset_folders_and_many_files(spark, tmp_path):
     base.repartition("time").write.partitionBy("grid", "time_type", "dataset").parquet(str(tmp_path / "f"))
     found = FS.dataset_folders(spark, str(tmp_path / "f")).collect()
     assert {(r.grid, r.time_type, r.dataset) for r in found} == {("native", "daily", "D")}
+    assert len(found) == len({r.path for r in found}) == len(list((tmp_path / "f").rglob("*.parquet")))
     assert FS.open_many(spark, str(tmp_path / "f")).count() == 8
 
 

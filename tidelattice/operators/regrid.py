@@ -84,7 +84,7 @@ class GridSize:
     @staticmethod
     def of(target: DataFrame) -> GridSize:
         row = target.agg(F.count(F.lit(1)), F.max("radius")).first()
-        return GridSize(int(row[0]), float(row[1]))
+        return GridSize(int(row[0]), float(row[1] or 0.0))
 
 
 def pairs_within(

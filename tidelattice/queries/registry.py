@@ -7,6 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..session import apply_defaults
 from ..sources.derived import Tables
 from .frames_sql import FRAMES
 
@@ -50,7 +51,6 @@ def query(name: str, sql: str | None = None) -> Callable[[Callable[[Tables], Dat
 
 def runnable(fn: Callable[[Tables], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, folder: str) -> DataFrame:
-        spark.conf.set("spark.sql.session.timeZone", "UTC")
-        return fn(Tables(spark, folder))
+        return fn(Tables(apply_defaults(spark), folder))
 
     return run

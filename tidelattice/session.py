@@ -32,6 +32,13 @@ def build_session(app: str = "tidelattice", master: str | None = None, **conf: s
     return builder.getOrCreate()
 
 
+def apply_defaults(spark: SparkSession) -> SparkSession:
+    """The same defaults on a session someone else built."""
+    for key, value in DEFAULTS.items():
+        spark.conf.set(key, value)
+    return spark
+
+
 @functools.cache
 def _local_root() -> str:
     return tempfile.mkdtemp(prefix="tidelattice-")

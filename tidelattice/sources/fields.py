@@ -5,7 +5,8 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+
+from ..operators.sets import concat_records
 
 FIELD_SCHEMA = (
     "dataset string, time timestamp, k int, tile int, j int, i int, var string, loc string, value double"
@@ -14,14 +15,13 @@ SERIES_SCHEMA = "time timestamp, var string, value double"
 
 
 def dataset_folders(spark: SparkSession, base: str, pattern: str = "*.parquet") -> DataFrame:
-    """SRC-5: files of every dataset folder below `grid=/time_type=/dataset=`.
+    """SRC-5: files of every dataset folder below `grid=/time_type=/dataset=`, one row per file.
 
-    Only file names are read; partition values come from the folders.
+    The file source lists paths and partition values; contents are pruned away,
+    so no file is opened however large it is.
     """
-    files = spark.read.option("pathGlobFilter", pattern).parquet(base)
-    return files.select(
-        "grid", "time_type", "dataset", F.col("_metadata.file_path").alias("path")
-    ).distinct()
+    files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(base)
+    return files.select("grid", "time_type", "dataset", "path")
 
 
 def open_many(spark: SparkSession, *paths: str) -> DataFrame:
@@ -35,6 +35,5 @@ def open_series(spark: SparkSession, *paths: str) -> DataFrame:
 
 
 def concat_on_time(frames: Sequence[DataFrame]) -> DataFrame:
-    from ..operators.sets import concat_records
-
+    """SRC-6 for frames already open."""
     return concat_records(frames)
