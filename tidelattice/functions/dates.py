@@ -23,6 +23,9 @@ PERIOD_STEP = {
     "AVG_YEAR": "INTERVAL '1' YEAR",
 }
 
+# Names under which source files keep their time bounds, first one first.
+BOUNDS_PRIORITY = ("Time_bounds", "time_bnds", "time_bounds", "timebounds")
+
 # File-name date codes and the Spark pattern that reads them.
 DATE_CODES = {
     "yyyymm": "yyyyMM",

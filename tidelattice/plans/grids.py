@@ -48,8 +48,3 @@ def grid_summary(grid: DataFrame) -> DataFrame:
         F.min("radius").alias("radius_min"),
         F.max("radius").alias("radius_max"),
     )
-
-
-def vertical_factor(cells: DataFrame) -> DataFrame:
-    """Depth and wet fraction summed over levels."""
-    return cells.groupBy("target_id").agg(F.sum("hfac").alias("hfac"))

@@ -132,12 +132,13 @@ def ag_16(t):
 @query(
     "ag_17",
     f"""
-SELECT list_sort(list(DISTINCT tile)) AS tile, list_sort(list(DISTINCT j)) AS j, list_sort(list(DISTINCT i)) AS i FROM cells WHERE {BOX_SQL}
+SELECT array_to_string(list_sort(list(DISTINCT tile)), ',') AS tile, array_to_string(list_sort(list(DISTINCT j)), ',') AS j, array_to_string(list_sort(list(DISTINCT i)), ',') AS i FROM cells WHERE {BOX_SQL}
 """,
 )
 def ag_17(t):
     inside = t.cells().filter(in_box(F.col("xc"), F.col("yc"), -85.5, 40, 150.15, -110.15))
-    return A.distinct_indices(inside, [], ["tile", "j", "i"])
+    names = ["tile", "j", "i"]
+    return A.distinct_indices(inside, [], names).select(*[F.array_join(n, ",").alias(n) for n in names])
 
 
 @query("ag_18", "SELECT tile, min(yc) AS lat_min, max(yc) AS lat_max, round(min(xc), 6) AS lon_min, round(max(xc), 6) AS lon_max FROM cells GROUP BY tile")

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions.geometry import in_box
 from ..operators import aggregate as A
 from ..operators import windows as W
 from ..plans import catalogue as C
@@ -19,7 +18,7 @@ from ..session import stored
 from ..sources.varlist import parse_varlist
 from .ordering import SEARCH_SQL
 from .registry import query
-from .selecting import DEPTHS, depths, field_cols
+from .selecting import field_cols
 from .text import big, day, r3, r6, r7, stamp
 from .varlists import PARSED_SQL, varlist_lines
 
@@ -69,9 +68,6 @@ def p_2(t):
     return C.search(C.merged(catalogue), "Ocean", grid="native")
 
 
-DATASETS_SQL = "SELECT 'DS_0' AS dataset, 'DAILY' AS resolution UNION ALL SELECT 'DS_1', 'MONTHLY'"
-
-
 @query(
     "p_3",
     """

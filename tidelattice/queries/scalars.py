@@ -11,11 +11,10 @@ from ..functions import dates as D
 from ..functions import geometry as G
 from ..functions import gridindex as X
 from ..functions import strings as T
-from ..operators import regrid as R
 from ..plans.grids import regular_grid
 from ..sources.derived import CELL_N
 from .registry import query
-from .text import big, day, r3, r6, stamp, stamp6
+from .text import big, day, r3, r6, stamp
 
 PARTIAL = """
 SELECT o_orderkey, o_orderdate,
@@ -211,16 +210,15 @@ FROM events
 )
 def sf_13(t):
     """Four optional bounds columns; the first present in their fixed priority counts."""
-    names = ("Time_bounds", "time_bnds", "time_bounds", "timebounds")
+    present = {f"{name}_{d}": p for d, (name, p) in enumerate(zip(D.BOUNDS_PRIORITY, (2, 3, 5, 7)))}
     wide = t.table("events").select(
         "event_id",
         *[
-            F.when(F.col("event_id") % p == 0, F.col("ts") + F.expr(f"INTERVAL '{d}' DAY")).alias(f"bounds_{d}")
-            for d, p in enumerate((2, 3, 5, 7))
+            F.when(F.col("event_id") % p == 0, F.col("ts") + F.expr(f"INTERVAL '{c[-1]}' DAY")).alias(c)
+            for c, p in present.items()
         ],
     )
-    cols = [F.col(f"bounds_{d}") for d in range(len(names))]
-    return wide.select("event_id", stamp(D.first_bounds(*cols)).alias("t_start"))
+    return wide.select("event_id", stamp(D.first_bounds(*[F.col(c) for c in present])).alias("t_start"))
 
 
 @query(

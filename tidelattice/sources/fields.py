@@ -2,12 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import DataFrame, SparkSession
 
-from ..operators.sets import concat_records
-
 FIELD_SCHEMA = (
     "dataset string, time timestamp, k int, tile int, j int, i int, var string, loc string, value double"
 )
@@ -32,8 +28,3 @@ def open_many(spark: SparkSession, *paths: str) -> DataFrame:
 def open_series(spark: SparkSession, *paths: str) -> DataFrame:
     """SRC-12: 1-D products as (time, var, value)."""
     return spark.read.schema(SERIES_SCHEMA).parquet(*paths)
-
-
-def concat_on_time(frames: Sequence[DataFrame]) -> DataFrame:
-    """SRC-6 for frames already open."""
-    return concat_records(frames)
