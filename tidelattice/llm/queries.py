@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import apply_defaults
-from . import op1_decontamination, op4_counts, op7_records, op9_packing
+from . import op1_decontamination, op2_substrings, op4_counts, op7_records, op9_packing
 from .stages import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -77,3 +77,28 @@ FROM w LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)
 @query("op1_decontamination", OP1_SQL)
 def op1(spark: SparkSession, folder: str) -> DataFrame:
     return op1_decontamination.decontaminate(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+OP2_SQL = r"""
+WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+win AS (
+  SELECT doc_id, i, array_to_string(ws[i : i + 12], ' ') AS win
+  FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 11)) AS i FROM w WHERE len(ws) >= 13)),
+owner AS (SELECT win, min(doc_id) AS first FROM win GROUP BY win HAVING min(doc_id) < max(doc_id)),
+gone AS (
+  SELECT DISTINCT doc_id, unnest(range(i, i + 13)) AS p
+  FROM (SELECT win.doc_id, win.i FROM win JOIN owner USING (win) WHERE owner.first < win.doc_id)),
+word AS (SELECT doc_id, p, ws[p] AS word FROM (SELECT doc_id, ws, unnest(range(1, len(ws) + 1)) AS p FROM w)),
+kept AS (
+  SELECT doc_id, count(gone.p) AS n_removed, string_agg(CASE WHEN gone.p IS NULL THEN word END, ' ' ORDER BY p) AS text
+  FROM word LEFT JOIN gone USING (doc_id, p) GROUP BY doc_id)
+SELECT w.doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+  sha256(coalesce(text, '')) AS kept_sha256
+FROM w LEFT JOIN kept USING (doc_id)
+"""
+
+
+@query("op2_substring_dedup", OP2_SQL)
+def op2(spark: SparkSession, folder: str) -> DataFrame:
+    left = op2_substrings.dedup_substrings(table(spark, folder, "documents"))
+    return left.select("doc_id", "n_words", "n_removed", "kept_sha256")
