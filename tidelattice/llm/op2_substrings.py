@@ -47,10 +47,26 @@ def _digest(raw: bytes) -> tuple[int, str]:
     return int.from_bytes(digest.digest()[:8], "little", signed=True), digest.hexdigest()
 
 
-def _scan(docs: DataFrame, window: int, gram: int) -> DataFrame:
-    """(doc_id, key, n_words, words_sha, prints) of every document."""
+def _digests(docs: DataFrame) -> DataFrame:
+    """(doc_id, key, n_words, words_sha) of every document."""
 
-    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = [(t or "").encode() for t in batch.column(1).to_pylist()]
+            keys, digests = zip(*map(_digest, texts)) if texts else ((), ())
+            counts = [len(t.split()) for t in texts]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(keys, pa.int64()), pa.array(counts, pa.int64()), pa.array(digests, pa.string())],
+                names=["doc_id", "key", "n_words", "words_sha"],
+            )
+
+    return docs.mapInArrow(digest, "doc_id long, key long, n_words long, words_sha string")
+
+
+def _prints(docs: DataFrame, window: int, gram: int) -> DataFrame:
+    """(doc_id, key, prints) of every document."""
+
+    def prints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in text_slices(batch.column(1)):
                 words = split_words(part, PLAIN)
@@ -60,19 +76,17 @@ def _scan(docs: DataFrame, window: int, gram: int) -> DataFrame:
                 if len(least):
                     fresh[1:] &= (least[1:] != least[:-1]) | (text[1:] != text[:-1])
                 raw, at = part.data.tobytes(), part.offsets.tolist()
-                keys, digests = zip(*(_digest(raw[a:b]) for a, b in zip(at, at[1:])))
+                keys = [_digest(raw[a:b])[0] for a, b in zip(at, at[1:])]
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0).slice(part.first, part.last - part.first),
                         pa.array(keys, pa.int64()),
-                        pa.array(words.counts, pa.int64()),
-                        pa.array(digests, pa.string()),
                         list_column(signed(least[fresh]), np.bincount(text[fresh], minlength=len(words.counts)), pa.int64()),
                     ],
-                    names=["doc_id", "key", "n_words", "words_sha", "prints"],
+                    names=["doc_id", "key", "prints"],
                 )
 
-    return docs.mapInArrow(scan, "doc_id long, key long, n_words long, words_sha string, prints array<long>")
+    return docs.mapInArrow(prints, "doc_id long, key long, prints array<long>")
 
 
 def _words_of(column: pa.Array, row: int):
@@ -257,10 +271,11 @@ def _remove(rows: DataFrame, window: int) -> DataFrame:
 
 
 def find_repeats(
-    rows: DataFrame, scanned: DataFrame, window: int, gram: int, shard_windows: int, task_words: int
+    rows: DataFrame, first: DataFrame, window: int, gram: int, shard_windows: int, task_words: int
 ) -> DataFrame:
-    """(doc_id, key, text, starts) of the first document of every word sequence that repeats windows of smaller ones."""
-    prints = scanned.filter("is_first").select("doc_id", F.explode("prints").alias("print"))
+    """(doc_id, key, text, starts) of the documents in `first` that repeat windows of smaller ones."""
+    prints = kept(_prints(rows, window, gram).join(first, ["doc_id", "key"], "left_semi"), "word-prints")
+    prints = prints.select("doc_id", F.explode("prints").alias("print"))
     shared = (
         prints.groupBy("print")
         .agg(F.min("doc_id").alias("_a"), F.max("doc_id").alias("_b"))
@@ -286,7 +301,7 @@ def find_repeats(
             (F.col("owner") == F.col("doc_id")).alias("own"),
         )
         .groupBy("doc_id")
-        .agg(F.array_distinct(F.collect_list(F.struct("window", "shard", "own"))).alias("_w"))
+        .agg(F.collect_list(F.struct("window", "shard", "own")).alias("_w"))
         .select(
             "doc_id",
             F.col("_w.window").alias("windows"),
@@ -294,6 +309,7 @@ def find_repeats(
             F.transform("_w.own", lambda x: x.cast("int")).alias("own"),
         )
     )
+    labelled = kept(labelled, "window-shards")
     spans = kept(_spans(candidates.drop("windows").join(labelled, "doc_id"), window), "shared-spans")
 
     loads = (
@@ -330,19 +346,19 @@ def dedup_substrings(
 ) -> DataFrame:
     """(doc_id, key, n_words, n_removed, kept_sha256, kept): `kept` is the text left of a changed document, else NULL."""
     rows = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).cast("string").alias("text"))
-    scanned = kept(_scan(rows, window, gram), "word-prints")
-    first = kept(scanned.groupBy("words_sha").agg(F.min("doc_id").alias("_first")), "first-of-equal")
+    scanned = kept(_digests(rows), "word-digests")
+    least = scanned.groupBy("words_sha").agg(F.min("doc_id").alias("_least"))
     scanned = kept(
-        scanned.join(first, "words_sha")
-        .withColumn("is_first", F.coalesce(F.col("doc_id") == F.col("_first"), F.lit(False)))
-        .withColumn("prints", F.when(F.col("is_first"), F.col("prints")))
-        .drop("_first"),
-        "first-prints",
+        scanned.join(least, "words_sha")
+        .withColumn("is_first", F.coalesce(F.col("doc_id") == F.col("_least"), F.lit(False)))
+        .drop("_least"),
+        "first-of-equal",
     )
-    repeats = _remove(find_repeats(rows, scanned, window, gram, shard_windows, task_words), window)
+    first = scanned.filter("is_first").select("doc_id", "key")
+    repeats = _remove(find_repeats(rows, first, window, gram, shard_windows, task_words), window)
     repeats = repeats.withColumn("sha", F.sha2("kept", 256)).dropDuplicates(["doc_id", "key"])
     whole = F.col("doc_id").isNotNull() & ~F.col("is_first") & (F.col("n_words") >= window)
-    joined = scanned.drop("prints").join(repeats, ["doc_id", "key"], "left")
+    joined = scanned.join(repeats, ["doc_id", "key"], "left")
     return joined.select(
         "doc_id",
         "key",

@@ -18,7 +18,7 @@ def kept(df: DataFrame, purpose: str) -> DataFrame:
     before = spark.conf.get(_EARLY_CLEANUP, None)
     spark.conf.set(_EARLY_CLEANUP, "true")
     try:
-        df.write.parquet(path)
+        df.write.option("compression", "zstd").parquet(path)
     finally:
         if before is None:
             spark.conf.unset(_EARLY_CLEANUP)
