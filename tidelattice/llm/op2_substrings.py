@@ -347,7 +347,8 @@ def dedup_substrings(
     """(doc_id, key, n_words, n_removed, kept_sha256, kept): `kept` is the text left of a changed document, else NULL."""
     rows = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).cast("string").alias("text"))
     scanned = kept(_digests(rows), "word-digests")
-    least = scanned.groupBy("words_sha").agg(F.min("doc_id").alias("_least"))
+    # Written apart, so that the join below may split a hot group of copies.
+    least = kept(scanned.groupBy("words_sha").agg(F.min("doc_id").alias("_least")), "least-of-equal")
     scanned = kept(
         scanned.join(least, "words_sha")
         .withColumn("is_first", F.coalesce(F.col("doc_id") == F.col("_least"), F.lit(False)))

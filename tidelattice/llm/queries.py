@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import apply_defaults
-from . import op1_decontamination, op2_substrings, op4_counts, op7_records, op9_packing
+from . import op1_decontamination, op10_sharding, op2_substrings, op4_counts, op7_records, op9_packing
 from .stages import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -102,3 +102,8 @@ FROM w LEFT JOIN kept USING (doc_id)
 def op2(spark: SparkSession, folder: str) -> DataFrame:
     left = op2_substrings.dedup_substrings(table(spark, folder, "documents"))
     return left.select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
+@query("op10_sharding")
+def op10(spark: SparkSession, folder: str) -> DataFrame:
+    return op10_sharding.shard(table(spark, folder, "documents"))
