@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import apply_defaults
-from . import op1_decontamination, op10_sharding, op2_substrings, op4_counts, op7_records, op9_packing
+from . import op1_decontamination, op10_sharding, op2_substrings, op4_counts, op7_records, op8_toxicity, op9_packing
 from .stages import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -107,3 +107,9 @@ def op2(spark: SparkSession, folder: str) -> DataFrame:
 @query("op10_sharding")
 def op10(spark: SparkSession, folder: str) -> DataFrame:
     return op10_sharding.shard(table(spark, folder, "documents"))
+
+
+@query("op8_toxicity")
+def op8(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    return op8_toxicity.score(docs, op8_toxicity.fit(docs, table(spark, folder, "labels")))
