@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import apply_defaults
-from . import op1_decontamination, op10_sharding, op2_substrings, op4_counts, op7_records, op8_toxicity, op9_packing
+from . import op1_decontamination, op10_sharding, op2_substrings, op4_counts, op6_quality, op7_records, op8_toxicity, op9_packing
 from .stages import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -113,3 +113,11 @@ def op10(spark: SparkSession, folder: str) -> DataFrame:
 def op8(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     return op8_toxicity.score(docs, op8_toxicity.fit(docs, table(spark, folder, "labels")))
+
+
+@query("op6_quality_rules")
+def op6(spark: SparkSession, folder: str) -> DataFrame:
+    judged = op6_quality.judge(table(spark, folder, "documents"), table(spark, folder, "labels"))
+    return judged.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "anomaly"
+    )
