@@ -31,7 +31,7 @@ from .arrays import ALNUM, FOLD, Words, grams, list_column, mix, signed, split_w
 from .stages import kept, small_or_plain
 
 WINDOW = 13
-RESULT = "doc_id long, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean"
+RESULT = "doc_id long, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean, text_hash long"
 
 
 def _gram_size(window: int) -> int:
@@ -113,7 +113,7 @@ def _extend(candidates: DataFrame, window: int, share: int) -> DataFrame:
     def extend(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
-            for doc_id, text, items in zip(*(c.to_pylist() for c in batch.columns)):
+            for doc_id, text, items, text_hash in zip(*(c.to_pylist() for c in batch.columns)):
                 words = _one_text(text)
                 n = len(words.hashes)
                 hit, found, windows = np.zeros(n + 1, np.int64), [], {}
@@ -129,15 +129,15 @@ def _extend(candidates: DataFrame, window: int, share: int) -> DataFrame:
                         np.add.at(hit, at + size, -1)
                 hits = int((np.cumsum(hit[:n]) > 0).sum())
                 digest = hashlib.sha256(",".join(sorted(found)).encode()).hexdigest()
-                out.append((doc_id, n, hits, len(found), digest, hits > 0 and share * hits >= n))
+                out.append((doc_id, n, hits, len(found), digest, hits > 0 and share * hits >= n, text_hash))
             if out:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, pa.int64()) for c in list(zip(*out))[:4]]
-                    + [pa.array([r[4] for r in out], pa.string()), pa.array([r[5] for r in out], pa.bool_())],
+                    + [pa.array([r[4] for r in out], pa.string()), pa.array([r[5] for r in out], pa.bool_()), pa.array([r[6] for r in out], pa.int64())],
                     names=[f.split()[0] for f in RESULT.split(", ")],
                 )
 
-    return candidates.select("doc_id", "text", "items").mapInArrow(extend, RESULT)
+    return candidates.select("doc_id", "text", "items", F.xxhash64("text")).mapInArrow(extend, RESULT)
 
 
 def decontaminate(
@@ -154,6 +154,7 @@ def decontaminate(
     """One row per document: its words, those inside occurring windows, the items, and whether it is contaminated.
 
     A document is contaminated if at least one word in `share` is hit.
+    `text_hash` is the text's hash for documents with candidates, else NULL.
     """
     prints = kept(_test_prints(benchmark, item_column, item_text_column, window), "benchmark-prints")
     sizes = [r[0] for r in prints.select("size").distinct().orderBy("size").collect()]  # at most `window` numbers
@@ -180,5 +181,19 @@ def decontaminate(
         F.lit(0).cast("long").alias("n_items"),
         F.lit(hashlib.sha256(b"").hexdigest()).alias("items_sha256"),
         F.lit(False).alias("contaminated"),
+        F.lit(None).cast("long").alias("text_hash"),
     )
     return judged.unionByName(clean)
+
+
+def without_contaminated(
+    docs: DataFrame, benchmark: DataFrame, id_column: str = "doc_id", text_column: str = "text", **options
+) -> DataFrame:
+    """The rows of `docs` that are not contaminated, unchanged; a row is known by its id and its text."""
+    judged = decontaminate(docs, benchmark, id_column=id_column, text_column=text_column, **options)
+    out = judged.filter("contaminated").select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).distinct()
+    gone = small_or_plain(kept(out, "contaminated"))
+    this = F.col(id_column).cast("long").eqNullSafe(F.col("_id")) & (
+        F.xxhash64(F.col(text_column).cast("string")) == F.col("_hash")
+    )
+    return docs.join(gone, this, "left_anti")

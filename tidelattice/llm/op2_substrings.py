@@ -344,7 +344,7 @@ def dedup_substrings(
     id_column: str = "doc_id",
     text_column: str = "text",
 ) -> DataFrame:
-    """(doc_id, key, n_words, n_removed, kept_sha256, kept): `kept` is the text left of a changed document, else NULL."""
+    """(doc_id, words_sha, n_words, n_removed, kept_sha256, kept): `kept` is the text left of a changed document, else NULL."""
     rows = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).cast("string").alias("text"))
     scanned = kept(_digests(rows), "word-digests")
     # Written apart, so that the join below may split a hot group of copies.
@@ -362,9 +362,24 @@ def dedup_substrings(
     joined = scanned.join(repeats, ["doc_id", "key"], "left")
     return joined.select(
         "doc_id",
-        "key",
+        "words_sha",
         "n_words",
         F.when(whole, F.col("n_words")).otherwise(F.coalesce("n_removed", F.lit(0))).alias("n_removed"),
         F.when(whole, F.lit(NOTHING)).otherwise(F.coalesce("sha", "words_sha")).alias("kept_sha256"),
         F.when(whole, F.lit("")).otherwise(F.col("kept")).alias("kept"),
     )
+
+
+def without_repeats(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", **options) -> DataFrame:
+    """The rows of `docs` with repeated spans cut out of their texts; a row is known by its id and its words."""
+    left = dedup_substrings(docs, id_column=id_column, text_column=text_column, **options)
+    changed = kept(
+        left.filter("n_removed > 0")
+        .select(F.col("doc_id").alias("_id"), F.col("words_sha").alias("_sha"), F.col("kept").alias("_kept"))
+        .dropDuplicates(["_id", "_sha"]),
+        "cut-texts",
+    )
+    words = F.filter(F.split(F.col(text_column).cast("string"), r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    same = (F.col(id_column).cast("long") == F.col("_id")) & (F.sha2(F.concat_ws(" ", words), 256) == F.col("_sha"))
+    joined = docs.join(changed, same, "left")
+    return joined.withColumn(text_column, F.coalesce("_kept", text_column)).select(docs.columns)

@@ -188,21 +188,36 @@ def fit(
     return train(by[1], by[0], counts[1] / (counts[0] + counts[1]))
 
 
+def _scores(texts: Sequence[str | None], model: Model, measure: Savings) -> np.ndarray:
+    if not len(texts):
+        return np.zeros(0)
+    x = np.array([measure.figures((t or "").encode()) for t in texts])
+    logit = model.weights[0] + ((x - model.centre) / model.spread) @ model.weights[1:]
+    return 1 / (1 + np.exp(-np.clip(logit, -30, 30)))
+
+
+def accept(docs: DataFrame, model: Model | None, text_column: str = "text") -> DataFrame:
+    """The rows of `docs`, unchanged, whose score is below 0.5."""
+    if model is None:
+        return docs
+    at = docs.columns.index(text_column)
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        measure = Savings(model.ordinary, model.both)
+        for batch in batches:
+            yield batch.filter(pa.array(_scores(batch.column(at).to_pylist(), model, measure) < 0.5))
+
+    return docs.mapInArrow(keep, docs.schema)
+
+
 def score(docs: DataFrame, model: Model | None, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """(doc_id, held_out, score, predicted) of every whole text."""
 
     def rate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         measure = Savings(model.ordinary, model.both) if model else None
         for batch in batches:
-            if model:
-                x = np.array([measure.figures((t or "").encode()) for t in batch.column(2).to_pylist()]).reshape(
-                    len(batch), -1
-                )
-                logit = model.weights[0] + ((x - model.centre) / model.spread) @ model.weights[1:] if len(x) else x
-                scores = 1 / (1 + np.exp(-np.clip(logit, -30, 30)))
-            else:
-                scores = np.zeros(len(batch))
-            columns = [batch.column(0), batch.column(1), pa.array(scores.reshape(-1), pa.float64())]
+            scores = _scores(batch.column(2).to_pylist(), model, measure) if model else np.zeros(len(batch))
+            columns = [batch.column(0), batch.column(1), pa.array(scores, pa.float64())]
             yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "held_out", "score"])
 
     doc_id = F.col(id_column).cast("long")

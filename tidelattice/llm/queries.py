@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import apply_defaults
-from . import op1_decontamination, op10_sharding, op2_substrings, op4_counts, op6_quality, op7_records, op8_toxicity, op9_packing
+from . import op1_decontamination, op10_sharding, op2_substrings, op4_counts, op5_neardedup, op6_quality, op7_records, op8_toxicity, op9_packing
 from .stages import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -76,7 +76,8 @@ FROM w LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)
 
 @query("op1_decontamination", OP1_SQL)
 def op1(spark: SparkSession, folder: str) -> DataFrame:
-    return op1_decontamination.decontaminate(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    judged = op1_decontamination.decontaminate(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    return judged.drop("text_hash")
 
 
 OP2_SQL = r"""
@@ -121,3 +122,8 @@ def op6(spark: SparkSession, folder: str) -> DataFrame:
     return judged.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "anomaly"
     )
+
+
+@query("op5_near_dedup")
+def op5(spark: SparkSession, folder: str) -> DataFrame:
+    return op5_neardedup.near_classes(table(spark, folder, "documents"))
