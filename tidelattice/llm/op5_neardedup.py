@@ -225,18 +225,21 @@ def near_classes(
         .distinct()
     )
     numbers = bands * band // WIDTH
-    sketch = kept(standing.select("doc_id", "sketch").dropDuplicates(["doc_id"]), "sketches")
+    sketch = kept(standing.select("doc_id", "sketch").distinct(), "sketches")
     pairs = (
         pairs.join(sketch.select(F.col("doc_id").alias("a"), F.col("sketch").alias("_x")), "a")
         .join(sketch.select(F.col("doc_id").alias("b"), F.col("sketch").alias("_y")), "b")
         .filter(_alike("_x", "_y", numbers))
         .select("a", "b")
+        .distinct()
     )
     pairs = kept(pairs, "centre-pairs")
 
     crowd = members.join(centres.select("bucket"), "bucket", "left_semi")
     ids = kept(crowd.select("doc_id").distinct(), "candidate-ids")
-    texts = kept(rows.join(small_or_plain(ids), "doc_id", "left_semi").dropDuplicates(["doc_id"]), "candidate-texts")
+    texts = rows.join(small_or_plain(ids), "doc_id", "left_semi").withColumn("_hash", F.xxhash64("text"))
+    # Several texts of one doc_id all stand for it.
+    texts = kept(texts.dropDuplicates(["doc_id", "_hash"]).drop("_hash"), "candidate-texts")
     links = kept(_verify(pairs, texts, shingle, threshold), "centre-links")
     classes = components(links)
 
@@ -267,7 +270,7 @@ def near_classes(
     named = scanned.select("doc_id", "words_sha").join(firsts, "words_sha", "left")
     named = named.withColumn("copy_of", F.coalesce("copy_of", "doc_id"))
     return named.join(classes.withColumnRenamed("doc_id", "copy_of"), "copy_of", "left").select(
-        "doc_id", "copy_of", F.coalesce("class_id", "copy_of").alias("class_id")
+        "doc_id", "copy_of", F.when(F.col("doc_id").isNotNull(), F.coalesce("class_id", "copy_of")).alias("class_id")
     )
 
 
