@@ -39,6 +39,7 @@ from .stages import kept, small_or_plain
 SHINGLE, THRESHOLD = 5, 0.8
 BANDS, BAND = 40, 6
 CENTRES = 6
+SCAN_BYTES, PAIRS_AT_ONCE = 1 << 20, 256
 # Of 240 registers compared by four bits each, a pair at 0.8 agrees on 195, with a deviation of 6; below this
 # number, four and a half deviations off, a pair is not verified.
 PLANES, WIDTH, LEAST_EQUAL = 4, 60, 168
@@ -103,7 +104,7 @@ def _scan(rows: DataFrame, shingle: int, bands: int, band: int) -> DataFrame:
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in text_slices(batch.column(1)):
+            for part in text_slices(batch.column(1), SCAN_BYTES):
                 words = split_words(part, PLAIN)
                 texts = part.last - part.first
                 winners = signatures(*shingles(words, shingle), texts, bands * band)
@@ -138,7 +139,7 @@ def _verify(pairs: DataFrame, texts: DataFrame, shingle: int, threshold: float)
     """The (a, b) pairs that are similar enough, by their whole texts."""
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (b.slice(at, PAIRS_AT_ONCE) for b in batches for at in range(0, b.num_rows, PAIRS_AT_ONCE)):
             sets = []
             for side in (2, 3):
                 found = {}
