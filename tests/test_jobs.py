@@ -174,3 +174,11 @@ def test_hidden_records_and_residual(spark):
 def test_unknown_transform_is_an_error(spark):
     with pytest.raises(KeyError):
         P.apply_transforms(spark.range(1), ["nope"])
+
+
+def test_leading_records_are_hidden_up_to_any_limit(spark):
+    from tidelattice.operators.select import hide_leading
+
+    df = spark.createDataFrame([("a", t, 1.0) for t in range(6)], "var string, time int, value double")
+    left = hide_leading(df, ["var"], "time", F.lit(4)).filter("value IS NOT NULL").orderBy("time").collect()
+    assert [r["time"] for r in left] == [4, 5]

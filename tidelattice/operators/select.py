@@ -163,9 +163,10 @@ def hide_leading(df: DataFrame, keys: Sequence[str], order: str, limit: Column)
     """PRJ-18: the first records of each series become missing.
 
     `limit` is the number to hide, a Column over `keys`.  Only the leading
-    records are ranked, so a long series never meets in one task.
+    records are ranked (up to the largest limit), so a long series never meets
+    in one task.
     """
-    most = 2
+    most = df.agg(F.max(limit)).first()[0] or 0
     first = Window.partitionBy(*keys).orderBy(order)
     leading = (
         df.select(*keys, order)

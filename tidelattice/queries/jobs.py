@@ -149,11 +149,11 @@ def p_6(t):
 @query(
     "p_7",
     """
-WITH rec AS (SELECT CAST("time" AS DATE) AS d, k, tile, j, i, max(value) AS value FROM field GROUP BY ALL),
+WITH rec AS MATERIALIZED (SELECT CAST("time" AS DATE) AS d, k, tile, j, i, max(value) AS value FROM field GROUP BY ALL),
 days AS (SELECT CAST(unnest(generate_series(TIMESTAMP '1999-12-25', TIMESTAMP '2000-04-10', INTERVAL 1 DAY)) AS DATE) AS d),
 dense AS (SELECT days.d, g.k, g.tile, g.j, g.i, rec.value FROM gridmask g CROSS JOIN days
           LEFT JOIN rec ON rec.d = days.d AND rec.k = g.k AND rec.tile = g.tile AND rec.j = g.j AND rec.i = g.i)
-SELECT strftime(d, '%Y-%m-%d') AS "date", k, tile, j, i, value FROM dense WHERE d IN (SELECT d FROM dense WHERE value IS NOT NULL)
+SELECT strftime(d, '%Y-%m-%d') AS "date", k, tile, j, i, value FROM dense WHERE d IN (SELECT d FROM rec WHERE value IS NOT NULL)
 """,
 )
 def p_7(t):
