@@ -8,8 +8,12 @@ Two registers agree with the probability Jaccard similarity of the documents.
 
 Bands of `BAND` registers make the buckets.  With 40 bands of 6, a pair at 0.8
 misses all of them with probability 5e-6.  Pairs whose registers estimate far
-less than the threshold are passed over.  Links are pairs from one bucket whose exact Jaccard similarity of distinct shingles is at least `threshold`;
-classes are the connected components.  No bucket is expanded into all pairs:
+less than the threshold are passed over, and so are pairs that differ in too
+many shingles: each text has `PARITY` bits, a shingle flips one of them, and two
+texts differ in at least as many shingles as bits, so this test loses no link.
+Links are pairs from one bucket whose exact Jaccard similarity of distinct
+shingles is at least `threshold`; classes are the connected components.  No
+bucket is expanded into all pairs:
 
 1. documents with equal words stand for one;
 2. every member of a bucket meets `CENTRES` members, chosen by hash, and
@@ -26,6 +30,7 @@ rows; extra columns are ignored.
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -40,9 +45,10 @@ SHINGLE, THRESHOLD = 5, 0.8
 BANDS, BAND = 40, 6
 CENTRES = 6
 SCAN_BYTES, PAIRS_AT_ONCE = 1 << 20, 256
-# Of 240 registers compared by four bits each, a pair at 0.8 agrees on 195, with a deviation of 6; below this
-# number, four and a half deviations off, a pair is not verified.
-PLANES, WIDTH, LEAST_EQUAL = 4, 60, 168
+# Registers are compared by four bits each.  Of 240, a pair at 0.8 agrees on 195, with a deviation of 6; four and a
+# half deviations off, below 168, a pair is not verified.
+PLANES, WIDTH, DEVIATIONS = 4, 60, 4.5
+PARITY = 1024
 
 
 def shingles(words: Words, size: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
@@ -54,16 +60,24 @@ def shingles(words: Words, size: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]
     return np.concatenate([hashes[at], whole]), np.concatenate([words.text_of[at], short])
 
 
-def signatures(hashes: np.ndarray, text: np.ndarray, texts: int, registers: int) -> np.ndarray:
-    """ProbMinHash signatures, one row of `registers` shingle hashes per text."""
+def distinct(hashes: np.ndarray, text: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct shingles of each text, their texts and how often they occur."""
     order = np.lexsort((hashes, text))
     hashes, text = hashes[order], text[order]
     fresh = np.ones(len(hashes), bool)
     fresh[1:] = (hashes[1:] != hashes[:-1]) | (text[1:] != text[:-1])
     first = np.flatnonzero(fresh)
-    weight = 1 + np.log(np.diff(np.append(first, len(hashes))))
-    hashes, text = hashes[first], text[first]
+    return hashes[first], text[first], np.diff(np.append(first, len(hashes)))
+
+
+def signatures(hashes: np.ndarray, text: np.ndarray, texts: int, registers: int) -> np.ndarray:
+    """ProbMinHash signatures, one row of `registers` shingle hashes per text."""
+    return arrivals(*distinct(hashes, text), texts, registers)
 
+
+def arrivals(hashes: np.ndarray, text: np.ndarray, counts: np.ndarray, texts: int, registers: int) -> np.ndarray:
+    """The first shingle to arrive at each register, of distinct shingles with their counts."""
+    weight = 1 + np.log(counts)
     earliest = np.full(texts * registers, np.inf)
     winner = np.zeros(texts * registers, np.uint64)
     latest = np.full(texts, np.inf)  # of the earliest arrivals of a text's registers
@@ -92,23 +106,38 @@ def band_keys(winners: np.ndarray, band: int) -> np.ndarray:
     return keys
 
 
+def parities(hashes: np.ndarray, text: np.ndarray, texts: int) -> np.ndarray:
+    """`PARITY` bits per text, of which every distinct shingle flips one."""
+    out = np.zeros(texts * (PARITY // 64), np.uint64)
+    bit = (mix(hashes ^ np.uint64(0xA5A5A5A5A5A5A5A5)) % np.uint64(PARITY)).astype(np.int64)
+    np.bitwise_xor.at(out, text * (PARITY // 64) + bit // 64, np.uint64(1) << (bit % 64).astype(np.uint64))
+    return out.reshape(texts, -1)
+
+
 def sketches(winners: np.ndarray) -> np.ndarray:
-    """Four bits per register, as bit planes of `WIDTH` registers to a number."""
-    bits = mix(winners).reshape(len(winners), 1, -1, WIDTH) >> np.arange(PLANES, dtype=np.uint64)[:, None, None]
+    """Four bits per register, as bit planes of `WIDTH` registers to a number; registers left over are not compared."""
+    winners = winners[:, : winners.shape[1] // WIDTH * WIDTH]
+    bits = mix(winners).reshape(len(winners), 1, winners.shape[1] // WIDTH, WIDTH) >> np.arange(PLANES, dtype=np.uint64)[:, None, None]
     planes = ((bits & np.uint64(1)) << np.arange(WIDTH, dtype=np.uint64)).sum(3, dtype=np.uint64)
-    return planes.reshape(len(winners), -1)
+    return planes.reshape(len(winners), PLANES * planes.shape[2])
 
 
 def _scan(rows: DataFrame, shingle: int, bands: int, band: int) -> DataFrame:
-    """(doc_id, words_sha, keys, sketch): NULL sha and no keys for a text without words."""
+    """(doc_id, words_sha, keys, sketch): NULL sha and no keys for a text without words.
+
+    A sketch is the register bits, then the parity bits, then the number of distinct shingles.
+    """
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in text_slices(batch.column(1), SCAN_BYTES):
                 words = split_words(part, PLAIN)
                 texts = part.last - part.first
-                winners = signatures(*shingles(words, shingle), texts, bands * band)
-                keys, bits = band_keys(winners, band), sketches(winners)
+                hashes, text, counts = distinct(*shingles(words, shingle))
+                winners = arrivals(hashes, text, counts, texts, bands * band)
+                sizes = np.bincount(text, minlength=texts).astype(np.uint64)
+                keys = band_keys(winners, band)
+                bits = np.concatenate([sketches(winners), parities(hashes, text, texts), sizes[:, None]], axis=1)
                 there = words.counts > 0
                 raw, at = part.data.tobytes(), part.offsets.tolist()
                 shas = [hashlib.sha256(b" ".join(raw[a:b].split())).hexdigest() for a, b in zip(at, at[1:])]
@@ -125,14 +154,24 @@ def _scan(rows: DataFrame, shingle: int, bands: int, band: int) -> DataFrame:
     return rows.mapInArrow(scan, "doc_id long, words_sha string, keys array<long>, sketch array<long>")
 
 
-def _alike(x: str, y: str, numbers: int):
-    """Whether two sketches agree on enough registers for a link."""
+def _alike(x: str, y: str, numbers: int, threshold: float):
+    """Whether two sketches allow a link."""
+    size, bits = numbers * WIDTH, numbers * PLANES
+    equal = threshold + (1 - threshold) / 2**PLANES
+    least = math.ceil(max(0.0, size * equal - DEVIATIONS * math.sqrt(size * equal * (1 - equal))))
+
+    def apart(k: int):
+        return F.col(x)[k].bitwiseXOR(F.col(y)[k])
 
     def differing(k: int):
-        planes = [F.col(x)[p * numbers + k].bitwiseXOR(F.col(y)[p * numbers + k]) for p in range(PLANES)]
+        planes = [apart(p * numbers + k) for p in range(PLANES)]
         return F.bit_count(planes[0].bitwiseOR(planes[1]).bitwiseOR(planes[2]).bitwiseOR(planes[3]))
 
-    return sum((differing(k) for k in range(numbers)), F.lit(0)) <= numbers * WIDTH - LEAST_EQUAL
+    end = bits + PARITY // 64
+    total, gap = F.col(x)[end] + F.col(y)[end], F.abs(F.col(x)[end] - F.col(y)[end])
+    odd = sum((F.bit_count(apart(k)) for k in range(bits, end)), F.lit(0))
+    most = total * ((1 - threshold) / (1 + threshold)) + 1e-6  # shingles that only one of two linked texts may have
+    return (gap <= most) & (odd <= most) & (sum((differing(k) for k in range(numbers)), F.lit(0)) <= size - least)
 
 
 def _verify(pairs: DataFrame, texts: DataFrame, shingle: int, threshold: float) -> DataFrame:
@@ -230,7 +269,7 @@ def near_classes(
     pairs = (
         pairs.join(sketch.select(F.col("doc_id").alias("a"), F.col("sketch").alias("_x")), "a")
         .join(sketch.select(F.col("doc_id").alias("b"), F.col("sketch").alias("_y")), "b")
-        .filter(_alike("_x", "_y", numbers))
+        .filter(_alike("_x", "_y", numbers, threshold))
         .select("a", "b")
         .distinct()
     )
@@ -259,7 +298,7 @@ def near_classes(
     )
     meet = (F.col("bucket") == F.col("_bucket")) & (F.col("class_id") < F.col("other_class"))
     across = (
-        placed.join(other, meet & _alike("sketch", "other_sketch", numbers))
+        placed.join(other, meet & _alike("sketch", "other_sketch", numbers, threshold))
         .select(F.least("doc_id", "other").alias("a"), F.greatest("doc_id", "other").alias("b"))
         .distinct()
         .join(pairs, ["a", "b"], "left_anti")
