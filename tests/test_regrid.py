@@ -158,3 +158,12 @@ def test_plans_have_no_pairwise_join(spark):
         assert "WindowGroupLimit" in plan
     broadcast = R.regrid_points(source, target, "mean")._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in broadcast and "SortMergeJoin" not in broadcast
+
+
+def test_a_cell_without_a_radius_has_only_a_fallback(spark):
+    source = spark.createDataFrame([(1, 0.0, 0.0)], "source_id long, lon double, lat double")
+    cells = [(1, 0.0, 0.001, None), (2, 0.0, 0.001, float("nan")), (3, 0.0, 0.001, 1000.0)]
+    target = spark.createDataFrame(cells, "target_id long, lon double, lat double, radius double")
+    assert [r.target_id for r in R.radius_pairs(source, target, 1000.0).collect()] == [3]
+    edges = R.mapping_edges(source, target, 1000.0, 5000.0).collect()
+    assert {r.target_id: r.is_fallback for r in edges} == {1: True, 2: True, 3: False}

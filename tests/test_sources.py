@@ -80,10 +80,12 @@ def test_feed_pages(spark, tmp_path):
     assert str(got[0].time_start) == "2000-01-01 00:00:00" and got[0].size_mb == 1.5
 
 
-def test_listing_keeps_the_hour(spark):
+def test_listing_keeps_the_whole_time(spark):
     url = "https://h/X/SSH_snap_2000-01-02T060000_MODEL_V1_native_g.nc"
-    got = G.listing_dates(spark.createDataFrame([(url,)], "url string")).first()
-    assert got.date_text == "2000-01-02T06" and str(got.time_start) == "2000-01-02 06:00:00"
+    urls = [(url.replace("T060000", f"T{late}"),) for late in ("060000", "063000", "0630", "06")]
+    got = G.listing_dates(spark.createDataFrame(urls, "url string")).collect()
+    assert [r.date_text for r in got] == ["2000-01-02T060000", "2000-01-02T063000", "2000-01-02T0630", "2000-01-02T06"]
+    assert [str(r.time_start)[11:16] for r in got] == ["06:00", "06:30", "06:30", "06:00"]
 
 
 def test_harvest_last_match_wins(spark):
@@ -168,3 +170,18 @@ def test_mapping_cache_computes_once(spark, tmp_path):
     for _ in range(2):
         assert K.stored_or_computed(spark, str(tmp_path / "e"), compute).count() == 5
     assert len(calls) == 1
+
+
+def test_nan_is_missing_in_opened_files(spark, tmp_path):
+    rows = "timestamp'2000-01-01' AS time, 'A' AS var, explode(array(1D, double('NaN'))) AS value"
+    spark.sql(f"SELECT {rows}").write.parquet(str(tmp_path / "s"))
+    assert FS.open_series(spark, str(tmp_path / "s")).agg(F.count("value"), F.max("value")).first() == (1, 1.0)
+    assert FS.open_many(spark, str(tmp_path / "s")).agg(F.count("value"), F.max("value")).first() == (1, 1.0)
+
+
+def test_records_of_two_datasets_stay_apart(spark):
+    rows = "'A' AS var, '20000101' AS time, 0 AS k, 1 AS tile, 0 AS j, 0 AS i"
+    cells = spark.sql(f"SELECT explode(array('D', 'E')) AS dataset, {rows}, 1D AS value")
+    assert B.encode_records(cells, 2, 1).count() == 2
+    with pytest.raises(Exception, match="several rows for one cell"):
+        B.encode_records(cells, 2, 1, keys=("var", "time")).collect()

@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.geometry import EARTH_RADIUS, great_circle, neighbour_cap
-from ..functions.missing import mean_all_present, mean_present
+from ..functions.missing import mean_all_present, mean_present, null_if_nan
 from .scale import exact_median, split_hot_keys
 
 # Target rows (after repetition over bins) that may be broadcast: about 60 bytes each.
@@ -83,7 +83,7 @@ class GridSize:
 
     @staticmethod
     def of(target: DataFrame) -> GridSize:
-        row = target.agg(F.count(F.lit(1)), F.max("radius")).first()
+        row = target.agg(F.count(F.lit(1)), F.max(null_if_nan(F.col("radius")))).first()
         return GridSize(int(row[0]), float(row[1] or 0.0))
 
 
@@ -109,7 +109,8 @@ def pairs_within(
     cells = binned_targets(
         target.filter(F.col("lon").isNotNull() & F.col("lat").isNotNull())
         .select("target_id", F.col("lon").alias("lon"), F.col("lat").alias("lat"), "radius")
-        .withColumn("_reach", reach),
+        .withColumn("_reach", reach)
+        .filter("_reach >= 0"),
         width,
     ).withColumnsRenamed({"lon": "_tlon", "lat": "_tlat"})
     keys = ["_row", "_col"]
@@ -126,8 +127,12 @@ def pairs_within(
 
 
 def in_reach(widest: float) -> Column:
-    """The search radius is whole metres of the largest radius, and never beyond the cell's own."""
-    return F.least(F.col("radius"), F.lit(float(math.floor(widest))))
+    """The search radius is whole metres of the largest radius, and never beyond the cell's own.
+
+    A cell without a radius (NULL or NaN) reaches nothing, so it can only have a fallback.
+    """
+    own = null_if_nan(F.col("radius"))
+    return F.when(own.isNotNull(), F.least(own, F.lit(float(math.floor(widest))))).otherwise(F.lit(-1.0))
 
 
 def radius_pairs(

@@ -68,16 +68,15 @@ def repair_audit(
     stored: DataFrame,
     actual: DataFrame,
     new: DataFrame,
-    share: float,
     comment_fixes: Sequence[str] = (),
     unit_fixes: Mapping[str, str] | None = None,
 ) -> DataFrame:
-    """P-14: one status per granule from its header, its variables, its ranges and a sampled look at its values.
+    """P-14: one status per granule from its header, its variables, its ranges and its values.
 
     `granules` have (id, file_id, dataset, units, ...), `units` being a map from
     variable to unit; ranges are keyed by (dataset, var).  Variables with a new
-    comment (SO-3) or another unit are repaired.  A sampled granule fails when
-    its new range excludes actual values.
+    comment (SO-3) or another unit are repaired.  A granule fails when its
+    new range excludes actual values.
     """
     headers = header_status(granules, repairs)
     audit = A.range_audit(actual, stored, new, ["dataset", "var"])
@@ -86,9 +85,7 @@ def repair_audit(
         F.bool_or("new_bad").alias("_bad"), F.bool_or(changed).alias("_changed")
     )
     joined = headers.join(per_dataset, "dataset", "left")
-    failed = (F.col("status") == FAILED) | F.col("_changed").isNull() | (
-        in_sample(F.col("file_id"), share) & F.col("_bad")
-    )
+    failed = (F.col("status") == FAILED) | F.col("_changed").isNull() | F.col("_bad")
     commented = F.arrays_overlap(F.map_keys("units"), F.array(*[F.lit(v) for v in comment_fixes]).cast("array<string>"))
     updated = (F.col("status") == UPDATED) | F.col("_changed") | commented
     for name, unit in (unit_fixes or {}).items():

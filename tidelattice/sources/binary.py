@@ -61,11 +61,11 @@ def decode_records(records: DataFrame, n: int, dtype: str = ">f4") -> DataFrame:
     ).select("var", "step", "k", "cell.*", "value")
 
 
-def encode_records(field: DataFrame, n: int, levels: int, keys: tuple[str, ...] = ("var", "time"), dtype: str = ">f4", fill: float = MISSING) -> DataFrame:
+def encode_records(field: DataFrame, n: int, levels: int, keys: tuple[str, ...] = ("dataset", "var", "time"), dtype: str = ">f4", fill: float = MISSING) -> DataFrame:
     """SNK-2: one payload per record, cells in compact order and missing ones filled.
 
     A record is one grid snapshot, so a group is bounded by the grid, never by
-    the length of the archive.
+    the length of the archive.  Two rows for one cell of a record are an error.
     """
     size = levels * 13 * n * n
     spot = tile_to_compact(F.col("tile"), F.col("j"), F.col("i"), n)
@@ -78,6 +78,8 @@ def encode_records(field: DataFrame, n: int, levels: int, keys: tuple[str, ...]
 
     def pack(pdf: pd.DataFrame) -> pd.DataFrame:
         out = np.full(size, fill, dtype=dtype)
+        if pdf["pos"].duplicated().any():
+            raise ValueError(f"record {tuple(pdf[c].iloc[0] for c in names)} has several rows for one cell")
         good = pdf[pdf["value"].notna()]
         out[good["pos"].to_numpy()] = good["value"].to_numpy()
         head = {c: [pdf[c].iloc[0]] for c in names}

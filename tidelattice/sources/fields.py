@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..functions.missing import normalise_missing
+
 FIELD_SCHEMA = (
     "dataset string, time timestamp, k int, tile int, j int, i int, var string, loc string, value double"
 )
@@ -21,10 +23,10 @@ def dataset_folders(spark: SparkSession, base: str, pattern: str = "*.parquet")
 
 
 def open_many(spark: SparkSession, *paths: str) -> DataFrame:
-    """SRC-6: many files as one field; coordinates live once in the grid table."""
-    return spark.read.schema(FIELD_SCHEMA).parquet(*paths)
+    """SRC-6: many files as one field, NaN as NULL; coordinates live once in the grid table."""
+    return normalise_missing(spark.read.schema(FIELD_SCHEMA).parquet(*paths), "value")
 
 
 def open_series(spark: SparkSession, *paths: str) -> DataFrame:
-    """SRC-12: 1-D products as (time, var, value)."""
-    return spark.read.schema(SERIES_SCHEMA).parquet(*paths)
+    """SRC-12: 1-D products as (time, var, value), NaN as NULL."""
+    return normalise_missing(spark.read.schema(SERIES_SCHEMA).parquet(*paths), "value")

@@ -67,12 +67,14 @@ def to_feed(granules: DataFrame, page_size: int) -> DataFrame:
 
 
 def listing_dates(listing: DataFrame) -> DataFrame:
-    """SRC-4: date text and timestamp from the date slot of each path; 13 characters keep the hour."""
-    token = F.substring(token_from_right(F.col("url"), DATE_SLOT), 1, 13)
+    """SRC-4: date text and timestamp from the date slot of each path; the timestamp is as exact as the text."""
+    token = token_from_right(F.col("url"), DATE_SLOT)
     stamp = (
         F.when(F.length(token) == 7, F.to_timestamp(token, "yyyy-MM"))
         .when(F.length(token) == 10, F.to_timestamp(token, "yyyy-MM-dd"))
-        .otherwise(F.to_timestamp(token, "yyyy-MM-dd'T'HH"))
+        .when(F.length(token) == 13, F.to_timestamp(token, "yyyy-MM-dd'T'HH"))
+        .when(F.length(token) == 15, F.to_timestamp(token, "yyyy-MM-dd'T'HHmm"))
+        .otherwise(F.to_timestamp(token, "yyyy-MM-dd'T'HHmmss"))
     )
     return listing.withColumn("date_text", token).withColumn("time_start", stamp)
 
