@@ -294,3 +294,15 @@ def test_stages_keep_columns(spark):
 @pytest.mark.parametrize("name", sorted(SQL))
 def test_sql(spark, name):
     assert differences(QUERIES[name](spark, SMALL), connect(SMALL), SQL[name]) == []
+
+
+def test_parity_bits_never_exceed_the_difference():
+    rng = np.random.default_rng(5)
+    sets = [rng.choice(9000, rng.integers(0, 3000), replace=False).astype(np.uint64) for _ in range(40)]
+    hashes, text = np.concatenate(sets), np.repeat(np.arange(40), [len(x) for x in sets])
+    bits = op5.parities(hashes, text, 40)
+    for a in range(40):
+        for b in range(40):
+            apart = len(np.setxor1d(sets[a], sets[b]))
+            assert np.bitwise_count(bits[a] ^ bits[b]).sum() <= apart
+    assert op5.parities(hashes[:0], text[:0], 3).shape == (3, op5.PARITY // 64) and not op5.parities(hashes[:0], text[:0], 3).any()
