@@ -306,3 +306,13 @@ def test_parity_bits_never_exceed_the_difference():
             apart = len(np.setxor1d(sets[a], sets[b]))
             assert np.bitwise_count(bits[a] ^ bits[b]).sum() <= apart
     assert op5.parities(hashes[:0], text[:0], 3).shape == (3, op5.PARITY // 64) and not op5.parities(hashes[:0], text[:0], 3).any()
+
+
+def test_repeated_shingles_do_not_hide_a_link(spark):
+    rows = []
+    for k in range(12):
+        shared = [f"s{k}x{i}" for i in range(180)]
+        added = [f"a{k}x{i}" for i in range(36)]
+        rows += [(2 * k, " ".join(shared)), (2 * k + 1, " ".join(shared + added * 20))]  # 176 of 216 distinct shingles
+    got = op5.near_classes(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r["doc_id"]: r["class_id"] for r in got} == {d: d // 2 * 2 for d, _ in rows}

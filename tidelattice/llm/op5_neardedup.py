@@ -1,10 +1,12 @@
 """Near-duplicate classes by ProbMinHash, banding and verification.
 
-A document is its five-word shingles, weighted by 1 + ln(count).  In a
-signature each shingle is a Poisson process with its weight as rate; arrivals
+A document is its distinct five-word shingles, all of equal weight however
+often they occur: links are decided by distinct shingles, so signatures must
+be too.  In a signature each shingle is a Poisson process of rate one; arrivals
 fall on random registers, a register keeps the shingle that arrives first, and
 a shingle stops as soon as its next arrival is later than every register's.
-Two registers agree with the probability Jaccard similarity of the documents.
+With equal weights the probability Jaccard similarity, with which two registers
+agree, is the Jaccard similarity of distinct shingles.
 
 Bands of `BAND` registers make the buckets.  With 40 bands of 6, a pair at 0.8
 misses all of them with probability 5e-6.  Pairs whose registers estimate far
@@ -60,14 +62,13 @@ def shingles(words: Words, size: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]
     return np.concatenate([hashes[at], whole]), np.concatenate([words.text_of[at], short])
 
 
-def distinct(hashes: np.ndarray, text: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct shingles of each text, their texts and how often they occur."""
+def distinct(hashes: np.ndarray, text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct shingles of each text, and their texts."""
     order = np.lexsort((hashes, text))
     hashes, text = hashes[order], text[order]
     fresh = np.ones(len(hashes), bool)
     fresh[1:] = (hashes[1:] != hashes[:-1]) | (text[1:] != text[:-1])
-    first = np.flatnonzero(fresh)
-    return hashes[first], text[first], np.diff(np.append(first, len(hashes)))
+    return hashes[fresh], text[fresh]
 
 
 def signatures(hashes: np.ndarray, text: np.ndarray, texts: int, registers: int) -> np.ndarray:
@@ -75,9 +76,8 @@ def signatures(hashes: np.ndarray, text: np.ndarray, texts: int, registers: int)
     return arrivals(*distinct(hashes, text), texts, registers)
 
 
-def arrivals(hashes: np.ndarray, text: np.ndarray, counts: np.ndarray, texts: int, registers: int) -> np.ndarray:
-    """The first shingle to arrive at each register, of distinct shingles with their counts."""
-    weight = 1 + np.log(counts)
+def arrivals(hashes: np.ndarray, text: np.ndarray, texts: int, registers: int) -> np.ndarray:
+    """The first shingle to arrive at each register, of distinct shingles."""
     earliest = np.full(texts * registers, np.inf)
     winner = np.zeros(texts * registers, np.uint64)
     latest = np.full(texts, np.inf)  # of the earliest arrivals of a text's registers
@@ -85,7 +85,7 @@ def arrivals(hashes: np.ndarray, text: np.ndarray, counts: np.ndarray, texts: in
     while len(at):
         turn += 1
         drawn = mix(hashes[at] + np.uint64((turn * 0xD1342543DE82EF95) & 0xFFFFFFFFFFFFFFFF))
-        time = time - np.log(((drawn >> np.uint64(11)).astype(np.float64) + 0.5) / 2**53) / weight[at]
+        time = time - np.log(((drawn >> np.uint64(11)).astype(np.float64) + 0.5) / 2**53)
         early = time < latest[text[at]]
         at, time, drawn = at[early], time[early], drawn[early]
         place = text[at] * registers + (mix(drawn) % np.uint64(registers)).astype(np.int64)
@@ -133,8 +133,8 @@ def _scan(rows: DataFrame, shingle: int, bands: int, band: int) -> DataFrame:
             for part in text_slices(batch.column(1), SCAN_BYTES):
                 words = split_words(part, PLAIN)
                 texts = part.last - part.first
-                hashes, text, counts = distinct(*shingles(words, shingle))
-                winners = arrivals(hashes, text, counts, texts, bands * band)
+                hashes, text = distinct(*shingles(words, shingle))
+                winners = arrivals(hashes, text, texts, bands * band)
                 sizes = np.bincount(text, minlength=texts).astype(np.uint64)
                 keys = band_keys(winners, band)
                 bits = np.concatenate([sketches(winners), parities(hashes, text, texts), sizes[:, None]], axis=1)
