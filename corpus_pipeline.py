@@ -3,7 +3,8 @@
 Stages take (spark, docs, sf_dir) and work on all rows that their predecessor
 kept.  All but the last return the columns of documents:
 
-* toxicity: fitted on the labelled rows among the documents; rejected ones go
+* toxicity: fitted on the labelled rows among the documents; those above its rejection cut go, which is set to lose at
+  most op8's MAX_LOSS of clean documents
 * near_dedup: one document of each class of near copies stays
 * substring_dedup: spans of 13 words and more that a smaller doc_id has are cut out of the text
 * decontamination: documents with passages of the benchmark go

@@ -316,3 +316,54 @@ def test_repeated_shingles_do_not_hide_a_link(spark):
         rows += [(2 * k, " ".join(shared)), (2 * k + 1, " ".join(shared + added * 20))]  # 176 of 216 distinct shingles
     got = op5.near_classes(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert {r["doc_id"]: r["class_id"] for r in got} == {d: d // 2 * 2 for d, _ in rows}
+
+
+def test_rejection_keeps_clean_rows():
+    clean = np.linspace(0, 0.99, 1000)  # 495 of them are above 0.5
+    cut = op8._reject_cut(clean)
+    assert (clean > cut).mean() <= op8.MAX_LOSS
+    assert op8._reject_cut(clean[:40] / 2) == 0.5 and op8._reject_cut(clean[:0]) == 1.0
+
+
+def test_stages_keep_the_right_rows(spark):
+    def rows(frame):
+        return sorted((r["doc_id"], r["text"] or "") for r in frame.select("doc_id", "text").collect())
+
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    stages = dict(corpus_pipeline.STAGES)
+    texts = dict(rows(docs))
+    assert len(texts) == docs.count()
+
+    model = op8.fit(docs, spark.read.parquet(f"{SMALL}/labels.parquet"))
+    scores = op8._scores([texts[d] for d in sorted(texts)], model, op8.Savings(model.ordinary, model.both))
+    assert rows(stages["toxicity"](spark, docs, SMALL)) == [(d, texts[d]) for d, s in zip(sorted(texts), scores) if s <= model.reject]
+
+    sets = {}
+    for d, t in texts.items():
+        ws = PLAIN.findall(t)
+        sets[d] = {tuple(ws[k : k + 5]) for k in range(len(ws) - 4)} if len(ws) >= 5 else {tuple(ws)} if ws else set()
+    label = {d: d for d in texts}
+    changed = True
+    while changed:
+        changed = False
+        for a in sets:
+            for b in sets:
+                if label[a] != label[b] and sets[a] and sets[b] and len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b]):
+                    label[a] = label[b] = min(label[a], label[b])
+                    changed = True
+    assert rows(stages["near_dedup"](spark, docs, SMALL)) == [(d, texts[d]) for d in sorted(texts) if label[d] == d]
+
+    least = {}
+    for d in sorted(texts):
+        ws = PLAIN.findall(texts[d])
+        for k in range(len(ws) - 12):
+            least.setdefault(tuple(ws[k : k + 13]), d)
+    want = []
+    for d in sorted(texts):
+        ws = PLAIN.findall(texts[d])
+        gone = {p for k in range(len(ws) - 12) if least[tuple(ws[k : k + 13])] < d for p in range(k, k + 13)}
+        want.append((d, " ".join(w for k, w in enumerate(ws) if k not in gone)))
+    assert [(d, " ".join(PLAIN.findall(t))) for d, t in rows(stages["substring_dedup"](spark, docs, SMALL))] == want
+
+    judged = QUERIES["op1_decontamination"](spark, SMALL).filter("NOT contaminated")
+    assert rows(stages["decontamination"](spark, docs, SMALL)) == [(d, texts[d]) for d in sorted(r["doc_id"] for r in judged.collect())]

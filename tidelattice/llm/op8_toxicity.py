@@ -9,6 +9,10 @@ document are summed up in a few figures, and a logistic curve calibrated on
 labelled rows turns those into a score; its threshold of 0.5 is placed where
 precision and recall of the calibration rows balance best (F1).
 
+`predicted` is that balance and no ground for deleting a row: at it, clean rows
+are lost too.  `accept` has a cut of its own, the least one that rejects at most
+`MAX_LOSS` of clean rows, with a margin for the chance in the calibration rows.
+
 Everything is fitted on at most `SAMPLE` labelled texts a class, none longer
 than `SAMPLE_BYTES`, chosen by a hash of doc_id; a third of them calibrates.
 All documents are scored whole.
@@ -34,6 +38,7 @@ from pyspark.sql import functions as F
 SAMPLE, SAMPLE_BYTES = 3000, 1 << 16
 WINDOW_BYTES = 100
 ORDINARY_BYTES, TOXIC_BYTES = 64_000, 4_000
+MAX_LOSS = 0.01  # share of the clean rows that `accept` may reject
 RECURRING = 0.008  # share of the toxic texts a word must be in
 LEVEL = 3
 FOLDS = 5
@@ -65,6 +70,7 @@ class Model(NamedTuple):
     centre: np.ndarray
     spread: np.ndarray
     weights: np.ndarray  # intercept first
+    reject: float  # the score above which `accept` rejects
 
 
 def _bare(word: bytes) -> bytes:
@@ -125,6 +131,22 @@ def _best_cut(logit: np.ndarray, y: np.ndarray, weight: np.ndarray) -> float:
     return float((logit[order[best]] + nearest) / 2)
 
 
+def _probability(logit: np.ndarray) -> np.ndarray:
+    return 1 / (1 + np.exp(-np.clip(logit, -30, 30)))
+
+
+def _reject_cut(clean: np.ndarray) -> float:
+    """The least score, 0.5 or more, that few enough clean scores exceed; without clean rows, 1.
+
+    Few enough is `MAX_LOSS` of them less 1.645 deviations of that number, and none of a small sample.
+    """
+    if not len(clean):
+        return 1.0
+    most = MAX_LOSS * len(clean)
+    falling = np.sort(clean)[::-1]
+    return max(0.5, float(falling[max(0, int(most - 1.645 * most**0.5))]))
+
+
 def train(toxic: Sequence[str], ordinary: Sequence[str], share_toxic: float) -> Model | None:
     """A model from two samples and the share of toxic rows among all labelled ones."""
     if not toxic or not ordinary:
@@ -150,7 +172,8 @@ def train(toxic: Sequence[str], ordinary: Sequence[str], share_toxic: float) ->
     x = (x - centre) / spread
     weights = _logistic(x, y, weight)
     weights[0] -= _best_cut(weights[0] + x @ weights[1:], y, weight)
-    return Model(plain, both, centre, spread, weights)
+    clean = _probability(weights[0] + x[y == 0] @ weights[1:])
+    return Model(plain, both, centre, spread, weights, _reject_cut(clean))
 
 
 def _shuffled(doc_id: int) -> int:
@@ -193,11 +216,11 @@ def _scores(texts: Sequence[str | None], model: Model, measure: Savings) -> np.n
         return np.zeros(0)
     x = np.array([measure.figures((t or "").encode()) for t in texts])
     logit = model.weights[0] + ((x - model.centre) / model.spread) @ model.weights[1:]
-    return 1 / (1 + np.exp(-np.clip(logit, -30, 30)))
+    return _probability(logit)
 
 
 def accept(docs: DataFrame, model: Model | None, text_column: str = "text") -> DataFrame:
-    """The rows of `docs`, unchanged, whose score is below 0.5."""
+    """The rows of `docs`, unchanged, whose score is not above the model's rejection cut."""
     if model is None:
         return docs
     at = docs.columns.index(text_column)
@@ -205,7 +228,7 @@ def accept(docs: DataFrame, model: Model | None, text_column: str = "text") -> D
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         measure = Savings(model.ordinary, model.both)
         for batch in batches:
-            yield batch.filter(pa.array(_scores(batch.column(at).to_pylist(), model, measure) < 0.5))
+            yield batch.filter(pa.array(_scores(batch.column(at).to_pylist(), model, measure) <= model.reject))
 
     return docs.mapInArrow(keep, docs.schema)
 
