@@ -167,3 +167,14 @@ def test_a_cell_without_a_radius_has_only_a_fallback(spark):
     assert [r.target_id for r in R.radius_pairs(source, target, 1000.0).collect()] == [3]
     edges = R.mapping_edges(source, target, 1000.0, 5000.0).collect()
     assert {r.target_id: r.is_fallback for r in edges} == {1: True, 2: True, 3: False}
+
+
+def test_no_cap_on_partners(spark):
+    source = spark.range(250).selectExpr("id AS source_id", "id / 1000D AS lon", "0D AS lat", "double(id) AS value")
+    target = spark.sql("SELECT 0L AS target_id, 0D AS lon, 0D AS lat, 100000D AS radius")
+    assert R.radius_pairs(source, target, 50e3).count() == 250
+    assert R.radius_pairs(source, target, 50e3, neighbours=200).count() == 200
+    edges = R.mapping_edges(source, target, 50e3, 200e3)
+    assert edges.count() == 250
+    out = R.apply_mapping(edges, source.select("source_id", "value"), "mean", group=()).first()
+    assert (out.value, out.n_source) == (124.5, 250)

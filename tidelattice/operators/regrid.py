@@ -139,7 +139,7 @@ def radius_pairs(
     source: DataFrame,
     target: DataFrame,
     shortest: float,
-    neighbours: int | None = 100,
+    neighbours: int | None = None,
     carry: Sequence[str] = (),
     group: Sequence[str] = (),
     size: GridSize | None = None,
@@ -148,17 +148,16 @@ def radius_pairs(
     """JN-1 / WN-2: sources within each target's radius, nearest first, with their rank.
 
     `neighbours` is the user's limit on sources per target (the nearest are
-    kept); None keeps them all and adds no rank and no window.  The rank filter
-    is applied per map task before the shuffle.
+    kept); None, the default, keeps them all and adds no rank and no window.  The
+    rank filter is applied per map task before the shuffle.  `shortest` bounds nothing.
     """
     size = size or GridSize.of(target)
     widest = size.widest
     pairs = pairs_within(source, target, in_reach(widest), widest, size, [*carry, *group], **options).drop("radius")
     if neighbours is None:
         return pairs
-    cap = min(neighbours, math.ceil((2.0 * widest / shortest) ** 2))
     nearest_first = Window.partitionBy("target_id", *group).orderBy("dist", "source_id")
-    return pairs.withColumn("rank", F.row_number().over(nearest_first)).filter(F.col("rank") <= cap)
+    return pairs.withColumn("rank", F.row_number().over(nearest_first)).filter(F.col("rank") <= neighbours)
 
 
 def nearest_pairs(
@@ -183,7 +182,7 @@ def mapping_edges(
     target: DataFrame,
     shortest: float,
     longest: float,
-    neighbours: int | None = 100,
+    neighbours: int | None = None,
     group: Sequence[str] = (),
     **options,
 ) -> DataFrame:
@@ -204,9 +203,8 @@ def mapping_edges(
     )
     out = [*keys, "source_id", "dist", "is_fallback"]
     if neighbours is not None:
-        cap = min(neighbours, math.ceil((2.0 * size.widest / shortest) ** 2))
         nearest_first = Window.partitionBy(*keys).orderBy("dist", "source_id")
-        ranked = pairs.withColumn("rank", F.row_number().over(nearest_first)).filter(F.col("rank") <= cap)
+        ranked = pairs.withColumn("rank", F.row_number().over(nearest_first)).filter(F.col("rank") <= neighbours)
         return ranked.filter(~F.col("is_fallback") | (F.col("rank") == 1)).select(*out)
     best = pairs.groupBy(*keys).agg(F.min(F.struct("dist", "source_id", "is_fallback")).alias("_best"))
     fallback = best.select(*keys, "_best.*").filter("is_fallback")

@@ -89,7 +89,7 @@ def merged_records(records: DataFrame, grid: DataFrame, cell: Sequence[str], sta
     return A.without_empty_days(dense, ["date"]) if drop_empty_days else dense
 
 
-def level_edges(native: DataFrame, target: DataFrame, shortest: float, longest: float, neighbours: int | None = 100) -> DataFrame:
+def level_edges(native: DataFrame, target: DataFrame, shortest: float, longest: float, neighbours: int | None = None) -> DataFrame:
     """Mapping factors per level from wet cells only."""
     wet = native.filter(F.col("hfac") > 0)
     return R.mapping_edges(wet, target, shortest, longest, neighbours, group=("k",))

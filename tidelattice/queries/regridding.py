@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..operators import regrid as R
@@ -36,7 +37,9 @@ FROM closest c LEFT JOIN core USING (target_id)
 
 @query("jn_1", f"SELECT target_id, source_id, round(dist, 3) AS dist, rank FROM ({RANKED}) WHERE rank <= 100")
 def jn_1(t):
-    pairs = R.radius_pairs(t.obs(), t.target(), SHORTEST, neighbours=100)
+    pairs = R.radius_pairs(t.obs(), t.target(), SHORTEST)
+    nearest_first = Window.partitionBy("target_id").orderBy("dist", "source_id")
+    pairs = pairs.withColumn("rank", F.row_number().over(nearest_first))
     return pairs.select("target_id", "source_id", r3("dist").alias("dist"), F.col("rank").cast("long").alias("rank"))
 
 
@@ -60,7 +63,7 @@ FROM edges JOIN obs USING (source_id) GROUP BY target_id, strftime(ts, '%Y-%m-%d
 )
 def jn_3(t):
     obs = t.obs()
-    edges = R.mapping_edges(obs, t.target(), SHORTEST, LONGEST, neighbours=100)
+    edges = R.mapping_edges(obs, t.target(), SHORTEST, LONGEST)
     field = obs.select("source_id", day("ts").alias("day"), "var", "value")
     out = R.apply_mapping(edges, field, "nanmean", group=("day", "var"))
     return out.withColumn("value", r7("value"))
