@@ -56,3 +56,29 @@ def test_months_equal_batch(spark, folder):
     source, out = folder
     S.replace_at(S.monthly_products(stream(spark, source), "ts", ["event_type"]), out).awaitTermination()
     assert S.latest(spark, out).count() == 5
+
+
+@pytest.fixture()
+def backwards(spark, tmp_path):
+    """Five files, the latest rows first."""
+    events = spark.read.parquet(SOURCE)
+    days = F.dayofmonth("ts")
+    for part in reversed(range(5)):
+        cut = events.filter((days > part * 6) & (days <= (part + 1) * 6)).coalesce(1)
+        cut.write.mode("append").parquet(str(tmp_path / "late"))
+    return str(tmp_path / "late"), str(tmp_path / "late-out")
+
+
+def test_late_keys_are_ingested(spark, backwards):
+    source, out = backwards
+    S.append_to(S.ingest_once(stream(spark, source), ["event_id"]), out).awaitTermination()
+    ids = spark.read.parquet(f"{out}/rows").select("event_id")
+    assert ids.count() == ids.distinct().count() == spark.read.parquet(SOURCE).count()
+
+
+def test_all_windows_with_late_rows(spark, backwards):
+    source, out = backwards
+    S.replace_at(S.running_products(stream(spark, source), "ts", ["event_type"], "1 day"), out).awaitTermination()
+    got = {(str(r.time_start)[:10], r.event_type): (round(r.mean, 6), r.n) for r in S.latest(spark, out).collect()}
+    batch = spark.read.parquet(SOURCE).groupBy(F.date_format("ts", "yyyy-MM-dd").alias("d"), "event_type").agg(F.avg("value").alias("m"), F.count("*").alias("n"))
+    assert got == {(r.d, r.event_type): (round(r.m, 6), r.n) for r in batch.collect()}

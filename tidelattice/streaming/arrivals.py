@@ -24,21 +24,35 @@ def arrival_counts(stream: DataFrame, key: str) -> DataFrame:
     return stream.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
 
 
-def ingest_once(stream: DataFrame, keys: list[str], time: str, delay: str = "1 day") -> DataFrame:
-    """ST-2: the first arrival of each key; state is dropped once the watermark passes."""
-    return stream.withWatermark(time, delay).dropDuplicatesWithinWatermark(keys)
+def ingest_once(stream: DataFrame, keys: list[str], time: str | None = None) -> DataFrame:
+    """ST-2: the first arrival of each key, however late; the state holds every key.
 
+    `time` is not read: a watermark on it would lose the keys that arrive late.
+    """
+    return stream.dropDuplicates(keys)
 
-def period_products(stream: DataFrame, time: str, keys: list[str], width: str, delay: str = "1 day") -> DataFrame:
-    """ST-3: mean and valid range per tumbling window, final once the watermark passes its end."""
+
+def _window_products(stream: DataFrame, time: str, keys: list[str], width: str) -> DataFrame:
     return (
-        stream.withWatermark(time, delay)
-        .groupBy(F.window(time, width).alias("_w"), *keys)
+        stream.groupBy(F.window(time, width).alias("_w"), *keys)
         .agg(F.avg("value").alias("mean"), F.min("value").alias("valid_min"), F.max("value").alias("valid_max"), F.count("value").alias("n"))
         .select(F.col("_w.start").alias("time_start"), F.col("_w.end").alias("time_end"), *keys, "mean", "valid_min", "valid_max", "n")
     )
 
 
+def running_products(stream: DataFrame, time: str, keys: list[str], width: str) -> DataFrame:
+    """ST-3: mean and valid range of every tumbling window, for `replace_at`: late rows and open windows count."""
+    return _window_products(stream, time, keys, width)
+
+
+def period_products(stream: DataFrame, time: str, keys: list[str], width: str, delay: str = "1 day") -> DataFrame:
+    """Mean and valid range of closed tumbling windows only, final once the watermark passes their end.
+
+    Rows later than `delay` and open windows are left out; `running_products` has them all.
+    """
+    return _window_products(stream.withWatermark(time, delay), time, keys, width)
+
+
 def monthly_products(stream: DataFrame, time: str, keys: list[str]) -> DataFrame:
     """ST-3: calendar months have no fixed width, so the month is a key of a running aggregate."""
     return stream.groupBy(F.date_trunc("month", F.col(time)).alias("month"), *keys).agg(
