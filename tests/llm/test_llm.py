@@ -17,6 +17,7 @@ import corpus_pipeline
 from tidelattice.llm import (
     op1_decontamination as op1,
     op2_substrings as op2,
+    op3_ordinal as op3,
     op4_counts as op4,
     op5_neardedup as op5,
     op6_quality as op6,
@@ -367,3 +368,29 @@ def test_stages_keep_the_right_rows(spark):
 
     judged = QUERIES["op1_decontamination"](spark, SMALL).filter("NOT contaminated")
     assert rows(stages["decontamination"](spark, docs, SMALL)) == [(d, texts[d]) for d in sorted(r["doc_id"] for r in judged.collect())]
+
+
+def test_ordinal_grades(spark, docs, empty):
+    pick = random.Random(3)
+    made = []
+    for k in range(600):
+        y = k % 3
+        made.append((k, " ".join(["low", "high"][pick.random() < (y + 0.1) / 2.2] + str(pick.randint(0, 9)) for _ in range(40)), y * 2))
+    frame = spark.createDataFrame(made, "doc_id long, text string, quality int")
+    model = op3.fit(frame, frame)
+    assert model.grades.tolist() == [0, 2, 4] and (np.diff(model.thresholds) > 0).all()
+    got = {r["doc_id"]: r for r in op3.score(frame, model).collect()}
+    unseen = [(got[d]["grade"], y) for d, _, y in made if got[d]["held_out"]]
+    assert len(unseen) > 60 and np.mean([g == y for g, y in unseen]) > 0.8
+    p = op3.probabilities(pa.array([t for _, t, _ in made]), model)
+    assert np.allclose(p.sum(1), 1) and (p >= 0).all()
+    assert all(abs(got[d]["expected_grade"] - p[d] @ [0, 2, 4]) < 1e-9 and abs(got[d]["top_probability"] - p[d, 2]) < 1e-9 for d, _, _ in made)
+    # A word beyond any bound on length still counts.
+    long_text = "filler " * 30_000
+    ends = op3.probabilities(pa.array([long_text, long_text + " ".join(f"high{k % 10}" for k in range(90_000))]), model)
+    assert ends[1, 2] > ends[0, 2]
+    scored = op3.score(docs, model)
+    assert scored.count() == docs.count() and not scored.filter("expected_grade IS NULL OR top_probability IS NULL").count()
+    assert op3.fit(frame, frame.limit(0)) is None and op3.score(docs, None).filter("grade IS NULL").count() == docs.count()
+    assert op3.score(empty, model).count() == 0
+    assert QUERIES["op3_quality_grades"](spark, SMALL).count() == spark.read.parquet(f"{SMALL}/documents.parquet").count()

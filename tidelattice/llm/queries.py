@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import apply_defaults
-from . import op1_decontamination, op10_sharding, op2_substrings, op4_counts, op5_neardedup, op6_quality, op7_records, op8_toxicity, op9_packing
+from . import op1_decontamination, op10_sharding, op2_substrings, op3_ordinal, op4_counts, op5_neardedup, op6_quality, op7_records, op8_toxicity, op9_packing
 from .stages import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -116,6 +116,12 @@ def op8(spark: SparkSession, folder: str) -> DataFrame:
     return op8_toxicity.score(docs, op8_toxicity.fit(docs, table(spark, folder, "labels")))
 
 
+@query("op3_quality_grades")
+def op3(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    return op3_ordinal.score(docs, op3_ordinal.fit(docs, table(spark, folder, "labels")))
+
+
 @query("op6_quality_rules")
 def op6(spark: SparkSession, folder: str) -> DataFrame:
     judged = op6_quality.judge(table(spark, folder, "documents"), table(spark, folder, "labels"))
