@@ -394,3 +394,11 @@ def test_ordinal_grades(spark, docs, empty):
     assert op3.fit(frame, frame.limit(0)) is None and op3.score(docs, None).filter("grade IS NULL").count() == docs.count()
     assert op3.score(empty, model).count() == 0
     assert QUERIES["op3_quality_grades"](spark, SMALL).count() == spark.read.parquet(f"{SMALL}/documents.parquet").count()
+
+
+def test_one_of_each_knows_rows_by_id_and_words(spark):
+    first, other, third = (" ".join(f"{c}{k}" for k in range(30)) for c in "abc")
+    rows = [(1, first), (1, other), (1, first.replace(" ", "\n")), (2, first), (None, other), (None, third), (None, third), (None, ""), (None, None)]
+    left = op5.one_of_each(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    got = Counter((r["doc_id"], " ".join((r["text"] or "").split())) for r in left)
+    assert got == Counter({(1, first): 1, (1, other): 1, (None, third): 1, (None, ""): 2})

@@ -315,13 +315,28 @@ def near_classes(
 
 
 def one_of_each(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", **options) -> DataFrame:
-    """The rows of `docs` that stand for their class: the least doc_id, once."""
+    """The rows of `docs` that stand for their class: those of the least doc_id, equal words once.
+
+    A row is known by doc_id and words: one id with several texts keeps each of them.  Rows without an id go if a row
+    with an id has the same words; of the others, equal words stay once, and texts without words all stay.
+    """
     classes = kept(near_classes(docs, id_column=id_column, text_column=text_column, **options), "near-classes")
     gone = classes.filter("class_id < doc_id").select(F.col("doc_id").alias("_id")).distinct()
     this = F.col(id_column).cast("long") == F.col("_id")
     left = docs.join(small_or_plain(kept(gone, "near-copies")), this, "left_anti")
     repeated = classes.filter("doc_id IS NOT NULL").groupBy("doc_id").count().filter("count > 1")
-    if repeated.limit(1).count():
+    if repeated.limit(1).count() or classes.filter("doc_id IS NULL").limit(1).count():
+        words = F.filter(F.split(F.col(text_column).cast("string"), r"[\x09-\x0D\x20]+"), lambda w: w != "")
+        sha = F.when(F.size(words) > 0, F.sha2(F.concat_ws(" ", words), 256))
         named = F.col(id_column).isNotNull()
-        left = left.filter(named).dropDuplicates([id_column]).unionByName(left.filter(~named))
+        left = left.withColumn("_words_sha", sha)
+        nameless = left.filter(~named & F.col("_words_sha").isNotNull()).dropDuplicates(["_words_sha"])
+        nameless = nameless.join(docs.filter(named).select(sha.alias("_words_sha")).distinct(), "_words_sha", "left_anti")
+        left = (
+            left.filter(named)
+            .dropDuplicates([id_column, "_words_sha"])
+            .unionByName(nameless)
+            .unionByName(left.filter(~named & F.col("_words_sha").isNull()))
+            .select(docs.columns)
+        )
     return left
