@@ -153,9 +153,12 @@ def test_no_cap_touches_more_bins_than_stated(spark):
 def test_plans_have_no_pairwise_join(spark):
     source, target, *_ = frames(spark, 7)
     for options in PATHS:
-        plan = R.radius_pairs(source, target, 1.0, **options)._jdf.queryExecution().executedPlan().toString()
-        assert "NestedLoop" not in plan and "Cartesian" not in plan
-        assert "WindowGroupLimit" in plan
+        for neighbours in (None, 100):
+            pairs = R.radius_pairs(source, target, 1.0, neighbours=neighbours, **options)
+            plan = pairs._jdf.queryExecution().executedPlan().toString()
+            assert "NestedLoop" not in plan and "Cartesian" not in plan
+            # Only a limit ranks, and it does so before the shuffle.
+            assert ("WindowGroupLimit" in plan) == (neighbours is not None)
     broadcast = R.regrid_points(source, target, "mean")._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in broadcast and "SortMergeJoin" not in broadcast
 

@@ -35,7 +35,7 @@ FROM closest c LEFT JOIN core USING (target_id)
 """
 
 
-@query("jn_1", f"SELECT target_id, source_id, round(dist, 3) AS dist, rank FROM ({RANKED}) WHERE rank <= 100")
+@query("jn_1", f"SELECT target_id, source_id, round(dist, 3) AS dist, rank FROM ({RANKED})")
 def jn_1(t):
     pairs = R.radius_pairs(t.obs(), t.target(), SHORTEST)
     nearest_first = Window.partitionBy("target_id").orderBy("dist", "source_id")
@@ -53,7 +53,7 @@ def jn_2(t):
     f"""
 WITH ranked AS ({RANKED}), closest AS ({CLOSEST}),
      edges AS (
-       SELECT target_id, source_id, false AS is_fallback FROM ranked WHERE rank <= 100
+       SELECT target_id, source_id, false AS is_fallback FROM ranked
        UNION ALL
        SELECT target_id, source_id, true FROM closest WHERE target_id NOT IN (SELECT target_id FROM ranked))
 SELECT target_id, strftime(ts, '%Y-%m-%d') AS day, var, round(avg(value), 7) AS value,
