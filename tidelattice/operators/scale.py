@@ -77,6 +77,37 @@ def _offsets(df: DataFrame, keys: Sequence[str], total: Column) -> DataFrame:
     )
 
 
+def range_rank(df: DataFrame, order: Sequence[str | Column], out: str, keys: Sequence[str] = (), parts: int | None = None) -> DataFrame:
+    """1-based position in `order` over all rows, or per key when there are `keys`.
+
+    Rows are dealt into ranges of the order and sorted there, so neither one key
+    nor the whole frame has to fit a task.  A row's position is its place in its
+    range plus the rows of the ranges before; per key, the key's first position
+    is taken off.  Only one row per range meets in a window.  Rows that agree in
+    the whole order are ranked in any order, and share a range.
+    """
+    spark = df.sparkSession
+    parts = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    by = [*keys, *order]
+    # Unlike partition numbers taken after a read, these are written with the rows: a later task cannot see others.
+    ranged = df.repartitionByRange(parts, *by).sortWithinPartitions(*by).withColumn("_at", F.monotonically_increasing_id())
+    placed = stored(ranged, "ranked")
+    part, place = F.shiftright("_at", 33), F.col("_at").bitwiseAND((1 << 33) - 1)
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = placed.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_n"))
+    starts = sizes.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
+    ranked = placed.withColumn("_part", part).join(F.broadcast(starts), "_part").withColumn(out, (place + F.col("_start") + 1).cast("long"))
+    ranked = ranked.drop("_at", "_part", "_start")
+    if not keys:
+        return ranked
+    firsts = summary_side(ranked.groupBy(*keys).agg(F.min(out).alias("_first")), "first-ranks")
+    firsts = firsts.withColumnsRenamed({k: f"_k_{k}" for k in keys})
+    same = F.lit(True)
+    for k in keys:
+        same &= F.col(k).eqNullSafe(F.col(f"_k_{k}"))
+    return ranked.join(firsts, same).withColumn(out, F.col(out) - F.col("_first") + 1).drop("_first", *[f"_k_{k}" for k in keys])
+
+
 def running_sum(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, block: Column, out: str
 ) -> DataFrame:
