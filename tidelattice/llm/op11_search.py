@@ -30,7 +30,6 @@ empty table gives no rows; other columns are ignored.
 from __future__ import annotations
 
 import itertools
-import math
 import uuid
 from collections.abc import Iterator
 from typing import NamedTuple
@@ -48,21 +47,23 @@ TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _GUARD = "\0"
 # Each byte of a text as the automaton reads it: folded inside a term, the guard outside.
-_READ = np.where(ALNUM, FOLD, 0).astype(np.uint8)
+_READ = np.where(ALNUM, FOLD, 0).astype(np.uint8).tobytes()
 SCAN_BYTES = 1 << 19
 BLOCK_BYTES = 2 << 20
+HITS_AT_ONCE = 1 << 20
 CELLS = 1 << 20
-_LAST_ID = (1 << 63) - 1
+MERGE_GROUPS = 256
 
 
 class Block(NamedTuple):
-    """The terms of some items: `items[first[t]:first[t + 1]]` are those that hold term t, with `gains` per unit of impact."""
+    """The terms of some items: places first[t] to first[t + 1] hold the items with term t, and their `gains` per unit of impact."""
 
     name: str
     terms: list[str]
     first: np.ndarray
     items: np.ndarray
     gains: np.ndarray
+    numbers: np.ndarray  # of the items, which a block numbers from 0
 
 
 _BUILT: dict[str, ahocorasick.Automaton] = {}
@@ -85,21 +86,21 @@ def automaton(name: str, terms: list[str]) -> ahocorasick.Automaton:
 def matches(column: pa.Array, found: ahocorasick.Automaton, terms: int) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
     """For each slice of texts (first row, terms per text, text, term number, tf), the last three by text and number."""
     for part in text_slices(column, SCAN_BYTES):
-        inside = ALNUM[part.data]
-        starts, _ = runs(inside, part.offsets)
+        starts, _ = runs(ALNUM[part.data], part.offsets)
         counts = np.diff(np.searchsorted(starts, part.offsets))
-        texts = part.last - part.first
-        # A guard before every text, and one at the end.
-        spread = np.zeros(len(part.data) + texts + 1, np.uint8)
-        text_of = np.repeat(np.arange(texts), np.diff(part.offsets))
-        spread[np.arange(len(part.data)) + text_of + 1] = _READ[part.data]
+        keys, tf = np.zeros(0, np.int64), np.zeros(0, np.int64)
         if terms:
-            flat = np.fromiter(itertools.chain.from_iterable(found.iter(spread.tobytes().decode("latin-1"))), np.int64)
-        else:
-            flat = np.zeros(0, np.int64)
-        # A hit ends at the guard after its term, which is at or before the next text's first place.
-        text = np.searchsorted(part.offsets[:-1] + np.arange(texts), flat[0::2], "left") - 1
-        keys, tf = np.unique(text * max(terms, 1) + flat[1::2], return_counts=True)
+            folded, at = part.data.tobytes().translate(_READ), part.offsets.tolist()
+            # A guard before every text, and one at the end.
+            line = b"\0".join([b"", *(folded[a:b] for a, b in zip(at, at[1:])), b""]).decode("latin-1")
+            guards = part.offsets[:-1] + np.arange(len(counts))
+            flat = itertools.chain.from_iterable(found.iter(line))
+            while len(hits := np.fromiter(itertools.islice(flat, 2 * HITS_AT_ONCE), np.int64)):
+                # A hit ends at the guard after its term, at the latest the one before the next text.
+                text = np.searchsorted(guards, hits[0::2], "left") - 1
+                more, times = np.unique(text * terms + hits[1::2], return_counts=True)
+                keys, where = np.unique(np.concatenate([keys, more]), return_inverse=True)
+                tf = np.bincount(where, np.concatenate([tf, times]), len(keys)).astype(np.int64)
         yield part.first, counts, keys // max(terms, 1), keys % max(terms, 1), tf
 
 
@@ -112,16 +113,16 @@ def _ranges(first: np.ndarray, terms: np.ndarray) -> tuple[np.ndarray, np.ndarra
 
 
 def item_terms(benchmark: DataFrame, id_column: str = "item_id", text_column: str = "text") -> DataFrame:
-    """(item, item_id, term, qtf): the distinct terms of each item and how often it repeats them; `item` numbers items from 0."""
+    """(item_id, term, qtf): the distinct terms of each item and how often it repeats them."""
     words = F.regexp_extract_all(F.translate(F.col(text_column).cast("string"), _UPPER, _LOWER), F.lit(TERM), F.lit(0))
     rows = benchmark.select(F.col(id_column).cast("long").alias("item_id"), F.explode(words).alias("term"))
     return rows.groupBy("item_id", "term").agg(F.count(F.lit(1)).alias("qtf"))
 
 
 def _blocks(terms: DataFrame, block_bytes: int) -> DataFrame:
-    """(item, item_id, block): items by number, dealt in that order into blocks of at most `block_bytes`, by prefix sums of bytes.
+    """(item, item_id, block): items numbered from 0 and dealt in that order into blocks, by prefix sums of bytes.
 
-    The numbering and the sums run over one row per item, within buckets of items first and then over the buckets.
+    Numbers and sums run over one row per item, within buckets of items first and then over the buckets.
     """
     sizes = terms.groupBy("item_id").agg(F.sum(F.octet_length("term") + 16).alias("bytes"))
     sizes = kept(sizes.withColumn("bucket", F.pmod(F.xxhash64("item_id"), F.lit(1024))), "item-bytes")
@@ -171,15 +172,13 @@ def best_documents(docs: DataFrame, block: Block, documents: int, all_terms: int
     sent = docs.sparkSession.sparkContext.broadcast(block)
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        name, words, first, items, gains = sent.value
-        found = automaton(name, words)
-        width = int(items.max()) + 1 if len(items) else 0
-        rows = max(1, CELLS // max(width, 1))
-        best_score = np.zeros((0, 3), np.int64)  # item, minus score, id; a NULL id is the largest
+        name, words, first, items, gains, numbers = sent.value
+        found, width = automaton(name, words), len(numbers)
+        rows = max(1, CELLS // width)
+        best = np.zeros((0, 4), np.int64)  # item, minus score, whether the id is NULL, id
         for batch in batches:
-            ids = batch.column(0)
-            nulls = np.asarray(ids.is_null())
-            ids = np.where(nulls, _LAST_ID, np.asarray(ids.fill_null(0)))
+            nulls = batch.column(0).is_null().to_numpy(zero_copy_only=False)
+            ids = batch.column(0).fill_null(0).to_numpy(zero_copy_only=False)
             for at, counts, text, term, tf in matches(batch.column(1), found, len(words)):
                 m = 100 - 75 + (75 * counts * documents) // max(all_terms, 1)
                 impact = (1_000_000_000 * tf) // (1000 * tf + 8 * m[text])
@@ -189,23 +188,20 @@ def best_documents(docs: DataFrame, block: Block, documents: int, all_terms: int
                     scores = np.zeros(min(rows, len(counts) - low) * width, np.int64)
                     np.add.at(scores, (text[a:b][which] - low) * width + items[place], gains[place] * impact[a:b][which])
                     hits = np.flatnonzero(scores)
-                    new = np.stack([hits % width, -scores[hits], ids[at + low + hits // width]], 1)
-                    best_score = _leading(np.concatenate([best_score, new]), top)
+                    row = at + low + hits // width
+                    new = np.stack([hits % width, -scores[hits], nulls[row], ids[row]], 1)
+                    best = _leading(np.concatenate([best, new]), top)
         yield pa.RecordBatch.from_arrays(
-            [
-                pa.array(best_score[:, 0]),
-                pa.array(best_score[:, 2], mask=best_score[:, 2] == _LAST_ID),
-                pa.array(-best_score[:, 1]),
-            ],
-            names=["local", "doc_id", "score"],
+            [pa.array(numbers[best[:, 0]]), pa.array(best[:, 3], mask=best[:, 2] > 0), pa.array(-best[:, 1])],
+            names=["item", "doc_id", "score"],
         )
 
-    return docs.mapInArrow(scan, "local long, doc_id long, score long")
+    return docs.mapInArrow(scan, "item long, doc_id long, score long")
 
 
 def _leading(rows: np.ndarray, top: int) -> np.ndarray:
     """The first `top` rows of each value of the first column, in the order of all columns."""
-    rows = rows[np.lexsort((rows[:, 2], rows[:, 1], rows[:, 0]))]
+    rows = rows[np.lexsort(rows.T[::-1])]
     place = np.arange(len(rows)) - np.searchsorted(rows[:, 0], rows[:, 0])
     return rows[place < top]
 
@@ -242,31 +238,27 @@ def search(
     weight = F.floor(1000 * F.log(F.lit(2.0 * documents + 2) / (2 * F.col("df") + 1))).cast("long")
     weighed = kept(terms.join(counts.filter("term IS NOT NULL").select("term", weight.alias("weight")), "term"), "term-weights")
 
-    tops = None
+    tops = docs.sparkSession.createDataFrame([], "item long, doc_id long, score long")
     for number in range(blocks):
         mine = weighed.filter(F.col("block") == number).orderBy("term", "item").collect()
+        if not mine:
+            continue
         names = sorted({r["item"] for r in mine})
         local = {item: k for k, item in enumerate(names)}
-        spelled = [next(g)["term"] for _, g in itertools.groupby(mine, key=lambda r: r["term"])]
-        sizes = [len(list(g)) for _, g in itertools.groupby(r["term"] for r in mine)]
+        spelled = {term: len(list(rows_of)) for term, rows_of in itertools.groupby(r["term"] for r in mine)}
         block = Block(
             uuid.uuid4().hex,
-            spelled,
-            np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64),
+            list(spelled),
+            np.cumsum([0, *spelled.values()]),
             np.array([local[r["item"]] for r in mine], np.int64),
             np.array([r["weight"] * r["qtf"] for r in mine], np.int64),
+            np.array(names, np.int64),
         )
-        found = best_documents(rows, block, documents, all_terms, top)
-        item = F.element_at(F.array(*[F.lit(x).cast("long") for x in names] or [F.lit(0).cast("long")]), (F.col("local") + 1).cast("int"))
-        found = found.select(item.alias("item"), "doc_id", "score")
-        tops = found if tops is None else tops.unionByName(found)
+        tops = tops.unionByName(best_documents(rows, block, documents, all_terms, top))
 
     order = [F.desc("score"), F.asc_nulls_last("doc_id")]
     # The rows of many tasks meet in two steps, so that none is merged whole in one task.
-    group = F.pmod(F.spark_partition_id(), F.lit(max(1, math.isqrt(rows.rdd.getNumPartitions() * blocks))))
-    some = tops.withColumn("_group", group)
-    some = some.withColumn("rank", F.row_number().over(Window.partitionBy("item", "_group").orderBy(*order))).filter(F.col("rank") <= top)
-    ranked = some.withColumn("rank", F.row_number().over(Window.partitionBy("item").orderBy(*order))).filter(F.col("rank") <= top)
-    return ranked.join(F.broadcast(placed.select("item", "item_id")) if blocks == 1 else placed.select("item", "item_id"), "item").select(
-        "item_id", "rank", "doc_id", "score"
-    )
+    some = tops.withColumn("_group", F.pmod(F.spark_partition_id(), F.lit(MERGE_GROUPS)))
+    for keys in (["item", "_group"], ["item"]):
+        some = some.withColumn("rank", F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).filter(F.col("rank") <= top)
+    return some.join(placed.select("item", "item_id"), "item").select("item_id", "rank", "doc_id", "score")

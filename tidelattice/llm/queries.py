@@ -6,9 +6,24 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..session import apply_defaults
-from . import op1_decontamination, op10_sharding, op2_substrings, op3_ordinal, op4_counts, op5_neardedup, op6_quality, op7_records, op8_toxicity, op9_packing
+from . import (
+    op1_decontamination,
+    op2_substrings,
+    op3_ordinal,
+    op4_counts,
+    op5_neardedup,
+    op6_quality,
+    op7_records,
+    op8_toxicity,
+    op9_packing,
+    op10_sharding,
+    op11_search,
+    op12_fim,
+    op13_mixing,
+)
 from .stages import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -133,3 +148,69 @@ def op6(spark: SparkSession, folder: str) -> DataFrame:
 @query("op5_near_dedup")
 def op5(spark: SparkSession, folder: str) -> DataFrame:
     return op5_neardedup.near_classes(table(spark, folder, "documents"))
+
+
+# Every (item, document) pair with a term in common is scored.
+OP11_SQL = r"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS ws FROM documents),
+corpus AS (SELECT CAST(count(*) AS BIGINT) AS big_n, CAST(sum(len(ws)) AS BIGINT) AS big_l FROM d WHERE len(ws) > 0),
+tf AS (SELECT doc_id, term, CAST(count(*) AS BIGINT) AS tf FROM (SELECT doc_id, unnest(ws) AS term FROM d) GROUP BY ALL),
+df AS (SELECT term, CAST(count(*) AS BIGINT) AS df FROM tf GROUP BY term),
+q AS (
+  SELECT item_id, term, CAST(count(*) AS BIGINT) AS qtf FROM (
+    SELECT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark) GROUP BY ALL),
+w AS (SELECT item_id, term, qtf, CAST(floor(1000 * ln((2.0 * big_n + 2) / (2.0 * df + 1))) AS BIGINT) AS w FROM q JOIN df USING (term), corpus),
+m AS (SELECT doc_id, 100 - 75 + ((75 * CAST(len(ws) AS BIGINT) * big_n) // big_l) AS m FROM d, corpus WHERE len(ws) > 0),
+scores AS (
+  SELECT item_id, doc_id, CAST(sum(qtf * w * ((1000000000 * tf) // (1000 * tf + 8 * m))) AS BIGINT) AS score
+  FROM w JOIN tf USING (term) JOIN m USING (doc_id) GROUP BY ALL)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM scores WHERE score > 0)
+WHERE rank <= 10
+"""
+
+
+@query("op11_lexical_search", OP11_SQL)
+def op11(spark: SparkSession, folder: str) -> DataFrame:
+    return op11_search.search(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+OP12_SQL = """
+WITH t AS (
+  SELECT doc_id, coalesce(text, '') AS text, sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h FROM documents),
+n AS (
+  SELECT doc_id, text, CAST(length(text) AS BIGINT) AS n, CAST('0x' || h[1:8] AS BIGINT) AS h1, CAST('0x' || h[9:16] AS BIGINT) AS h2,
+    CAST('0x' || h[17:24] AS BIGINT) AS h3, CAST('0x' || h[25:32] AS BIGINT) AS h4 FROM t),
+c AS (
+  SELECT doc_id, text, n, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+    CASE WHEN n = 0 OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h3 % 100 >= 90 THEN 'plain'
+         WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM n),
+p AS (SELECT *, substr(text, 1, a) AS prefix, substr(text, a + 1, b - a) AS middle, substr(text, b + 1) AS suffix FROM c)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN a END AS prefix_chars, CASE WHEN form <> 'plain' THEN b - a END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+         ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+  sha256(text) AS restored_sha256
+FROM p
+"""
+
+
+@query("op12_fill_in_middle", OP12_SQL)
+def op12(spark: SparkSession, folder: str) -> DataFrame:
+    made = op12_fim.restore(op12_fim.transform(table(spark, folder, "documents")))
+    return made.select(
+        "doc_id",
+        "n",
+        "form",
+        "prefix_chars",
+        "middle_chars",
+        F.sha2("output", 256).alias("output_sha256"),
+        F.sha2("restored", 256).alias("restored_sha256"),
+    )
+
+
+@query("op13_source_mix")
+def op13(spark: SparkSession, folder: str) -> DataFrame:
+    return op13_mixing.mix(table(spark, folder, "documents"))
