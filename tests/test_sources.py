@@ -1,10 +1,12 @@
 """Readers and writers on small files."""
 
+import hashlib
 import json
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.datasource import EqualTo, GreaterThan, In
 
 from tidelattice.sources import binary as B
 from tidelattice.sources import fields as FS
@@ -63,8 +65,56 @@ def test_binary_files_round_trip(spark, tmp_path):
     cells = B.read_records(spark, str(tmp_path), n).cache()
     assert cells.count() == 6 * size
     assert cells.filter("value is null").count() == 6 * len(range(0, size, 9))
-    packed = B.encode_records(cells, n, levels, keys=("var", "step")).collect()
-    assert {(r["var"], r.step): bytes(r.payload) for r in packed} == {k: v.tobytes() for k, v in want.items()}
+    out = tmp_path / "out"
+    manifest = B.write_records(cells, str(out), n, levels).collect()
+    for (name, step), raw in want.items():
+        assert (out / f"{name}.{step}.data").read_bytes() == raw.tobytes()
+    digests = {f"{name}.{step}.data": (raw.nbytes, hashlib.sha256(raw.tobytes()).hexdigest()) for (name, step), raw in want.items()}
+    assert {r.file: (r.bytes, r.sha256) for r in manifest} == digests
+    assert sorted(p.name for p in out.iterdir() if p.name[0] != ".") == sorted(["_manifests", *digests])
+
+
+def test_record_filters_skip_files_and_levels(spark, tmp_path):
+    n, levels = 4, 6
+    level = 13 * n * n
+    for name in ("UVEL", "VVEL"):
+        for step in (12, 36):
+            np.arange(levels * level, dtype=">f4").tofile(tmp_path / f"{name}.{step:010d}.data")
+    (tmp_path / "UVEL.0000000012.meta.tmp").mkdir()
+    reader = B.RecordReader({"path": str(tmp_path), "n": "4", "cores": "3", "partition_bytes": str(2 * level * 4)})
+    rest = list(reader.pushFilters([EqualTo(("var",), "UVEL"), GreaterThan(("step",), 12), In(("k",), (0, 1, 2, 5)), EqualTo(("value",), 3.0)]))
+    assert rest == [EqualTo(("value",), 3.0)]
+    assert [(p.var, p.step, p.first, p.last) for p in reader.pieces()] == [("UVEL", 36, 0, 2), ("UVEL", 36, 2, 3), ("UVEL", 36, 5, 6)]
+
+    cells = B.read_records(spark, str(tmp_path), n)
+    some = cells.filter("var = 'VVEL' AND step = 36 AND k >= 4")
+    plan = some._jdf.queryExecution().executedPlan().toString()
+    assert "Filter" not in plan.split("BatchScan")[0]  # the source has taken all three
+    assert some.count() == 2 * level and some.agg(F.min("value")).first()[0] == 4 * level
+    everything = B.read_levels(spark, str(tmp_path), n, partition_bytes=str(level * 4), cores="100")
+    assert everything.rdd.getNumPartitions() == 4 * levels
+    assert everything.filter("var = 'UVEL' AND step = 12 AND k = 3").rdd.getNumPartitions() == 1
+    assert everything.filter("var = 'none'").count() == 0
+    (tmp_path / "WVEL.0000000012.data").write_bytes(b"1234")
+    with pytest.raises(Exception, match="no whole levels"):
+        B.read_records(spark, str(tmp_path), n).count()
+
+
+def test_records_are_there_as_a_whole_or_not_at_all(spark, tmp_path):
+    cell = "var string, step long, k long, tile long, j long, i long, value double"
+    good = [("V", 1, 1, 12, 1, 1, 5.0), ("V", 1, 0, 0, 0, 0, None)]
+    B.write_records(spark.createDataFrame(good, cell), str(tmp_path / "one"), 2, 2)
+    raw = np.fromfile(tmp_path / "one" / "V.1.data", ">f4")
+    assert len(raw) == 104 and raw[-1] == 5.0 and (raw[:-1] == B.MISSING).all()
+    for bad in ([*good, good[0]], [*good, ("V", 1, 2, 0, 0, 0, 1.0)]):
+        with pytest.raises(Exception, match="record V.1.data"):
+            B.write_records(spark.createDataFrame(bad, cell), str(tmp_path / "bad"), 2, 2)
+        assert not list((tmp_path / "bad").glob("*")) if (tmp_path / "bad").exists() else True
+    # A gap wider than what is written at once.
+    sparse = spark.createDataFrame([("W", 1, 0, 0, 0, 0, 1.0), ("W", 1, 39, 12, 99, 99, 2.0)], cell)
+    B.write_records(sparse, str(tmp_path / "wide"), 100, 40)
+    raw = np.fromfile(tmp_path / "wide" / "W.1.data", ">f4")
+    assert len(raw) == 40 * 130_000 and raw[0] == 1 and raw[-1] == 2 and (raw[1:-1] == B.MISSING).all()
 
 
 def test_feed_pages(spark, tmp_path):
@@ -179,9 +229,9 @@ def test_nan_is_missing_in_opened_files(spark, tmp_path):
     assert FS.open_many(spark, str(tmp_path / "s")).agg(F.count("value"), F.max("value")).first() == (1, 1.0)
 
 
-def test_records_of_two_datasets_stay_apart(spark):
+def test_records_of_two_datasets_stay_apart(spark, tmp_path):
     rows = "'A' AS var, '20000101' AS time, 0 AS k, 1 AS tile, 0 AS j, 0 AS i"
     cells = spark.sql(f"SELECT explode(array('D', 'E')) AS dataset, {rows}, 1D AS value")
-    assert B.encode_records(cells, 2, 1).count() == 2
+    assert B.write_records(cells, str(tmp_path / "a"), 2, 1, keys=("dataset", "var", "time")).count() == 2
     with pytest.raises(Exception, match="several rows for one cell"):
-        B.encode_records(cells, 2, 1, keys=("var", "time")).collect()
+        B.write_records(cells, str(tmp_path / "b"), 2, 1, keys=("var", "time"))

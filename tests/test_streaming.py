@@ -82,3 +82,50 @@ def test_all_windows_with_late_rows(spark, backwards):
     got = {(str(r.time_start)[:10], r.event_type): (round(r.mean, 6), r.n) for r in S.latest(spark, out).collect()}
     batch = spark.read.parquet(SOURCE).groupBy(F.date_format("ts", "yyyy-MM-dd").alias("d"), "event_type").agg(F.avg("value").alias("m"), F.count("*").alias("n"))
     assert got == {(r.d, r.event_type): (round(r.m, 6), r.n) for r in batch.collect()}
+
+
+def test_only_touched_periods_are_written_again(spark, folder):
+    source, out = folder
+    events = spark.read.parquet(SOURCE).withColumn("ts", F.col("ts").cast("timestamp"))
+    spec = S.running_products(events, "ts", ["event_type"], "1 day", part_format="yyyy-MM-dd")
+    write = S.writer(spec, out)
+    write(events.filter("day(ts) <= 3"), 0)
+    write(events.filter("day(ts) BETWEEN 4 AND 6"), 1)
+    first, second, fifth = "2024-01-01", "2024-01-02", "2024-01-05"
+    assert (S._versions(out, first), S._versions(out, fifth)) == ([0], [1])
+    late = events.filter("day(ts) = 1").limit(3)
+    for number in (2, 3, 4):
+        write(late, number)
+    # The last two versions of the touched day are left, and the other days are as they were.
+    assert (S._versions(out, first), S._versions(out, second), S._versions(out, fifth)) == ([3, 4], [0], [1])
+    counted = S.latest(spark, out).agg(F.sum("n")).first()[0]
+    assert counted == events.filter("day(ts) <= 6 AND value IS NOT NULL").count() + 3 * late.filter("value IS NOT NULL").count()
+
+
+def test_a_batch_that_runs_again_adds_nothing(spark, tmp_path):
+    events = spark.read.parquet(SOURCE)
+    for spec, shown in ((S.arrival_counts(events, "event_type"), S.latest), (S.ingest_once(events, ["event_id"]), S.ingested)):
+        out = str(tmp_path / shown.__name__)
+        write = S.writer(spec, out)
+        write(events.limit(400), 0)
+        write(events.filter("event_id % 2 = 0"), 1)
+        want = sorted(map(str, shown(spark, out).collect()))
+        write(events.filter("event_id % 2 = 0"), 1)
+        assert sorted(map(str, shown(spark, out).collect())) == want
+        # A driver that is lost before the commit: the rows are there, the commit is not.
+        (tmp_path / shown.__name__ / "_commits" / f"{1:012d}").unlink()
+        assert sorted(map(str, shown(spark, out).collect())) != want
+        write(events.filter("event_id % 2 = 0"), 1)
+        assert sorted(map(str, shown(spark, out).collect())) == want
+
+
+def test_no_batch_and_odd_parts(spark, tmp_path):
+    events = spark.read.parquet(SOURCE)
+    with pytest.raises(ValueError, match="no batch"):
+        S.latest(spark, str(tmp_path / "none"))
+    with pytest.raises(ValueError, match="a part is named"):
+        S.writer(S.ingest_once(events, ["event_id"], part=F.lit("a/b")), str(tmp_path / "odd"))(events, 0)
+    write = S.writer(S.ingest_once(events, ["user_id"], part=F.lit(None)), str(tmp_path / "null"))
+    write(events.select(F.lit(None).cast("bigint").alias("user_id")), 0)
+    write(events.select(F.lit(None).cast("bigint").alias("user_id")), 1)
+    assert S.ingested(spark, str(tmp_path / "null")).count() == 1

@@ -115,10 +115,10 @@ FROM rec WHERE value IS NOT NULL
 """,
 )
 def src_7(t):
-    """Big-endian records, one per variable and step, decoded into cells; absent cells hold the fill."""
-    packed = B.encode_records(records(t), FIELD_N, LEVELS, keys=("var", "step"))
-    named = packed.select(F.concat_ws(".", "var", "step", F.lit("data")).alias("path"), F.col("payload").alias("content"))
-    return B.decode_records(named, FIELD_N).filter(F.col("value").isNotNull()).withColumn("value", r3("value"))
+    """Big-endian record files, one per variable and step, read as cells; absent cells hold the fill."""
+    path = shared_folder(t.spark, "records")
+    B.write_records(records(t), path, FIELD_N, LEVELS)
+    return B.read_records(t.spark, path, FIELD_N).filter(F.col("value").isNotNull()).withColumn("value", r3("value"))
 
 
 @query("src_8", "SELECT s_suppkey, title, summary FROM meta")
@@ -183,11 +183,26 @@ def snk_1(t):
 
 @query(
     "snk_2",
-    RECORD_SQL + """SELECT var, step, CAST(2600 AS BIGINT) AS payload_bytes FROM rec GROUP BY var, step""",
+    RECORD_SQL
+    + """,
+placed AS (
+  SELECT var, step, k * 325 + i + 5 * CASE WHEN tile < 7 THEN tile * 5 + j WHEN tile < 10 THEN 35 + 3 * j + tile - 7 ELSE 50 + 3 * j + tile - 10 END AS pos,
+    CAST(CAST(value AS FLOAT) AS DOUBLE) AS v FROM rec WHERE value IS NOT NULL),
+scaled AS (SELECT var, step, pos, v, CAST(floor(log2(v)) AS BIGINT) AS e0 FROM placed),
+exact AS (SELECT var, step, pos, v, CASE WHEN v < pow(2, e0) THEN e0 - 1 WHEN v >= pow(2, e0 + 1) THEN e0 + 1 ELSE e0 END AS e FROM scaled),
+bits AS (SELECT var, step, pos, printf('%08x', (e + 127) * 8388608 + CAST((v / pow(2, e) - 1) * 8388608 AS BIGINT)) AS hex FROM exact),
+files AS (SELECT DISTINCT var, step FROM rec),
+payload AS (
+  SELECT f.var, f.step, string_agg(coalesce(hex, 'c61c3c00'), '' ORDER BY f.pos) AS hex
+  FROM (SELECT var, step, unnest(range(650)) AS pos FROM files) f LEFT JOIN bits b ON f.var = b.var AND f.step = b.step AND f.pos = b.pos GROUP BY f.var, f.step)
+SELECT var, step, CAST(length(hex) // 2 AS BIGINT) AS payload_bytes, sha256(unhex(hex)) AS payload_sha256 FROM payload
+""",
 )
 def snk_2(t):
-    packed = B.encode_records(records(t), FIELD_N, LEVELS, keys=("var", "step"))
-    return packed.select("var", "step", big(F.length("payload")).alias("payload_bytes"))
+    """Record files with their sizes and the digests of their bytes."""
+    manifest = B.write_records(records(t), shared_folder(t.spark, "records"), FIELD_N, LEVELS)
+    part = F.split("file", r"\.")
+    return manifest.select(part[0].alias("var"), part[1].alias("step"), F.col("bytes").alias("payload_bytes"), F.col("sha256").alias("payload_sha256"))
 
 
 @query(

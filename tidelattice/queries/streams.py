@@ -29,8 +29,9 @@ def st_2(t):
     """One granule per user, kind and day, however often it arrives."""
     path = shared_folder(t.spark, "ingest")
     keyed = arriving(t).select("ts", "user_id", "event_type", day("ts").alias("day"))
-    S.append_to(S.ingest_once(keyed, ["user_id", "event_type", "day"]), path).awaitTermination()
-    return t.spark.read.parquet(f"{path}/rows").drop("ts")
+    once = S.ingest_once(keyed, ["user_id", "event_type", "day"], part=F.col("day"))
+    S.append_to(once, path).awaitTermination()
+    return S.ingested(t.spark, path).drop("ts")
 
 
 @query(
