@@ -20,8 +20,14 @@ bucket is expanded into all pairs:
 1. documents with equal words stand for one;
 2. every member of a bucket meets `CENTRES` members, chosen by hash, and
    verified links join them into classes;
-3. in buckets that still hold several classes, members of different classes
-   meet.  Links inside a class can change nothing, so no link is lost.
+3. documents of buckets that still hold several classes meet by rare shingles,
+   across classes only; links inside a class can change nothing.  All shingles
+   are put in one order, those of a single class first, then by the number of
+   documents that hold them.  Texts that are linked share one of the first
+   n - ceil(threshold n) + 1 of their n shingles, and the first one that they
+   share stands so early in both that enough can still follow.  Only pairs that
+   pass both tests are made, so a crowd of documents just below the threshold,
+   each with edits of its own, hardly meets at all, and no link is lost.
 
 Defined results: a text of fewer than five words is one shingle; NULL and
 empty texts have no shingles and are classes of their own; rows that share a
@@ -37,7 +43,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .arrays import PLAIN, Words, grams, list_column, mix, signed, span_hashes, split_words, text_slices
@@ -203,6 +209,47 @@ def _verify(pairs: DataFrame, texts: DataFrame, shingle: int, threshold: float)
     return pairs.join(left, "a").join(right, "b").select("a", "b", "text_a", "text_b").mapInArrow(compare, "a long, b long")
 
 
+def _rare_meetings(rows: DataFrame, shingle: int, threshold: float) -> DataFrame:
+    """Pairs (a, b) of documents of different classes that may be linked, by the first shingle that they share.
+
+    `rows` has doc_id, class_id and text.  A prefix is a bounded part of one text, and positions are counted in it from 0.
+    """
+
+    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in text_slices(batch.column(3), SCAN_BYTES):
+                hashes, text = distinct(*shingles(split_words(part, PLAIN), shingle))
+                at = pa.array(text + part.first)
+                sizes = np.bincount(text, minlength=part.last - part.first)
+                yield pa.RecordBatch.from_arrays(
+                    [*(batch.column(k).take(at) for k in range(3)), pa.array(sizes[text], pa.int32()), pa.array(signed(hashes))],
+                    names=["set_id", "doc_id", "class_id", "n", "shingle"],
+                )
+
+    sets = rows.select(F.xxhash64("doc_id", "text").alias("set_id"), "doc_id", "class_id", "text")
+    held = sets.mapInArrow(spread, "set_id long, doc_id long, class_id long, n int, shingle long")
+    shared = held.groupBy("shingle").agg(F.min("class_id").alias("_a"), F.max("class_id").alias("_b"), F.count(F.lit(1)).alias("df"))
+    shared = kept(shared.filter("_a < _b").select("shingle", "df"), "shared-shingles")
+    mine = Window.partitionBy("set_id")
+    placed = held.join(small_or_plain(shared), "shingle").select(
+        "*",
+        F.row_number().over(mine.orderBy("df", "shingle")).alias("_rank"),
+        F.count(F.lit(1)).over(mine).alias("_shared"),
+    )
+    pos = F.col("n") - F.col("_shared") + F.col("_rank") - 1
+    first = F.col("n") - F.ceil(F.col("n") * threshold - 1e-6)
+    prefix = kept(placed.withColumn("pos", pos).filter(F.col("pos") <= first).select("shingle", "doc_id", "class_id", "n", "pos"), "prefixes")
+    other = prefix.select("shingle", *[F.col(c).alias(f"_{c}") for c in ("doc_id", "class_id", "n", "pos")])
+    needed = F.ceil((F.col("n") + F.col("_n")) * (threshold / (1 + threshold)) - 1e-6)
+    left = F.least(F.col("n") - F.col("pos"), F.col("_n") - F.col("_pos"))
+    meet = (prefix["shingle"] == other["shingle"]) & (F.col("class_id") < F.col("_class_id")) & (left >= needed)
+    return (
+        prefix.join(other, meet)
+        .select(F.least("doc_id", "_doc_id").alias("a"), F.greatest("doc_id", "_doc_id").alias("b"))
+        .distinct()
+    )
+
+
 def components(links: DataFrame) -> DataFrame:
     """(doc_id, class_id) of all linked documents: least labels spread over links, halving paths as they go."""
     both = links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
@@ -288,20 +335,16 @@ def near_classes(
 
     placed = kept(class_of(crowd), "crowd-classes")
     mixed = placed.groupBy("bucket").agg(F.min("class_id").alias("_a"), F.max("class_id").alias("_b")).filter("_a < _b")
-    placed = placed.join(kept(mixed.select("bucket"), "mixed-buckets"), "bucket", "left_semi").join(sketch, "doc_id")
-    placed = kept(placed, "mixed-members")
-    other = placed.select(
-        F.col("bucket").alias("_bucket"),
-        F.col("doc_id").alias("other"),
-        F.col("class_id").alias("other_class"),
-        F.col("sketch").alias("other_sketch"),
-    )
-    meet = (F.col("bucket") == F.col("_bucket")) & (F.col("class_id") < F.col("other_class"))
+    placed = placed.join(kept(mixed.select("bucket"), "mixed-buckets"), "bucket", "left_semi").select("doc_id", "class_id").distinct()
+    placed = texts.join(small_or_plain(kept(placed, "mixed-members")), "doc_id")
+    across = _rare_meetings(placed, shingle, threshold)
     across = (
-        placed.join(other, meet & _alike("sketch", "other_sketch", numbers, threshold))
-        .select(F.least("doc_id", "other").alias("a"), F.greatest("doc_id", "other").alias("b"))
+        across.join(pairs, ["a", "b"], "left_anti")
+        .join(sketch.select(F.col("doc_id").alias("a"), F.col("sketch").alias("_x")), "a")
+        .join(sketch.select(F.col("doc_id").alias("b"), F.col("sketch").alias("_y")), "b")
+        .filter(_alike("_x", "_y", numbers, threshold))
+        .select("a", "b")
         .distinct()
-        .join(pairs, ["a", "b"], "left_anti")
     )
     more = kept(_verify(kept(across, "cross-pairs"), texts, shingle, threshold), "cross-links")
     if more.limit(1).count():
