@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .arrays import ALNUM, FOLD, Words, grams, list_column, mix, signed, split_words, text_slices, winnow
-from .stages import kept, small_or_plain
+from .stages import free_name, kept, small_or_plain
 
 WINDOW = 13
 RESULT = "doc_id long, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean, text_hash long"
@@ -191,9 +191,10 @@ def without_contaminated(
 ) -> DataFrame:
     """The rows of `docs` that are not contaminated, unchanged; a row is known by its id and its text."""
     judged = decontaminate(docs, benchmark, id_column=id_column, text_column=text_column, **options)
-    out = judged.filter("contaminated").select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).distinct()
+    this_id, this_hash = free_name(docs, "_id"), free_name(docs, "_hash")
+    out = judged.filter("contaminated").select(F.col("doc_id").alias(this_id), F.col("text_hash").alias(this_hash)).distinct()
     gone = small_or_plain(kept(out, "contaminated"))
-    this = F.col(id_column).cast("long").eqNullSafe(F.col("_id")) & (
-        F.xxhash64(F.col(text_column).cast("string")) == F.col("_hash")
+    this = F.col(id_column).cast("long").eqNullSafe(F.col(this_id)) & (
+        F.xxhash64(F.col(text_column).cast("string")) == F.col(this_hash)
     )
     return docs.join(gone, this, "left_anti")

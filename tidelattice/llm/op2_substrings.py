@@ -33,9 +33,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from .arrays import PLAIN, covered, grams, list_column, runs, signed, split_words, text_slices, winnow
-from .stages import kept
+from .stages import free_name, kept
 
 WINDOW, GRAM = 13, 7
 NOTHING = hashlib.sha256(b"").hexdigest()
@@ -250,11 +251,14 @@ def _matching(window: int):
 
 
 def _remove(rows: DataFrame, window: int) -> DataFrame:
-    """(doc_id, key, n_removed, kept) of (doc_id, key, text, starts) rows, starts being lists of window starts."""
+    """(doc_id, key, n_removed, kept, spans) of (doc_id, key, text, starts) rows, starts being lists of window starts.
+
+    `spans` holds the removed words as [first, after the last, first, ...], by their numbers in the text.
+    """
 
     def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            counts, texts = [], []
+            counts, texts, spans = [], [], []
             for text, starts in zip(batch.column(2).to_pylist(), batch.column(3)):
                 words = (text or "").encode().split()
                 hits = np.zeros(len(words), bool)
@@ -262,12 +266,39 @@ def _remove(rows: DataFrame, window: int) -> DataFrame:
                 gone = covered(hits, window, len(words))
                 counts.append(int(gone.sum()))
                 texts.append(b" ".join(w for w, g in zip(words, gone.tolist()) if not g).decode())
+                spans.append(np.flatnonzero(np.diff(gone, prepend=False, append=False)))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(counts, pa.int64()), pa.array(texts, pa.string())],
-                names=["doc_id", "key", "n_removed", "kept"],
+                [
+                    batch.column(0),
+                    batch.column(1),
+                    pa.array(counts, pa.int64()),
+                    pa.array(texts, pa.string()),
+                    pa.array(spans, pa.list_(pa.int32())),
+                ],
+                names=["doc_id", "key", "n_removed", "kept", "spans"],
             )
 
-    return rows.select("doc_id", "key", "text", "starts").mapInArrow(remove, "doc_id long, key long, n_removed long, kept string")
+    schema = "doc_id long, key long, n_removed long, kept string, spans array<int>"
+    return rows.select("doc_id", "key", "text", "starts").mapInArrow(remove, schema)
+
+
+def without_words(text: str, spans: list[int]) -> str:
+    """The text without the words of the spans; what is left stands where and as it stood.
+
+    A span goes with the white space after it, or, at the end of the text, with the white space before it.
+    """
+    raw = text.encode()
+    data = np.frombuffer(raw, np.uint8)
+    starts, ends = runs(PLAIN[data], np.array([0, len(data)]))
+    out, at = [], 0
+    for first, after in zip(spans[::2], spans[1::2]):
+        if after < len(starts):
+            out.append(raw[at : starts[first]])
+            at = starts[after]
+        else:
+            out.append(raw[at : ends[first - 1] if first else 0])
+            at = ends[after - 1] if first else len(raw)
+    return b"".join([*out, raw[at:]]).decode()
 
 
 def find_repeats(
@@ -344,7 +375,10 @@ def dedup_substrings(
     id_column: str = "doc_id",
     text_column: str = "text",
 ) -> DataFrame:
-    """(doc_id, words_sha, n_words, n_removed, kept_sha256, kept): `kept` is the text left of a changed document, else NULL."""
+    """(doc_id, words_sha, n_words, n_removed, kept_sha256, kept, spans).
+
+    `kept` is the words left of a changed document and `spans` says which went, both NULL for others.
+    """
     rows = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).cast("string").alias("text"))
     scanned = kept(_digests(rows), "word-digests")
     # Written apart, so that the join below may split a hot group of copies.
@@ -367,19 +401,30 @@ def dedup_substrings(
         F.when(whole, F.col("n_words")).otherwise(F.coalesce("n_removed", F.lit(0))).alias("n_removed"),
         F.when(whole, F.lit(NOTHING)).otherwise(F.coalesce("sha", "words_sha")).alias("kept_sha256"),
         F.when(whole, F.lit("")).otherwise(F.col("kept")).alias("kept"),
+        F.when(whole, F.array(F.lit(0), F.col("n_words").cast("int"))).otherwise(F.col("spans")).alias("spans"),
     )
 
 
+@F.arrow_udf(StringType())
+def _without_words(text: pa.Array, spans: pa.Array) -> pa.Array:
+    rows = zip(text.to_pylist(), spans.to_pylist())
+    return pa.array([None if s is None else without_words(t or "", s) for t, s in rows], pa.string())
+
+
 def without_repeats(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", **options) -> DataFrame:
-    """The rows of `docs` with repeated spans cut out of their texts; a row is known by its id and its words."""
+    """The rows of `docs` with repeated spans cut out of their texts, the rest as it was; a row is known by its id and its words."""
     left = dedup_substrings(docs, id_column=id_column, text_column=text_column, **options)
+    this_id, sha, spans = (free_name(docs, c) for c in ("_id", "_sha", "_spans"))
     changed = kept(
         left.filter("n_removed > 0")
-        .select(F.col("doc_id").alias("_id"), F.col("words_sha").alias("_sha"), F.col("kept").alias("_kept"))
-        .dropDuplicates(["_id", "_sha"]),
-        "cut-texts",
+        .select(F.col("doc_id").alias(this_id), F.col("words_sha").alias(sha), F.col("spans").alias(spans))
+        .dropDuplicates([this_id, sha]),
+        "cut-spans",
     )
-    words = F.filter(F.split(F.col(text_column).cast("string"), r"[\x20\x09-\x0D]+"), lambda w: w != "")
-    same = (F.col(id_column).cast("long") == F.col("_id")) & (F.sha2(F.concat_ws(" ", words), 256) == F.col("_sha"))
+    text = F.col(text_column).cast("string")
+    words = F.filter(F.split(text, r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    same = (F.col(id_column).cast("long") == F.col(this_id)) & (F.sha2(F.concat_ws(" ", words), 256) == F.col(sha))
     joined = docs.join(changed, same, "left")
-    return joined.withColumn(text_column, F.coalesce("_kept", text_column)).select(docs.columns)
+    # Only texts that change go through Python.
+    cut = _without_words(F.when(F.col(spans).isNotNull(), text), F.col(spans))
+    return joined.withColumn(text_column, F.coalesce(cut, text)).select(docs.columns)

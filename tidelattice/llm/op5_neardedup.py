@@ -1,21 +1,26 @@
 """Near-duplicate classes by ProbMinHash, banding and verification.
 
-A document is its distinct five-word shingles, all of equal weight however
-often they occur: links are decided by distinct shingles, so signatures must
-be too.  In a signature each shingle is a Poisson process of rate one; arrivals
-fall on random registers, a register keeps the shingle that arrives first, and
-a shingle stops as soon as its next arrival is later than every register's.
-With equal weights the probability Jaccard similarity, with which two registers
-agree, is the Jaccard similarity of distinct shingles.
+A document is its five-word shingles with weights.  In a signature each shingle
+is a Poisson process whose rate is its weight; arrivals fall on random
+registers, a register keeps the shingle that arrives first, and a shingle stops
+as soon as its next arrival is later than every register's.  Two registers
+agree with the probability Jaccard similarity of the weighted shingles.
+
+The weights are 1, and similarity then is the Jaccard similarity of distinct
+shingles, or, with `weighted`, how often each shingle occurs.  Candidates,
+tests and links follow the same weights, because a signature by other weights
+than those that decide a link would lose links.
 
 Bands of `BAND` registers make the buckets.  With 40 bands of 6, a pair at 0.8
 misses all of them with probability 5e-6.  Pairs whose registers estimate far
 less than the threshold are passed over, and so are pairs that differ in too
 many shingles: each text has `PARITY` bits, a shingle flips one of them, and two
 texts differ in at least as many shingles as bits, so this test loses no link.
-Links are pairs from one bucket whose exact Jaccard similarity of distinct
-shingles is at least `threshold`; classes are the connected components.  No
-bucket is expanded into all pairs:
+Links are pairs from one bucket whose exact similarity is at least `threshold`;
+classes are the connected components.  A link is lost only if it meets in no
+band or fails the register test, with probabilities of some 1e-6 each at the
+threshold and less above it; all other tests are exact.  No bucket is expanded
+into all pairs:
 
 1. documents with equal words stand for one;
 2. every member of a bucket meets `CENTRES` members, chosen by hash, and
@@ -24,10 +29,10 @@ bucket is expanded into all pairs:
    across classes only; links inside a class can change nothing.  All shingles
    are put in one order, those of a single class first, then by the number of
    documents that hold them.  Texts that are linked share one of the first
-   n - ceil(threshold n) + 1 of their n shingles, and the first one that they
-   share stands so early in both that enough can still follow.  Only pairs that
-   pass both tests are made, so a crowd of documents just below the threshold,
-   each with edits of its own, hardly meets at all, and no link is lost.
+   n - ceil(threshold n) + 1 of their n shingles (of the weight, if weighted), and
+   the first one that they share stands so early in both that enough can still
+   follow.  Only pairs that pass both tests are made, so a crowd of documents just
+   below the threshold, each with edits of its own, hardly meets at all.
 
 Defined results: a text of fewer than five words is one shingle; NULL and
 empty texts have no shingles and are classes of their own; rows that share a
@@ -47,7 +52,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .arrays import PLAIN, Words, grams, list_column, mix, signed, span_hashes, split_words, text_slices
-from .stages import kept, small_or_plain
+from .stages import free_name, kept, small_or_plain
 
 SHINGLE, THRESHOLD = 5, 0.8
 BANDS, BAND = 40, 6
@@ -68,22 +73,23 @@ def shingles(words: Words, size: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]
     return np.concatenate([hashes[at], whole]), np.concatenate([words.text_of[at], short])
 
 
-def distinct(hashes: np.ndarray, text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct shingles of each text, and their texts."""
+def distinct(hashes: np.ndarray, text: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct shingles of each text, their texts, and how often they occur there."""
     order = np.lexsort((hashes, text))
     hashes, text = hashes[order], text[order]
     fresh = np.ones(len(hashes), bool)
     fresh[1:] = (hashes[1:] != hashes[:-1]) | (text[1:] != text[:-1])
-    return hashes[fresh], text[fresh]
+    return hashes[fresh], text[fresh], np.diff(np.append(np.flatnonzero(fresh), len(hashes)))
 
 
-def signatures(hashes: np.ndarray, text: np.ndarray, texts: int, registers: int) -> np.ndarray:
+def signatures(hashes: np.ndarray, text: np.ndarray, texts: int, registers: int, weighted: bool = False) -> np.ndarray:
     """ProbMinHash signatures, one row of `registers` shingle hashes per text."""
-    return arrivals(*distinct(hashes, text), texts, registers)
+    hashes, text, counts = distinct(hashes, text)
+    return arrivals(hashes, text, counts if weighted else np.ones(len(hashes)), texts, registers)
 
 
-def arrivals(hashes: np.ndarray, text: np.ndarray, texts: int, registers: int) -> np.ndarray:
-    """The first shingle to arrive at each register, of distinct shingles."""
+def arrivals(hashes: np.ndarray, text: np.ndarray, rates: np.ndarray, texts: int, registers: int) -> np.ndarray:
+    """The first shingle to arrive at each register, of distinct shingles with these rates."""
     earliest = np.full(texts * registers, np.inf)
     winner = np.zeros(texts * registers, np.uint64)
     latest = np.full(texts, np.inf)  # of the earliest arrivals of a text's registers
@@ -91,7 +97,7 @@ def arrivals(hashes: np.ndarray, text: np.ndarray, texts: int, registers: int) -
     while len(at):
         turn += 1
         drawn = mix(hashes[at] + np.uint64((turn * 0xD1342543DE82EF95) & 0xFFFFFFFFFFFFFFFF))
-        time = time - np.log(((drawn >> np.uint64(11)).astype(np.float64) + 0.5) / 2**53)
+        time = time - np.log(((drawn >> np.uint64(11)).astype(np.float64) + 0.5) / 2**53) / rates[at]
         early = time < latest[text[at]]
         at, time, drawn = at[early], time[early], drawn[early]
         place = text[at] * registers + (mix(drawn) % np.uint64(registers)).astype(np.int64)
@@ -102,6 +108,21 @@ def arrivals(hashes: np.ndarray, text: np.ndarray, texts: int, registers: int) -
     return winner.reshape(texts, registers)
 
 
+def probability_jaccard(a: np.ndarray, of_a: np.ndarray, b: np.ndarray, of_b: np.ndarray) -> float:
+    """Probability Jaccard similarity of two weighted sets of distinct hashes.
+
+    The sum over shared x of 1 / sum over y of max(a_y / a_x, b_y / b_x).  In order of a / b the larger term is b's before x and
+    a's from x on, so running sums give all the inner ones.
+    """
+    _, at_a, at_b = np.intersect1d(a, b, assume_unique=True, return_indices=True)
+    mine, other = of_a[at_a].astype(np.float64), of_b[at_b].astype(np.float64)
+    order = np.argsort(mine / other)
+    mine, other = mine[order], other[order]
+    from_here = of_a.sum() - mine.sum() + np.cumsum(mine[::-1])[::-1]
+    before = of_b.sum() - other.sum() + np.cumsum(other) - other
+    return float((1 / (from_here / mine + before / other)).sum())
+
+
 def band_keys(winners: np.ndarray, band: int) -> np.ndarray:
     """One key per band and text."""
     texts, registers = winners.shape
@@ -128,7 +149,7 @@ def sketches(winners: np.ndarray) -> np.ndarray:
     return planes.reshape(len(winners), PLANES * planes.shape[2])
 
 
-def _scan(rows: DataFrame, shingle: int, bands: int, band: int) -> DataFrame:
+def _scan(rows: DataFrame, shingle: int, bands: int, band: int, weighted: bool) -> DataFrame:
     """(doc_id, words_sha, keys, sketch): NULL sha and no keys for a text without words.
 
     A sketch is the register bits, then the parity bits, then the number of distinct shingles.
@@ -139,8 +160,8 @@ def _scan(rows: DataFrame, shingle: int, bands: int, band: int) -> DataFrame:
             for part in text_slices(batch.column(1), SCAN_BYTES):
                 words = split_words(part, PLAIN)
                 texts = part.last - part.first
-                hashes, text = distinct(*shingles(words, shingle))
-                winners = arrivals(hashes, text, texts, bands * band)
+                hashes, text, counts = distinct(*shingles(words, shingle))
+                winners = arrivals(hashes, text, counts if weighted else np.ones(len(hashes)), texts, bands * band)
                 sizes = np.bincount(text, minlength=texts).astype(np.uint64)
                 keys = band_keys(winners, band)
                 bits = np.concatenate([sketches(winners), parities(hashes, text, texts), sizes[:, None]], axis=1)
@@ -160,8 +181,8 @@ def _scan(rows: DataFrame, shingle: int, bands: int, band: int) -> DataFrame:
     return rows.mapInArrow(scan, "doc_id long, words_sha string, keys array<long>, sketch array<long>")
 
 
-def _alike(x: str, y: str, numbers: int, threshold: float):
-    """Whether two sketches allow a link."""
+def _alike(x: str, y: str, numbers: int, threshold: float, weighted: bool):
+    """Whether two sketches allow a link; sizes and parities speak of distinct shingles only."""
     size, bits = numbers * WIDTH, numbers * PLANES
     equal = threshold + (1 - threshold) / 2**PLANES
     least = math.ceil(max(0.0, size * equal - DEVIATIONS * math.sqrt(size * equal * (1 - equal))))
@@ -177,10 +198,11 @@ def _alike(x: str, y: str, numbers: int, threshold: float):
     total, gap = F.col(x)[end] + F.col(y)[end], F.abs(F.col(x)[end] - F.col(y)[end])
     odd = sum((F.bit_count(apart(k)) for k in range(bits, end)), F.lit(0))
     most = total * ((1 - threshold) / (1 + threshold)) + 1e-6  # shingles that only one of two linked texts may have
-    return (gap <= most) & (odd <= most) & (sum((differing(k) for k in range(numbers)), F.lit(0)) <= size - least)
+    agree = sum((differing(k) for k in range(numbers)), F.lit(0)) <= size - least
+    return agree if weighted else (gap <= most) & (odd <= most) & agree
 
 
-def _verify(pairs: DataFrame, texts: DataFrame, shingle: int, threshold: float) -> DataFrame:
+def _verify(pairs: DataFrame, texts: DataFrame, shingle: int, threshold: float, weighted: bool) -> DataFrame:
     """The (a, b) pairs that are similar enough, by their whole texts."""
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -194,12 +216,14 @@ def _verify(pairs: DataFrame, texts: DataFrame, shingle: int, threshold: float)
                     bounds = np.searchsorted(text[order], np.arange(part.last - part.first + 1))
                     hashes = hashes[order]
                     for k in range(part.last - part.first):
-                        found[part.first + k] = np.unique(hashes[bounds[k] : bounds[k + 1]])
+                        found[part.first + k] = np.unique(hashes[bounds[k] : bounds[k + 1]], return_counts=True)
                 sets.append(found)
             near = np.zeros(len(batch), bool)
             for row in range(len(batch)):
-                a, b = sets[0][row], sets[1][row]
-                if min(len(a), len(b)) >= threshold * max(len(a), len(b)):
+                (a, of_a), (b, of_b) = sets[0][row], sets[1][row]
+                if weighted:
+                    near[row] = probability_jaccard(a, of_a, b, of_b) >= threshold - 1e-12
+                elif min(len(a), len(b)) >= threshold * max(len(a), len(b)):
                     both = len(np.intersect1d(a, b, assume_unique=True))
                     near[row] = both >= threshold * (len(a) + len(b) - both)
             yield batch.select(["a", "b"]).filter(pa.array(near))
@@ -209,40 +233,46 @@ def _verify(pairs: DataFrame, texts: DataFrame, shingle: int, threshold: float)
     return pairs.join(left, "a").join(right, "b").select("a", "b", "text_a", "text_b").mapInArrow(compare, "a long, b long")
 
 
-def _rare_meetings(rows: DataFrame, shingle: int, threshold: float) -> DataFrame:
+def _rare_meetings(rows: DataFrame, shingle: int, threshold: float, weighted: bool) -> DataFrame:
     """Pairs (a, b) of documents of different classes that may be linked, by the first shingle that they share.
 
-    `rows` has doc_id, class_id and text.  A prefix is a bounded part of one text, and positions are counted in it from 0.
+    `rows` has doc_id, class_id and text.  `n` is a text's weight and `pos` the weight before a shingle.  What two texts may
+    still share from their first common shingle on is at most what is left of either; the probability Jaccard similarity is
+    at most the overlap of both weights as shares, so it too needs `threshold` of either weight left.
     """
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in text_slices(batch.column(3), SCAN_BYTES):
-                hashes, text = distinct(*shingles(split_words(part, PLAIN), shingle))
+                hashes, text, counts = distinct(*shingles(split_words(part, PLAIN), shingle))
+                weights = counts if weighted else np.ones(len(hashes), np.int64)
                 at = pa.array(text + part.first)
-                sizes = np.bincount(text, minlength=part.last - part.first)
+                sizes = np.bincount(text, weights, part.last - part.first).astype(np.int64)
+                columns = [pa.array(sizes[text], pa.int32()), pa.array(weights, pa.int32()), pa.array(signed(hashes))]
                 yield pa.RecordBatch.from_arrays(
-                    [*(batch.column(k).take(at) for k in range(3)), pa.array(sizes[text], pa.int32()), pa.array(signed(hashes))],
-                    names=["set_id", "doc_id", "class_id", "n", "shingle"],
+                    [*(batch.column(k).take(at) for k in range(3)), *columns],
+                    names=["set_id", "doc_id", "class_id", "n", "weight", "shingle"],
                 )
 
     sets = rows.select(F.xxhash64("doc_id", "text").alias("set_id"), "doc_id", "class_id", "text")
-    held = sets.mapInArrow(spread, "set_id long, doc_id long, class_id long, n int, shingle long")
+    held = sets.mapInArrow(spread, "set_id long, doc_id long, class_id long, n int, weight int, shingle long")
     shared = held.groupBy("shingle").agg(F.min("class_id").alias("_a"), F.max("class_id").alias("_b"), F.count(F.lit(1)).alias("df"))
     shared = kept(shared.filter("_a < _b").select("shingle", "df"), "shared-shingles")
     mine = Window.partitionBy("set_id")
     placed = held.join(small_or_plain(shared), "shingle").select(
         "*",
-        F.row_number().over(mine.orderBy("df", "shingle")).alias("_rank"),
-        F.count(F.lit(1)).over(mine).alias("_shared"),
+        F.sum("weight").over(mine.orderBy("df", "shingle").rowsBetween(Window.unboundedPreceding, 0)).alias("_upto"),
+        F.sum("weight").over(mine).alias("_shared"),
     )
-    pos = F.col("n") - F.col("_shared") + F.col("_rank") - 1
+    pos = F.col("n") - F.col("_shared") + F.col("_upto") - F.col("weight")
     first = F.col("n") - F.ceil(F.col("n") * threshold - 1e-6)
     prefix = kept(placed.withColumn("pos", pos).filter(F.col("pos") <= first).select("shingle", "doc_id", "class_id", "n", "pos"), "prefixes")
     other = prefix.select("shingle", *[F.col(c).alias(f"_{c}") for c in ("doc_id", "class_id", "n", "pos")])
     needed = F.ceil((F.col("n") + F.col("_n")) * (threshold / (1 + threshold)) - 1e-6)
     left = F.least(F.col("n") - F.col("pos"), F.col("_n") - F.col("_pos"))
-    meet = (prefix["shingle"] == other["shingle"]) & (F.col("class_id") < F.col("_class_id")) & (left >= needed)
+    meet = (prefix["shingle"] == other["shingle"]) & (F.col("class_id") < F.col("_class_id"))
+    if not weighted:
+        meet &= left >= needed
     return (
         prefix.join(other, meet)
         .select(F.least("doc_id", "_doc_id").alias("a"), F.greatest("doc_id", "_doc_id").alias("b"))
@@ -282,12 +312,13 @@ def near_classes(
     threshold: float = THRESHOLD,
     bands: int = BANDS,
     band: int = BAND,
+    weighted: bool = False,
     id_column: str = "doc_id",
     text_column: str = "text",
 ) -> DataFrame:
     """(doc_id, copy_of, class_id): least ids of the documents with the same words, and of the whole class."""
     rows = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).cast("string").alias("text"))
-    scanned = kept(_scan(rows, shingle, bands, band), "shingle-bands")
+    scanned = kept(_scan(rows, shingle, bands, band, weighted), "shingle-bands")
     firsts = kept(
         scanned.filter("words_sha IS NOT NULL").groupBy("words_sha").agg(F.min("doc_id").alias("copy_of")), "first-copies"
     )
@@ -316,7 +347,7 @@ def near_classes(
     pairs = (
         pairs.join(sketch.select(F.col("doc_id").alias("a"), F.col("sketch").alias("_x")), "a")
         .join(sketch.select(F.col("doc_id").alias("b"), F.col("sketch").alias("_y")), "b")
-        .filter(_alike("_x", "_y", numbers, threshold))
+        .filter(_alike("_x", "_y", numbers, threshold, weighted))
         .select("a", "b")
         .distinct()
     )
@@ -327,7 +358,7 @@ def near_classes(
     texts = rows.join(small_or_plain(ids), "doc_id", "left_semi").withColumn("_hash", F.xxhash64("text"))
     # Several texts of one doc_id all stand for it.
     texts = kept(texts.dropDuplicates(["doc_id", "_hash"]).drop("_hash"), "candidate-texts")
-    links = kept(_verify(pairs, texts, shingle, threshold), "centre-links")
+    links = kept(_verify(pairs, texts, shingle, threshold, weighted), "centre-links")
     classes = components(links)
 
     def class_of(frame: DataFrame) -> DataFrame:
@@ -337,16 +368,16 @@ def near_classes(
     mixed = placed.groupBy("bucket").agg(F.min("class_id").alias("_a"), F.max("class_id").alias("_b")).filter("_a < _b")
     placed = placed.join(kept(mixed.select("bucket"), "mixed-buckets"), "bucket", "left_semi").select("doc_id", "class_id").distinct()
     placed = texts.join(small_or_plain(kept(placed, "mixed-members")), "doc_id")
-    across = _rare_meetings(placed, shingle, threshold)
+    across = _rare_meetings(placed, shingle, threshold, weighted)
     across = (
         across.join(pairs, ["a", "b"], "left_anti")
         .join(sketch.select(F.col("doc_id").alias("a"), F.col("sketch").alias("_x")), "a")
         .join(sketch.select(F.col("doc_id").alias("b"), F.col("sketch").alias("_y")), "b")
-        .filter(_alike("_x", "_y", numbers, threshold))
+        .filter(_alike("_x", "_y", numbers, threshold, weighted))
         .select("a", "b")
         .distinct()
     )
-    more = kept(_verify(kept(across, "cross-pairs"), texts, shingle, threshold), "cross-links")
+    more = kept(_verify(kept(across, "cross-pairs"), texts, shingle, threshold, weighted), "cross-links")
     if more.limit(1).count():
         classes = components(links.unionByName(more))
 
@@ -364,22 +395,23 @@ def one_of_each(docs: DataFrame, id_column: str = "doc_id", text_column: str = "
     with an id has the same words; of the others, equal words stay once, and texts without words all stay.
     """
     classes = kept(near_classes(docs, id_column=id_column, text_column=text_column, **options), "near-classes")
-    gone = classes.filter("class_id < doc_id").select(F.col("doc_id").alias("_id")).distinct()
-    this = F.col(id_column).cast("long") == F.col("_id")
+    gone_id, sha_name = free_name(docs, "_id"), free_name(docs, "_words_sha")
+    gone = classes.filter("class_id < doc_id").select(F.col("doc_id").alias(gone_id)).distinct()
+    this = F.col(id_column).cast("long") == F.col(gone_id)
     left = docs.join(small_or_plain(kept(gone, "near-copies")), this, "left_anti")
     repeated = classes.filter("doc_id IS NOT NULL").groupBy("doc_id").count().filter("count > 1")
     if repeated.limit(1).count() or classes.filter("doc_id IS NULL").limit(1).count():
         words = F.filter(F.split(F.col(text_column).cast("string"), r"[\x09-\x0D\x20]+"), lambda w: w != "")
         sha = F.when(F.size(words) > 0, F.sha2(F.concat_ws(" ", words), 256))
         named = F.col(id_column).isNotNull()
-        left = left.withColumn("_words_sha", sha)
-        nameless = left.filter(~named & F.col("_words_sha").isNotNull()).dropDuplicates(["_words_sha"])
-        nameless = nameless.join(docs.filter(named).select(sha.alias("_words_sha")).distinct(), "_words_sha", "left_anti")
+        left = left.withColumn(sha_name, sha)
+        nameless = left.filter(~named & F.col(sha_name).isNotNull()).dropDuplicates([sha_name])
+        nameless = nameless.join(docs.filter(named).select(sha.alias(sha_name)).distinct(), sha_name, "left_anti")
         left = (
             left.filter(named)
-            .dropDuplicates([id_column, "_words_sha"])
+            .dropDuplicates([id_column, sha_name])
             .unionByName(nameless)
-            .unionByName(left.filter(~named & F.col("_words_sha").isNull()))
+            .unionByName(left.filter(~named & F.col(sha_name).isNull()))
             .select(docs.columns)
         )
     return left

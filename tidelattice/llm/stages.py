@@ -36,5 +36,13 @@ def small_or_plain(df: DataFrame, weight=None, most: float = 2e6) -> DataFrame:
     return F.broadcast(df) if (df.agg(measure).first()[0] or 0) <= most else df
 
 
+def free_name(df: DataFrame, wanted: str) -> str:
+    """A column name that the frame does not have."""
+    taken = {c.lower() for c in df.columns}
+    while wanted.lower() in taken:
+        wanted = f"_{wanted}"
+    return wanted
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
