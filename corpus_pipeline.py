@@ -9,6 +9,14 @@ kept.  All but the last return the columns of documents:
 * substring_dedup: spans of 13 words and more that a smaller doc_id has are cut out of the text
 * decontamination: documents with passages of the benchmark go
 * packing: sequences of 1024 token ids
+
+Rows in every stage: NULL and empty texts are clean, belong to no class but
+their own, lose nothing, and pack as an end id alone.  Very long texts are read
+whole.  A row is known by its doc_id and text: rows that repeat both are copies,
+of which near_dedup keeps one; several texts of one doc_id are judged one by
+one.  Rows with a NULL doc_id go in near_dedup if another row has their words,
+and keep their text in substring_dedup.  Tables may be empty, and columns beyond
+doc_id and text may have any name; n_chars follows the text if there is one.
 """
 
 from __future__ import annotations
@@ -32,6 +40,8 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     cut = op2_substrings.without_repeats(docs)
+    if "n_chars" not in docs.columns:
+        return cut
     return cut.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(docs.columns)
 
 
