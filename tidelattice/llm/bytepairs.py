@@ -91,27 +91,27 @@ def cut(part: Slice) -> Pieces:
 
 
 class PieceTable:
-    """What `work` makes of each distinct piece: a list of numbers, kept for at most `limit` pieces.
+    """What `work` makes of each distinct piece: a list of numbers of type `kind`, kept for at most `limit` pieces.
 
     When the table is full it is emptied and fills again with what the next
     texts use; results do not depend on it.
     """
 
-    def __init__(self, work: Callable[[Sequence[str]], Sequence[Sequence[int]]], limit: int = 600_000) -> None:
-        self.work, self.limit = work, limit
+    def __init__(self, work: Callable[[Sequence[str]], Sequence[Sequence[int]]], kind: np.dtype, limit: int = 600_000) -> None:
+        self.work, self.kind, self.limit = work, np.dtype(kind), limit
         self._clear()
 
     def _clear(self) -> None:
         self.slot: dict[int, int] = {}
-        self.sizes = np.zeros(1024, np.int32)
+        self.sizes = np.zeros(1024, np.int64)
         self.places = np.zeros(1024, np.int64)
-        self.pool = np.zeros(1 << 14, np.uint16)
+        self.pool = np.zeros(1 << 14, self.kind)
         self.filled = 0
 
     def _add(self, hashes: list[int], texts: list[str]) -> None:
         made = self.work(texts)
-        sizes = np.fromiter(map(len, made), np.int32, len(made))
-        flat = np.fromiter((x for one in made for x in one), np.uint16, int(sizes.sum()))
+        sizes = np.fromiter(map(len, made), np.int64, len(made))
+        flat = np.fromiter((x for one in made for x in one), self.kind, int(sizes.sum(dtype=np.int64)))
         have, all_now = len(self.slot), len(self.slot) + len(made)
         if all_now > len(self.sizes):
             self.sizes = np.resize(self.sizes, 2 * all_now)
@@ -162,10 +162,15 @@ def _specials(path: str) -> list[str]:
     return [t.content for t in tokenizer(path).get_added_tokens_decoder().values()]
 
 
+def id_kind(path: str) -> np.dtype:
+    """The number type that holds every id of a tokenizer file: 16 bits, or 32 where the vocabulary needs them."""
+    return np.dtype("<u2" if tokenizer(path).get_vocab_size(with_added_tokens=True) <= 1 << 16 else "<u4")
+
+
 @functools.cache
 def _id_table(path: str) -> PieceTable:
     library = tokenizer(path)
-    return PieceTable(lambda texts: [e.ids for e in library.encode_batch_fast(texts, add_special_tokens=False)])
+    return PieceTable(lambda texts: [e.ids for e in library.encode_batch_fast(texts, add_special_tokens=False)], id_kind(path))
 
 
 def encode_column(column: pa.Array, path: str, end: int | None = None):
@@ -191,7 +196,7 @@ def encode_column(column: pa.Array, path: str, end: int | None = None):
                 text = column[part.first + k].as_py() or ""
                 whole = any(s in text for s in specials)
                 rows.append(
-                    np.asarray(library.encode(text, add_special_tokens=False).ids, np.uint16)
+                    np.asarray(library.encode(text, add_special_tokens=False).ids, table.kind)
                     if whole
                     else ids[bounds[k] : bounds[k + 1]]
                 )
@@ -199,6 +204,6 @@ def encode_column(column: pa.Array, path: str, end: int | None = None):
             ids = np.concatenate(rows) if rows else ids[:0]
             bounds = np.concatenate([[0], np.cumsum(counts)])
         if end is not None:
-            ids = np.insert(ids, bounds[1:], np.uint16(end))
+            ids = np.insert(ids, bounds[1:], table.kind.type(end))
             counts = counts + 1
         yield part.first, part.last, ids, counts

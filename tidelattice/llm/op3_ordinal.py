@@ -30,6 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .arrays import PLAIN, grams, mix, split_words, text_slices
+from .stages import fixed_sample
 from .op8_toxicity import held_out
 
 SLOTS = 1 << 16
@@ -129,7 +130,7 @@ def fit(
     # Smallest hashes first: a fixed sample however the rows are dealt out.
     chosen = None
     for y in sorted(counts):
-        part = marked.filter(F.col("y") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
+        part = fixed_sample(marked.filter(F.col("y") == y), most, "doc_id")
         chosen = part if chosen is None else chosen.unionByName(part)
     rows = (
         docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).cast("string").alias("text"))

@@ -93,7 +93,7 @@ def merger(path: str) -> Merger:
 
 @functools.cache
 def _table(path: str) -> PieceTable:
-    return PieceTable(merger(path).counts)
+    return PieceTable(merger(path).counts, np.int64)
 
 
 def count_column(column: pa.Array, path: str) -> np.ndarray:

@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from .arrays import PLAIN, covered, grams, mix, runs, span_hashes, split_words, text_slices
 from .arrays import _BYTE_VALUES as BYTE_VALUES
-from .stages import kept
+from .stages import fixed_sample, kept
 
 TREES, PER_TREE, SAMPLE = 200, 256, 20_000
 MAX_LOSS = 0.01
@@ -187,10 +187,10 @@ def with_scores(stats: DataFrame, forest: Forest) -> DataFrame:
     return stats.mapInArrow(rate, f"{schema}, anomaly double")
 
 
-def calibrate(scored: DataFrame, labels: DataFrame, label: str) -> float:
+def calibrate(scored: DataFrame, labels: DataFrame, label: str, id_column: str = "doc_id") -> float:
     """The score from which on documents are rejected, from all labelled rows that pass the base rules."""
     marked = (
-        labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label).cast("int").alias("_good"))
+        labels.select(F.col(id_column).cast("long").alias("doc_id"), F.col(label).cast("int").alias("_good"))
         .filter("doc_id IS NOT NULL AND _good IN (0, 1)")
         .groupBy("doc_id")
         .agg(F.max("_good").alias("_good"))
@@ -224,14 +224,13 @@ def judge(
 ) -> DataFrame:
     """(doc_id, the counts, base_failed, anomaly, kept)."""
     stats = kept(statistics(docs, id_column, text_column), "rule-statistics")
-    usable = stats.filter("NOT base_failed")
-    # The smallest hashes: a fixed sample, bounded whatever the table's size.
-    rows = usable.select("doc_id", "features").orderBy(F.xxhash64("doc_id", "n_words"), "doc_id").limit(SAMPLE).collect()
+    usable = stats.filter("NOT base_failed").select("doc_id", "n_words", "features")
+    rows = fixed_sample(usable, SAMPLE, "doc_id", "n_words").collect()
     if not rows:
         return stats.withColumn("anomaly", F.lit(None).cast("double")).withColumn("kept", ~F.col("base_failed"))
     forest = grow(np.array([r["features"] for r in sorted(rows, key=lambda r: (r["doc_id"] is None, r["doc_id"]))]))
     scored = kept(with_scores(stats, forest), "rule-anomalies")
-    cut = calibrate(scored, labels, label)
+    cut = calibrate(scored, labels, label, id_column)
     return scored.withColumn(
         "kept", ~F.col("base_failed") & (F.col("anomaly").isNull() | (F.col("anomaly") < F.lit(cut)))
     )

@@ -2,8 +2,8 @@
 
 Record: 8 bytes length of the payload, 4 bytes masked checksum of those, the
 payload, 4 bytes masked checksum of the payload; all little-endian.  Payload:
-8 bytes doc_id, 1 byte flags (bit 0: doc_id present), then the ids as 16-bit
-numbers, or 32-bit ones where the vocabulary needs them.  The checksum is
+8 bytes doc_id, 1 byte flags (bit 0: doc_id present, bit 1: 32-bit ids), then
+the ids as 16-bit numbers, or 32-bit ones where the vocabulary needs them.  The checksum is
 CRC-32, masked by a rotation and an added constant so that a checksum stored
 inside other checksummed data stays harmless.
 
@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import shared_folder
-from .bytepairs import encode_column
+from .bytepairs import encode_column, id_kind
 
 MANIFEST = "file string, part long, nth long, records long, tokens long, bytes long"
 MASK_ADDEND = 0xA282EAD8
@@ -103,13 +103,12 @@ def write_records(
     folder: str,
     path: str,
     end: int | None = 0,
-    id_width: int = 2,
     file_bytes: int = 64 << 20,
     id_column: str = "doc_id",
     text_column: str = "text",
 ) -> DataFrame:
     """Write all documents in ascending doc_id order; returns the manifest, committed in `folder`/manifest."""
-    target, kind = _uri(folder), np.dtype(f"<u{id_width}")
+    target, kind = _uri(folder), id_kind(path)
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, writer, done = TaskContext.get().partitionId(), None, []
@@ -126,7 +125,7 @@ def write_records(
                 for name, a, b in zip(names[first:last], (ends - counts).tolist(), ends.tolist()):
                     if writer is None:
                         writer = _Writer(f"{target}/data", f"part-{part:06d}-{len(done):04d}-{uuid.uuid4().hex}.records")
-                    head = (name or 0).to_bytes(8, "little", signed=True) + bytes([name is not None])
+                    head = (name or 0).to_bytes(8, "little", signed=True) + bytes([(name is not None) + 2 * (kind.itemsize == 4)])
                     writer.add(head + ids[a:b].tobytes(), b - a)
                     if writer.bytes >= file_bytes:
                         finish()
@@ -144,7 +143,7 @@ def write_records(
     return docs.sparkSession.read.schema(manifest.schema).parquet(f"{folder}/manifest")
 
 
-def read_records(manifest: DataFrame, folder: str, id_width: int = 2, chunk: int = 8 << 20) -> DataFrame:
+def read_records(manifest: DataFrame, folder: str, chunk: int = 8 << 20) -> DataFrame:
     """(doc_id, start, n_tokens, ids_crc32) of every record, checked against both checksums.
 
     `start` counts the ids of all records before it: the manifest's token
@@ -152,7 +151,7 @@ def read_records(manifest: DataFrame, folder: str, id_width: int = 2, chunk: int
     """
     before = Window.orderBy("part", "nth").rowsBetween(Window.unboundedPreceding, -1)
     placed = manifest.withColumn("base", F.coalesce(F.sum("tokens").over(before), F.lit(0)))
-    target, kind = _uri(folder), np.dtype(f"<u{id_width}")
+    target = _uri(folder)
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         system, root = fs.FileSystem.from_uri(f"{target}/data")
@@ -169,8 +168,8 @@ def read_records(manifest: DataFrame, folder: str, id_width: int = 2, chunk: int
                         blob = memoryview(f.read_at(offsets[stop] - offsets[k], offsets[k]))
                         for j in range(k, stop):
                             payload, _ = unframe(blob, offsets[j] - offsets[k])
-                            ids = np.frombuffer(payload[9:], kind).astype("<u4")
-                            name = int.from_bytes(payload[:8], "little", signed=True) if payload[8] else None
+                            ids = np.frombuffer(payload[9:], "<u4" if payload[8] & 2 else "<u2").astype("<u4")
+                            name = int.from_bytes(payload[:8], "little", signed=True) if payload[8] & 1 else None
                             out.append((name, start, len(ids), zlib.crc32(ids)))
                             start += len(ids)
                         k = stop
@@ -179,8 +178,10 @@ def read_records(manifest: DataFrame, folder: str, id_width: int = 2, chunk: int
                         )
                         out = []
 
-    # One task per handful of files; a file is at most `file_bytes` and one record.
-    return placed.repartition("file").mapInArrow(read, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    # A stated number of ranges, one a file: the manifest is small, so Spark would else give all files to one task.
+    files = max(1, manifest.count())
+    spread = placed.repartitionByRange(files, "part", "nth")
+    return spread.mapInArrow(read, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
 def written_and_read(spark: SparkSession, docs: DataFrame, path: str, end: int = 0) -> DataFrame:

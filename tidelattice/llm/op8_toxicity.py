@@ -4,10 +4,13 @@ Two zstandard dictionaries are trained on labelled text: one on ordinary
 texts, one on what recurs in toxic texts and not in ordinary ones.  Each
 window of a text (whole words, about `WINDOW_BYTES` bytes) is compressed with
 the ordinary dictionary and with both of them; the bytes saved by the second
-say how much of the window is toxic wording.  The savings of all windows of a
-document are summed up in a few figures, and a logistic curve calibrated on
-labelled rows turns those into a score; its threshold of 0.5 is placed where
-precision and recall of the calibration rows balance best (F1).
+say how much of the window is toxic wording.  (Dictionaries trained on whole
+windows of either class, and nothing else, tell the classes apart poorly: on
+held-out rows their area under the curve is 0.70 to 0.79 for sizes from 16 KB to
+1.5 MB, where this one has 0.97; ordinary wording fills both.)  The savings of
+all windows of a document are summed up in a few figures, and a logistic curve
+calibrated on labelled rows turns those into a score; its threshold of 0.5 is
+placed where precision and recall of the calibration rows balance best (F1).
 
 `predicted` is that balance and no ground for deleting a row: at it, clean rows
 are lost too.  `accept` has a cut of its own, the least one that rejects at most
@@ -35,6 +38,8 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .stages import fixed_sample
+
 SAMPLE, SAMPLE_BYTES = 3000, 1 << 16
 WINDOW_BYTES = 100
 ORDINARY_BYTES, TOXIC_BYTES = 64_000, 4_000
@@ -196,14 +201,13 @@ def fit(
     if len(counts) < 2:
         return None
     # Smallest hashes first: a fixed sample however the rows are dealt out.  Ids are sampled before texts are joined.
-    chosen = [
-        marked.filter(F.col("y") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE) for y in (0, 1)
-    ]
+    chosen = [fixed_sample(marked.filter(F.col("y") == y), SAMPLE, "doc_id") for y in (0, 1)]
     texts = (
         docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).cast("string").alias("text"))
         .filter(F.octet_length("text") <= SAMPLE_BYTES)
         .join(F.broadcast(chosen[0].unionByName(chosen[1])), "doc_id")
-        .dropDuplicates(["doc_id"])
+        .groupBy("doc_id", "y")
+        .agg(F.min("text").alias("text"))
     )
     rows = texts.collect()  # at most 2 x SAMPLE texts of SAMPLE_BYTES
     rows.sort(key=lambda r: _shuffled(r["doc_id"]))

@@ -24,15 +24,15 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .bytepairs import encode_column
+from .bytepairs import encode_column, id_kind
 from .stages import kept
 
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
-ID_BYTES = np.dtype("<u2")
 
 
 def encoded(docs: DataFrame, path: str, end: int, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """(doc_id, n_tokens, part, at, ids): ids as little-endian 16-bit numbers, `at` counts from the part's start."""
+    """(doc_id, n_tokens, part, at, ids): ids as little-endian numbers of `id_kind`, `at` counts from the part's start."""
+    kind = id_kind(path)
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, at = TaskContext.get().partitionId(), 0
@@ -41,8 +41,8 @@ def encoded(docs: DataFrame, path: str, end: int, id_column: str = "doc_id", tex
             for first, last, ids, counts in encode_column(batch.column(1), path, end):
                 ends = np.zeros(len(counts) + 1, np.int64)
                 np.cumsum(counts, out=ends[1:])
-                raw = pa.py_buffer(ids.astype(ID_BYTES).tobytes())
-                where = pa.py_buffer((2 * ends).astype(np.int32).tobytes())
+                raw = pa.py_buffer(ids.astype(kind).tobytes())
+                where = pa.py_buffer((kind.itemsize * ends).astype(np.int32).tobytes())
                 yield pa.RecordBatch.from_arrays(
                     [
                         names.slice(first, last - first),
@@ -66,8 +66,8 @@ def part_offsets(ids: DataFrame) -> DataFrame:
     return totals.select("part", F.coalesce(F.sum("_total").over(before), F.lit(0)).alias("base"))
 
 
-def cut_windows(placed: DataFrame, length: int) -> DataFrame:
-    """Boundary records of (doc_id, n_tokens, begin, ids) rows for windows of `length` ids."""
+def cut_windows(placed: DataFrame, length: int, kind: np.dtype) -> DataFrame:
+    """Boundary records of (doc_id, n_tokens, begin, ids) rows for windows of `length` ids of type `kind`."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -83,7 +83,7 @@ def cut_windows(placed: DataFrame, length: int) -> DataFrame:
             crcs = np.zeros(len(row), np.int64)
             at = 0
             for k, n in enumerate(pieces):
-                wide = memoryview(np.frombuffer(batch.column(3)[k].as_buffer(), ID_BYTES).astype("<u4")).cast("B")
+                wide = memoryview(np.frombuffer(batch.column(3)[k].as_buffer(), kind).astype("<u4")).cast("B")
                 for _ in range(n):
                     a = 4 * start[at]
                     crcs[at] = zlib.crc32(wide[a : a + 4 * (right[at] - left[at])])
@@ -103,4 +103,4 @@ def pack(
     """One row per piece of a document: where it starts there, its length, its sequence and its offset in it."""
     ids = kept(encoded(docs, path, end, id_column, text_column), "packing-ids")
     placed = ids.join(F.broadcast(part_offsets(ids)), "part").withColumn("begin", F.col("base") + F.col("at"))
-    return cut_windows(placed, length)
+    return cut_windows(placed, length, id_kind(path))
