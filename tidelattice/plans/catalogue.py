@@ -1,32 +1,50 @@
-"""P-2: search of the variable catalogue by text, grid and time resolution."""
+"""P-2: search of the variable catalogue by text, grid and time resolution.
+
+One rule says which rows a request may see, and both ways to search use it: one
+text over the whole catalogue in a single pass, and a table of requests through
+an inverted index of short character runs.
+"""
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.strings import contains_ci, note_allows
+from ..functions.strings import contains_ci
 from ..operators.sets import later_wins, parse_request_key
+from ..session import stored
 
-# Grids and resolutions that have their own sections, and the shared section.
-SECTIONS = {
-    "native": ("monthly", "daily", "snapshot"),
-    "latlon": ("monthly", "daily"),
-}
+# The shared section, and how notes spell the two grids.
 MIXED_SECTION = "mixed,all"
+GRID_WORDS = {"native": "native", "latlon": "lat-lon"}
+# The searched columns, and the length of the character runs that the index holds.
+SEARCHED = ("short_name", "var", "description", "note")
+GRAM = 3
 
 
-def sections_for(grid: str | None, time_res: str) -> list[str]:
-    """Sections a search looks into; snapshots exist only on the native grid."""
-    grids = list(SECTIONS) if grid is None else [grid]
-    found = [f"{g},{r}" for g in grids for r in SECTIONS[g] if time_res in ("all", r)]
-    return [*found, MIXED_SECTION]
+def allowed(section: Column, note: Column, grid: Column, time_res: Column) -> Column:
+    """SF-32 and the routing of P-2: whether a request for a grid (NULL for any) and a resolution (or `all`) sees a row.
+
+    A request that names both sees the section of its own alone.  One that leaves either open sees the shared section too, and
+    of rows with a starred note only those that name what it asks for.  Snapshots exist only on the native grid.
+    """
+    any_grid, any_time = grid.isNull(), time_res == "all"
+    own_grid, own_time = F.split_part(section, F.lit(","), F.lit(1)), F.split_part(section, F.lit(","), F.lit(2))
+    own = (any_grid | (own_grid == grid)) & (any_time | (own_time == time_res)) & (section != "latlon,snapshot")
+    routed = F.when(section == MIXED_SECTION, any_grid | any_time).otherwise(own)
+    word = F.when(grid == "latlon", F.lit(GRID_WORDS["latlon"])).otherwise(grid)
+    starred = F.coalesce(F.contains(note, F.lit("*")), F.lit(False))
+    grid_fits = any_grid | ~any_time | F.contains(note, word)
+    time_fits = any_time | ~any_grid | F.contains(note, time_res)
+    return routed & (~starred | (grid_fits & time_fits))
 
 
 def matches(query: Column) -> Column:
     """SF-25 over every value of a catalogue row."""
-    hit = contains_ci(F.col("short_name"), query)
-    for name in ("var", "description", "note"):
+    hit = contains_ci(F.col(SEARCHED[0]), query)
+    for name in SEARCHED[1:]:
         hit = hit | contains_ci(F.col(name), query)
     return hit
 
@@ -37,12 +55,14 @@ def merged(catalogue: DataFrame) -> DataFrame:
 
 
 def search(catalogue: DataFrame, query: str, grid: str | None = None, time_res: str = "all") -> DataFrame:
-    """Datasets with the text in their name, variables, descriptions or note: (short_name, exact, position)."""
-    own = catalogue.filter(F.col("section").isin(*sections_for(grid, time_res)))
-    allowed = own.filter((F.col("section") != MIXED_SECTION) | note_allows(F.col("note"), grid, time_res))
+    """Datasets with the text in their name, variables, descriptions or note: (short_name, exact, position).
+
+    One text costs one pass over the catalogue, less than an index of it.
+    """
+    seen = catalogue.filter(allowed(F.col("section"), F.col("note"), F.lit(grid).cast("string"), F.lit(time_res)))
     asked = F.lit(query)
     return (
-        allowed.groupBy("short_name")
+        seen.groupBy("short_name")
         .agg(F.bool_or(matches(asked)).alias("_hit"), F.min("entry_id").alias("position"))
         .filter("_hit")
         .select("short_name", (F.lower("short_name") == F.lower(asked)).alias("exact"), "position")
@@ -55,19 +75,58 @@ def choose(options: DataFrame, option: int = 1) -> DataFrame:
     return ranked.offset(option - 1).limit(1)
 
 
-def search_requests(catalogue: DataFrame, requests: DataFrame) -> DataFrame:
-    """SO-6: many (key, query) requests at once, `key` being `grid,time_res`.
+def grams(text: Column, size: int) -> Column:
+    """The distinct runs of `size` characters of a text; none in a shorter one."""
+    runs = F.transform(F.sequence(F.lit(1), F.length(text) - size + 1), lambda at: F.substring(text, at, F.lit(size)))
+    return F.when(F.length(text) >= size, F.array_distinct(runs)).otherwise(F.array().cast("array<string>"))
+
+
+@dataclass(frozen=True)
+class Index:
+    """An inverted index: rows of a catalogue by number, the numbers by character run, and how many rows hold each run."""
+
+    rows: DataFrame
+    postings: DataFrame  # gram, row
+    counts: DataFrame  # gram, n
+
+
+def index(catalogue: DataFrame) -> Index:
+    """The index of a catalogue, written so that many searches may use it.
+
+    Runs of up to `GRAM` characters are held, the empty one of every row included, so that short and empty queries find theirs.
+    """
+    rows = stored(catalogue.withColumn("row", F.monotonically_increasing_id()), "catalogue-rows")
+    text = F.lower(F.concat_ws("\0", *SEARCHED))
+    runs = F.flatten(F.array(F.array(F.lit("")), *[grams(F.col("_text"), size) for size in range(1, GRAM + 1)]))
+    postings = stored(rows.select("row", text.alias("_text")).select("row", F.explode(runs).alias("gram")), "catalogue-grams")
+    return Index(rows, postings, stored(postings.groupBy("gram").agg(F.count(F.lit(1)).alias("n")), "gram-counts"))
+
+
+def candidates(of: Index, requests: DataFrame) -> DataFrame:
+    """The requests with the `row` numbers that may match: those of the rarest of a query's character runs.
+
+    Every match holds all runs of the query, so none is missed; a query with a run that no row holds has no candidates.
+    """
+    asked = F.lower("query")
+    runs = F.when(F.length(asked) >= GRAM, grams(asked, GRAM)).otherwise(F.array(asked))
+    spread = requests.select("query").distinct().select("query", F.explode(runs).alias("gram"), F.size(runs).alias("_runs"))
+    rarest = (
+        spread.join(of.counts, "gram")
+        .groupBy("query", "_runs")
+        .agg(F.min_by("gram", F.struct("n", "gram")).alias("gram"), F.count(F.lit(1)).alias("_found"))
+        .filter("_found = _runs")
+        .select("query", "gram")
+    )
+    return requests.join(rarest, "query").join(of.postings, "gram").drop("gram")
+
+
+def search_requests(catalogue: DataFrame | Index, requests: DataFrame) -> DataFrame:
+    """SO-6: many (key, query) requests at once, `key` being `grid,time_res`: (key, query, short_name).
 
-    Requests meet the catalogue on the section, then the text is tested.
+    Requests meet rows by character runs, so what is compared grows with the hits and not with requests times rows.
     """
-    parsed = requests.select("key", "query", parse_request_key(F.col("key")).alias("_k"))
-    sections = F.when(
-        F.col("_k.time_res") == "all",
-        F.array(*[F.concat(F.col("_k.grid"), F.lit(f",{r}")) for r in SECTIONS["native"]], F.lit(MIXED_SECTION)),
-    ).otherwise(F.array(F.concat_ws(",", "_k.grid", "_k.time_res"), F.lit(MIXED_SECTION)))
-    wanted = parsed.withColumn("section", F.explode(sections))
-    word = F.when(F.col("_k.grid") == "latlon", "lat-lon").otherwise(F.col("_k.grid"))
-    starred = F.coalesce(F.contains("note", F.lit("*")), F.lit(False))
-    fits = F.contains("note", word) & ((F.col("_k.time_res") == "all") | F.contains("note", F.col("_k.time_res")))
-    joined = catalogue.join(wanted, "section").filter(~starred | fits).filter(matches(F.col("query")))
-    return joined.select("key", "query", "short_name").distinct()
+    of = catalogue if isinstance(catalogue, Index) else index(catalogue)
+    parsed = requests.select("key", "query").distinct().withColumn("_k", parse_request_key(F.col("key")))
+    found = candidates(of, parsed).join(of.rows, "row")
+    seen = allowed(F.col("section"), F.col("note"), F.col("_k.grid"), F.col("_k.time_res"))
+    return found.filter(seen & matches(F.col("query"))).select("key", "query", "short_name").distinct()
