@@ -25,20 +25,13 @@ def entries():
 
 def sees(section, note, grid, time_res):
     """The rule, said over again: which sections are read, and which starred notes bar a row."""
-    if grid is None:
-        read = {f"{g},{r}" for g in ("native", "latlon") for r in ("monthly", "daily", "snapshot") if time_res in ("all", r)} | {"mixed,all"}
-    elif time_res == "all":
-        read = {f"{grid},{r}" for r in ("monthly", "daily", "snapshot")} | {"mixed,all"}
-    else:
-        read = {f"{grid},{time_res}"}
-    if section not in read - {"latlon,snapshot"}:
-        return False
-    if note and "*" in note:
-        if grid is not None and time_res == "all" and {"native": "native", "latlon": "lat-lon"}[grid] not in note:
-            return False
-        if grid is None and time_res != "all" and time_res not in note:
-            return False
-    return True
+    if section == "mixed,all":
+        if not note or "*" not in note:
+            return True
+        return (grid is None or {"native": "native", "latlon": "lat-lon"}[grid] in note) and (time_res == "all" or time_res in note)
+    grids = ["native", "latlon"] if grid is None else [grid]
+    read = {f"{g},{r}" for g in grids for r in ("monthly", "daily", "snapshot") if time_res in ("all", r)}
+    return section in read - {"latlon,snapshot"}
 
 
 def hit(row, query):

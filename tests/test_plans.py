@@ -40,7 +40,7 @@ def test_time_range_and_columns_reach_the_scan(spark, tmp_path, tables):
 def test_no_pairwise_joins(tables):
     t = tables
     for df in (
-        P.latlon_product(A.monthly_mean(t.field(), ["k", "tile", "j", "i", "var"]), t.native_grid(), t.target(), 1e5, 8e5, ["month", "var"]),
+        P.latlon_product(A.monthly_mean(t.field(), ["k", "tile", "j", "i", "var"]), t.native_grid(), t.target(), 8e5, ["month", "var"]),
         P.native_product(t.field(), t.mask(), "V0:SSH"),
         P.observation_records(t.obs(), t.target(), "2024-01-01", "2024-01-31", 4e5),
     ):
@@ -69,7 +69,7 @@ def test_dimension_is_broadcast_only_when_small(spark):
 
 
 def test_bucketed_mapping_joins_without_a_shuffle(spark, tmp_path, tables):
-    edges = P.level_edges(tables.native_grid(), tables.target(), 1e5, 8e5)
+    edges = P.level_edges(tables.native_grid(), tables.target(), 8e5)
     placed = tables.field().join(tables.native_grid().select("k", "tile", "j", "i", "source_id"), ["k", "tile", "j", "i"])
     keys = ["k", "source_id"]
     want = R.apply_mapping(edges, placed, "nanmean", ("time", "var"), keys).agg(F.count("value"), F.round(F.sum("value"), 3)).first()

@@ -62,11 +62,11 @@ def test_pairs_equal_brute_force(spark, options):
     source, target, dist, radius, _ = frames(spark, 1)
     got = {
         (r.target_id, r.source_id)
-        for r in R.radius_pairs(source, target, 1.0, neighbours=None, **options).collect()
+        for r in R.radius_pairs(source, target, neighbours=None, **options).collect()
     }
     inside = dist <= np.minimum(radius, math.floor(radius.max()))[:, None]
     assert got == set(zip(*(a.tolist() for a in np.nonzero(inside))))
-    rows = R.radius_pairs(source, target, 1.0, neighbours=None, **options).count()
+    rows = R.radius_pairs(source, target, neighbours=None, **options).count()
     assert rows == len(got)
 
 
@@ -81,7 +81,7 @@ def test_nearest_equals_brute_force(spark, options):
 @pytest.mark.parametrize("neighbours", [5, None])
 def test_edges_and_fallback(spark, neighbours):
     source, target, dist, radius, _ = frames(spark, 3)
-    edges = R.mapping_edges(source, target, 1.0, 900e3, neighbours).collect()
+    edges = R.mapping_edges(source, target, 900e3, neighbours).collect()
     want = set()
     for t, d in enumerate(dist):
         near = [int(s) for s in np.argsort(d, kind="stable") if d[s] <= min(radius[t], math.floor(radius.max()))]
@@ -106,7 +106,7 @@ REDUCERS = {
 def test_reductions(spark, operation, missing):
     source, target, dist, radius, value = frames(spark, 4, missing=missing)
     one_pass = R.regrid_points(source, target, operation, longest=900e3)
-    edges = R.mapping_edges(source, target, 1.0, 900e3, neighbours=None)
+    edges = R.mapping_edges(source, target, 900e3, neighbours=None)
     two_step = R.apply_mapping(edges, source.select("source_id", "value"), operation, group=())
     for out in (one_pass, two_step):
         got = {r.target_id: r for r in out.collect()}
@@ -154,7 +154,7 @@ def test_plans_have_no_pairwise_join(spark):
     source, target, *_ = frames(spark, 7)
     for options in PATHS:
         for neighbours in (None, 100):
-            pairs = R.radius_pairs(source, target, 1.0, neighbours=neighbours, **options)
+            pairs = R.radius_pairs(source, target, neighbours=neighbours, **options)
             plan = pairs._jdf.queryExecution().executedPlan().toString()
             assert "NestedLoop" not in plan and "Cartesian" not in plan
             # Only a limit ranks, and it does so before the shuffle.
@@ -167,17 +167,17 @@ def test_a_cell_without_a_radius_has_only_a_fallback(spark):
     source = spark.createDataFrame([(1, 0.0, 0.0)], "source_id long, lon double, lat double")
     cells = [(1, 0.0, 0.001, None), (2, 0.0, 0.001, float("nan")), (3, 0.0, 0.001, 1000.0)]
     target = spark.createDataFrame(cells, "target_id long, lon double, lat double, radius double")
-    assert [r.target_id for r in R.radius_pairs(source, target, 1000.0).collect()] == [3]
-    edges = R.mapping_edges(source, target, 1000.0, 5000.0).collect()
+    assert [r.target_id for r in R.radius_pairs(source, target).collect()] == [3]
+    edges = R.mapping_edges(source, target, 5000.0).collect()
     assert {r.target_id: r.is_fallback for r in edges} == {1: True, 2: True, 3: False}
 
 
 def test_no_cap_on_partners(spark):
     source = spark.range(250).selectExpr("id AS source_id", "id / 1000D AS lon", "0D AS lat", "double(id) AS value")
     target = spark.sql("SELECT 0L AS target_id, 0D AS lon, 0D AS lat, 100000D AS radius")
-    assert R.radius_pairs(source, target, 50e3).count() == 250
-    assert R.radius_pairs(source, target, 50e3, neighbours=200).count() == 200
-    edges = R.mapping_edges(source, target, 50e3, 200e3)
+    assert R.radius_pairs(source, target).count() == 250
+    assert R.radius_pairs(source, target, neighbours=200).count() == 200
+    edges = R.mapping_edges(source, target, 200e3)
     assert edges.count() == 250
     out = R.apply_mapping(edges, source.select("source_id", "value"), "mean", group=()).first()
     assert (out.value, out.n_source) == (124.5, 250)

@@ -217,9 +217,19 @@ def test_mapping_cache_computes_once(spark, tmp_path):
         calls.append(1)
         return spark.range(5).select(F.col("id").alias("source_id"))
 
-    for _ in range(2):
-        assert K.stored_or_computed(spark, str(tmp_path / "e"), compute).count() == 5
+    grid = spark.range(20).selectExpr("id", "id / 3 AS lon")
+    cached = lambda g, radius: K.stored_or_computed(spark, str(tmp_path / "e"), compute, {"grid": g}, radius=radius)
+    for same in (grid, grid.repartition(3), grid.orderBy("lon").select("lon", "id")):
+        assert cached(same, 5.0).count() == 5
     assert len(calls) == 1
+    # Another radius or another grid never finds the old factors.
+    for other, radius in ((grid, 6.0), (grid.withColumn("lon", F.col("lon") + 1e-9), 5.0), (grid.limit(19), 5.0)):
+        assert cached(other, radius).count() == 5
+    assert len(calls) == 4
+    # Rows without their entry are not seen.
+    for entry in (tmp_path / "e" / "entries").glob("*.json"):
+        entry.unlink()
+    assert cached(grid, 5.0).count() == 5 and len(calls) == 5
 
 
 def test_nan_is_missing_in_opened_files(spark, tmp_path):

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.missing import mean_all_present, mean_present
-from .scale import summary_side
+from .scale import join_back, same_keys, summary_side, with_prefix
 
 # Coverage duration by time resolution; sizes at or below the limit are unknown.
 DURATION = {"daily": "P1D", "monthly": "P1M", "yearly": "P1Y", "snapshot": "P0S"}
@@ -32,7 +32,7 @@ def without_empty_days(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     A semi join on the non-empty records, so no record is gathered in a window.
     """
     filled = df.filter(F.col("value").isNotNull()).select(*keys).distinct()
-    return df.join(summary_side(filled, "filled-records"), list(keys), "left_semi")
+    return df.join(with_prefix(summary_side(filled, "filled-records"), keys), same_keys(keys), "left_semi")
 
 
 def monthly_means(df: DataFrame, keys: Sequence[str], time: str = "time") -> DataFrame:
@@ -61,7 +61,7 @@ def time_mean(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 def anomaly(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """AG-13: value minus its mean over time, through an aggregate and a join instead of a window."""
     means = df.groupBy(*keys).agg(F.avg("value").alias("_mean"))
-    return df.join(summary_side(means, "time-means"), list(keys)).withColumn("value", F.col("value") - F.col("_mean")).drop("_mean")
+    return join_back(df, summary_side(means, "time-means"), keys).withColumn("value", F.col("value") - F.col("_mean")).drop("_mean")
 
 
 def clamp_fraction(fraction: Column) -> Column:

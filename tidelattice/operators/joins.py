@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions.geometry import planar_km
 from ..functions.strings import basename
-from .scale import dimension
+from .scale import dimension, join_back, sorted_ranges, summary_side
 
 # Period words that separate the stem of a granule name from its date.
 PERIOD_WORDS = ("snap", "day_mean", "mon_mean")
@@ -46,9 +46,9 @@ def merge_variables(df: DataFrame, keys: Sequence[str], names: Sequence[str]) ->
 
 
 def difference(a: DataFrame, b: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """JN-7: aligned difference on shared coordinates."""
+    """JN-7: aligned difference on shared coordinates; a missing level is a coordinate like any other."""
     right = b.select(*keys, F.col("value").alias("_other"))
-    return a.join(right, list(keys)).select(*keys, (F.col("value") - F.col("_other")).alias("value"))
+    return join_back(a.select(*keys, "value"), right, keys).select(*keys, (F.col("value") - F.col("_other")).alias("value"))
 
 
 def stem_and_tail(name: Column) -> Column:
@@ -114,41 +114,44 @@ def nearest_time(series: DataFrame, times: Sequence[str], keys: Sequence[str]) -
     )
 
 
-def nearest_time_join(probes: DataFrame, series: DataFrame, keys: Sequence[str], bucket: str = "minute") -> DataFrame:
-    """JN-13 for a table of probes (…keys, probe): nearest record of the same keys.
+def nearest_time_join(probes: DataFrame, series: DataFrame, keys: Sequence[str], parts: int | None = None) -> DataFrame:
+    """JN-13 for a table of probes (…keys, probe): nearest record of the same keys, the earlier one on a tie.
 
-    Records and probes are reduced to distinct instants and meet only inside a
-    time bucket, so a busy key or moment stays small.  A bucket's nearest
-    neighbours outside itself are carried as one row per bucket, so gaps of any
-    length stay exact.  Ties take the earlier record.
+    Probes and records are sorted together into ranges of (keys, time).  Inside
+    a range each probe sees the last record before it and the first one after;
+    of a range only its first and last record per key are carried to the others,
+    so no window holds a whole variable, and gaps of any length stay exact.
+    A probe of a key without records finds nothing: its time and value are missing.
     """
-    cut = lambda c: F.date_trunc(bucket, c)
-    records = series.groupBy(*keys, "time").agg(F.min("value").alias("value")).withColumn("_b", cut(F.col("time")))
-    asked = probes.select(*keys, "probe").distinct().withColumn("_b", cut(F.col("probe")))
+    records = series.groupBy(*keys, "time").agg(F.min("value").alias("value")).filter(F.col("time").isNotNull())
     rec = F.struct(F.col("time"), F.col("value"))
-    edges = records.groupBy(*keys, "_b").agg(F.min(rec).alias("_first"), F.max(rec).alias("_last"))
-    buckets = edges.join(asked.select(*keys, "_b").distinct(), [*keys, "_b"], "full")
-    # Both directions use growing frames; a frame that reaches forward would be quadratic.
-    earlier = Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    later = Window.partitionBy(*keys).orderBy(F.desc("_b")).rowsBetween(Window.unboundedPreceding, -1)
-    outer = buckets.select(
+    kind = records.select(rec.alias("r")).schema["r"].dataType
+    held = records.select(*keys, F.col("time").alias("_at"), rec.alias("_rec"), F.lit(0).alias("_probe"))
+    asked = probes.select(*keys, "probe").distinct().filter(F.col("probe").isNotNull())
+    asked = asked.select(*keys, F.col("probe").alias("_at"), F.lit(None).cast(kind).alias("_rec"), F.lit(1).alias("_probe"))
+    mixed = sorted_ranges(held.unionByName(asked), [*keys, "_at", "_probe"], parts)
+
+    # At most one row a range and key more than there are keys.
+    edges = mixed.groupBy(*keys, "_part").agg(F.min("_rec").alias("_first"), F.max("_rec").alias("_last"))
+    earlier = Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    later = Window.partitionBy(*keys).orderBy(F.desc("_part")).rowsBetween(Window.unboundedPreceding, -1)
+    outer = edges.select(
         *keys,
-        "_b",
+        "_part",
         F.last("_last", ignorenulls=True).over(earlier).alias("_prev"),
         F.last("_first", ignorenulls=True).over(later).alias("_next"),
     )
-    mixed = records.select(*keys, "_b", F.col("time").alias("_at"), rec.alias("_rec"), F.lit(0).alias("_probe")).unionByName(
-        asked.select(*keys, "_b", F.col("probe").alias("_at"), F.lit(None).cast(records.select(rec.alias("r")).schema["r"].dataType).alias("_rec"), F.lit(1).alias("_probe"))
-    )
-    inside = Window.partitionBy(*keys, "_b").orderBy("_at", "_probe")
-    after = Window.partitionBy(*keys, "_b").orderBy(F.desc("_at"), "_probe")
+    # Both directions use growing frames; a frame that reaches forward would be quadratic.
+    inside = Window.partitionBy("_part", *keys).orderBy("_place")
+    after = Window.partitionBy("_part", *keys).orderBy(F.desc("_place"))
     reach = (Window.unboundedPreceding, 0)
+    # A record at a probe's own instant stands before it, so it is found looking back.
     near = (
         mixed.withColumn("_before", F.last("_rec", ignorenulls=True).over(inside.rowsBetween(*reach)))
         .withColumn("_after", F.last("_rec", ignorenulls=True).over(after.rowsBetween(*reach)))
         .filter(F.col("_probe") == 1)
-        .join(outer, [*keys, "_b"])
     )
+    near = join_back(near, summary_side(outer, "range-edges"), [*keys, "_part"])
     back, ahead = F.coalesce("_before", "_prev"), F.coalesce("_after", "_next")
     gap = lambda r: F.abs(F.unix_micros(r["time"]) - F.unix_micros("_at"))
     pick = (

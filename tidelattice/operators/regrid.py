@@ -20,7 +20,8 @@ from pyspark.sql import functions as F
 
 from ..functions.geometry import EARTH_RADIUS, great_circle, neighbour_cap
 from ..functions.missing import mean_all_present, mean_present, null_if_nan
-from .scale import exact_median, split_hot_keys
+from ..session import stored
+from .scale import exact_median, join_back, split_hot_keys
 
 # Target rows (after repetition over bins) that may be broadcast: about 60 bytes each.
 BROADCAST_TARGET_ROWS = 2_000_000
@@ -138,7 +139,6 @@ def in_reach(widest: float) -> Column:
 def radius_pairs(
     source: DataFrame,
     target: DataFrame,
-    shortest: float,
     neighbours: int | None = None,
     carry: Sequence[str] = (),
     group: Sequence[str] = (),
@@ -149,7 +149,7 @@ def radius_pairs(
 
     `neighbours` is the user's limit on sources per target (the nearest are
     kept); None, the default, keeps them all and adds no rank and no window.  The
-    rank filter is applied per map task before the shuffle.  `shortest` bounds nothing.
+    rank filter is applied per map task before the shuffle.
     """
     size = size or GridSize.of(target)
     widest = size.widest
@@ -180,7 +180,6 @@ def nearest_pairs(
 def mapping_edges(
     source: DataFrame,
     target: DataFrame,
-    shortest: float,
     longest: float,
     neighbours: int | None = None,
     group: Sequence[str] = (),
@@ -190,8 +189,9 @@ def mapping_edges(
 
     A fallback edge exists only for a target with no source in its radius.
     `group` holds columns such as the level, whose sources differ.  Nearest
-    first, a target's first source is inside the radius if any source is, so one
-    join and one ranking give both kinds of edges.
+    first, a target's first source is inside the radius if any source is.  The
+    pairs of one radius join are written, and read once for the edges inside and
+    once for the nearest sources of the targets that have none.
     """
     keys = ["target_id", *group]
     size = GridSize.of(target)
@@ -206,9 +206,10 @@ def mapping_edges(
         nearest_first = Window.partitionBy(*keys).orderBy("dist", "source_id")
         ranked = pairs.withColumn("rank", F.row_number().over(nearest_first)).filter(F.col("rank") <= neighbours)
         return ranked.filter(~F.col("is_fallback") | (F.col("rank") == 1)).select(*out)
+    pairs = stored(pairs.select(*out), "radius-pairs")
     best = pairs.groupBy(*keys).agg(F.min(F.struct("dist", "source_id", "is_fallback")).alias("_best"))
     fallback = best.select(*keys, "_best.*").filter("is_fallback")
-    return pairs.filter(~F.col("is_fallback")).select(*out).unionByName(fallback.select(*out))
+    return pairs.filter(~F.col("is_fallback")).unionByName(fallback.select(*out))
 
 
 def reduction(operation: str, value: Column, order: Column) -> Column:
@@ -255,7 +256,7 @@ def apply_mapping(
     )
     if wide_median:
         keep = F.lit(True) if operation == "nanmedian" else F.col("_present") == F.col("n_source")
-        out = out.join(exact_median(joined, keys, "value", "_middle"), keys, "left")
+        out = join_back(out, exact_median(joined, keys, "value", "_middle"), keys, "left")
         out = out.withColumn("value", F.when(keep, F.col("_middle"))).drop("_middle")
     return out.drop("_present")
 
@@ -305,7 +306,7 @@ def regrid_points(
     )
     if operation in ("median", "nanmedian"):
         middle = exact_median(pairs.filter(inside), keys, "value", "_middle")
-        out = out.join(middle, keys, "left")
+        out = join_back(out, middle, keys, "left")
         keep = F.lit(True) if operation == "nanmedian" else F.col("n_present") == F.col("n_source")
         out = out.withColumn("_core", F.when(keep, F.col("_middle"))).drop("_middle")
     return out.filter((F.col("n_source") > 0) | (F.col("_near") > 0)).select(

@@ -77,6 +77,35 @@ def _offsets(df: DataFrame, keys: Sequence[str], total: Column) -> DataFrame:
     )
 
 
+def sorted_ranges(df: DataFrame, order: Sequence[str | Column], parts: int | None = None) -> DataFrame:
+    """The rows in ranges of the order, sorted: columns `_part`, the range's number, and `_place`, from 0 in it.
+
+    They are written with their numbers, so that no later task can see others; neither a key nor the frame has to fit a task.
+    """
+    parts = parts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = df.repartitionByRange(parts, *order).sortWithinPartitions(*order).withColumn("_number", F.monotonically_increasing_id())
+    placed = stored(ranged, "sorted-ranges")
+    number = {"_part": F.shiftright("_number", 33), "_place": F.col("_number").bitwiseAND((1 << 33) - 1)}
+    return placed.withColumns(number).drop("_number")
+
+
+def same_keys(keys: Sequence[str], prefix: str = "_k_") -> Column:
+    """The null-safe match of `keys` with the same columns of another frame, renamed by `with_prefix`."""
+    out = F.lit(True)
+    for k in keys:
+        out &= F.col(k).eqNullSafe(F.col(f"{prefix}{k}"))
+    return out
+
+
+def with_prefix(df: DataFrame, keys: Sequence[str], prefix: str = "_k_") -> DataFrame:
+    return df.withColumnsRenamed({k: f"{prefix}{k}" for k in keys})
+
+
+def join_back(rows: DataFrame, sums: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Rows with the columns of an aggregate by `keys`; a NULL key is a key like any other."""
+    return rows.join(with_prefix(sums, keys), same_keys(keys), how).drop(*[f"_k_{k}" for k in keys])
+
+
 def range_rank(df: DataFrame, order: Sequence[str | Column], out: str, keys: Sequence[str] = (), parts: int | None = None) -> DataFrame:
     """1-based position in `order` over all rows, or per key when there are `keys`.
 
@@ -86,26 +115,16 @@ def range_rank(df: DataFrame, order: Sequence[str | Column], out: str, keys: Seq
     is taken off.  Only one row per range meets in a window.  Rows that agree in
     the whole order are ranked in any order, and share a range.
     """
-    spark = df.sparkSession
-    parts = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    by = [*keys, *order]
-    # Unlike partition numbers taken after a read, these are written with the rows: a later task cannot see others.
-    ranged = df.repartitionByRange(parts, *by).sortWithinPartitions(*by).withColumn("_at", F.monotonically_increasing_id())
-    placed = stored(ranged, "ranked")
-    part, place = F.shiftright("_at", 33), F.col("_at").bitwiseAND((1 << 33) - 1)
+    placed = sorted_ranges(df, [*keys, *order], parts)
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    sizes = placed.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_n"))
+    sizes = placed.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))  # one row a range
     starts = sizes.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
-    ranked = placed.withColumn("_part", part).join(F.broadcast(starts), "_part").withColumn(out, (place + F.col("_start") + 1).cast("long"))
-    ranked = ranked.drop("_at", "_part", "_start")
+    at = (F.col("_place") + F.col("_start") + 1).cast("long")
+    ranked = placed.join(F.broadcast(starts), "_part").withColumn(out, at).drop("_part", "_place", "_start")
     if not keys:
         return ranked
     firsts = summary_side(ranked.groupBy(*keys).agg(F.min(out).alias("_first")), "first-ranks")
-    firsts = firsts.withColumnsRenamed({k: f"_k_{k}" for k in keys})
-    same = F.lit(True)
-    for k in keys:
-        same &= F.col(k).eqNullSafe(F.col(f"_k_{k}"))
-    return ranked.join(firsts, same).withColumn(out, F.col(out) - F.col("_first") + 1).drop("_first", *[f"_k_{k}" for k in keys])
+    return join_back(ranked, firsts, keys).withColumn(out, F.col(out) - F.col("_first") + 1).drop("_first")
 
 
 def running_sum(
@@ -120,8 +139,7 @@ def running_sum(
     inside = Window.partitionBy(*keys, BLOCK).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     offsets = _offsets(blocked, keys, F.sum(value))
     return (
-        blocked.withColumn("_inside", F.sum(value).over(inside))
-        .join(offsets, [*keys, BLOCK])
+        join_back(blocked.withColumn("_inside", F.sum(value).over(inside)), offsets, [*keys, BLOCK])
         .withColumn(out, F.col("_inside") + F.col("_before"))
         .drop("_inside", "_before", BLOCK)
     )
@@ -133,8 +151,7 @@ def ordinal(df: DataFrame, keys: Sequence[str], order: Sequence[str], block: Col
     inside = Window.partitionBy(*keys, BLOCK).orderBy(*order)
     offsets = _offsets(blocked, keys, F.count(F.lit(1)))
     return (
-        blocked.withColumn("_inside", F.row_number().over(inside))
-        .join(offsets, [*keys, BLOCK])
+        join_back(blocked.withColumn("_inside", F.row_number().over(inside)), offsets, [*keys, BLOCK])
         .withColumn(out, (F.col("_inside") + F.col("_before")).cast("long"))
         .drop("_inside", "_before", BLOCK)
     )
@@ -163,9 +180,8 @@ def carry_forward(
     carried = ends.select(
         *keys, BLOCK, *[F.last(f"_e_{name}", ignorenulls=True).over(before).alias(f"_c_{name}") for name in values]
     )
-    out = blocked.withColumns(
-        {f"_i_{name}": F.last(f"_v_{name}", ignorenulls=True).over(inside) for name in values}
-    ).join(carried, [*keys, BLOCK])
+    inner = blocked.withColumns({f"_i_{name}": F.last(f"_v_{name}", ignorenulls=True).over(inside) for name in values})
+    out = join_back(inner, carried, [*keys, BLOCK])
     out = out.withColumns({name: F.coalesce(f"_i_{name}", f"_c_{name}") for name in values})
     return out.drop(BLOCK, *[f"_{p}_{name}" for name in values for p in ("v", "i", "c")])
 
@@ -188,7 +204,7 @@ def exact_median(df: DataFrame, keys: Sequence[str], value: str, out: str, accur
         F.floor((F.col("_n") + 1) / 2).alias("_first"),
         F.floor((F.col("_n") + 2) / 2).alias("_second"),
     )
-    placed = present.join(sketch, list(keys)).filter(F.col(value) <= F.col("_hi"))
+    placed = join_back(present, sketch, keys).filter(F.col(value) <= F.col("_hi"))
     # One row per distinct value inside the bracket, one per key for all below it.
     counted = placed.groupBy(
         *keys, "_first", "_second", F.when(F.col(value) >= F.col("_lo"), F.col(value)).alias("_v")

@@ -108,13 +108,17 @@ def land_mask(field: DataFrame, grid: DataFrame, cell: Sequence[str] = ("tile",
 
 
 def wet_points(field: DataFrame, grid: DataFrame, keep_rows: bool = False) -> DataFrame:
-    """PRJ-9: only cells with a wet fraction, or missing values elsewhere when rows must stay."""
-    cell = ["k", "tile", "j", "i"]
-    wet = dimension(grid.filter(F.col("hfac") > 0).select(*cell))
+    """PRJ-9: only cells with a wet fraction, or missing values elsewhere when rows must stay.
+
+    A field without a level uses level 0.
+    """
+    cell = ["_level", "tile", "j", "i"]
+    wet = dimension(grid.filter(F.col("hfac") > 0).select(F.col("k").alias("_level"), *cell[1:]))
+    levelled = field.withColumn("_level", F.coalesce(F.col("k"), F.lit(0)))
     if not keep_rows:
-        return field.join(wet, cell, "left_semi")
-    flagged = field.join(wet.withColumn("_wet", F.lit(True)), cell, "left")
-    return flagged.withColumn("value", F.when(F.col("_wet"), F.col("value"))).drop("_wet")
+        return levelled.join(wet, cell, "left_semi").select(field.columns)
+    flagged = levelled.join(wet.withColumn("_wet", F.lit(True)), cell, "left")
+    return flagged.withColumn("value", F.when(F.col("_wet"), F.col("value"))).select(field.columns)
 
 
 def negative_to_missing(value: Column) -> Column:

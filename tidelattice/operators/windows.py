@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .scale import ordinal, running_sum
+from .scale import ordinal, range_rank, running_sum
 
 
 def depth_bounds(layers: DataFrame, profile: Sequence[str], block: int = 10_000) -> DataFrame:
@@ -77,16 +77,9 @@ def last_match(df: DataFrame, keys: Sequence[str], path: str) -> DataFrame:
     return df.groupBy(*keys).agg(F.max(path).alias(path))
 
 
-def dense_number(df: DataFrame, name: str, initial_block: int = 12) -> DataFrame:
-    """WN-11: zero-based number of each distinct name in sorted order.
-
-    Names are blocked by their leading characters, which never decrease in
-    sorted order.
-    """
-    return (
-        ordinal(df.select(name).distinct(), [], [name], F.substring(F.col(name), 1, initial_block), "_pos")
-        .select(name, (F.col("_pos") - 1).alias("number"))
-    )
+def dense_number(df: DataFrame, name: str) -> DataFrame:
+    """WN-11: zero-based number of each distinct name in sorted order, however many begin alike."""
+    return range_rank(df.select(name).distinct(), [name], "_pos").select(name, (F.col("_pos") - 1).alias("number"))
 
 
 def nearest_sources(pairs: DataFrame, n: int, keys: Sequence[str] = ("target_id",)) -> DataFrame:

@@ -27,18 +27,16 @@ GRAM = 3
 def allowed(section: Column, note: Column, grid: Column, time_res: Column) -> Column:
     """SF-32 and the routing of P-2: whether a request for a grid (NULL for any) and a resolution (or `all`) sees a row.
 
-    A request that names both sees the section of its own alone.  One that leaves either open sees the shared section too, and
-    of rows with a starred note only those that name what it asks for.  Snapshots exist only on the native grid.
+    A request sees the sections of its own and the shared one, and there, of the rows with a starred note, those that name the
+    grid and the resolution it asks for.  Snapshots exist only on the native grid.
     """
     any_grid, any_time = grid.isNull(), time_res == "all"
     own_grid, own_time = F.split_part(section, F.lit(","), F.lit(1)), F.split_part(section, F.lit(","), F.lit(2))
     own = (any_grid | (own_grid == grid)) & (any_time | (own_time == time_res)) & (section != "latlon,snapshot")
-    routed = F.when(section == MIXED_SECTION, any_grid | any_time).otherwise(own)
     word = F.when(grid == "latlon", F.lit(GRID_WORDS["latlon"])).otherwise(grid)
     starred = F.coalesce(F.contains(note, F.lit("*")), F.lit(False))
-    grid_fits = any_grid | ~any_time | F.contains(note, word)
-    time_fits = any_time | ~any_grid | F.contains(note, time_res)
-    return routed & (~starred | (grid_fits & time_fits))
+    noted = ~starred | ((any_grid | F.contains(note, word)) & (any_time | F.contains(note, time_res)))
+    return F.when(section == MIXED_SECTION, noted).otherwise(own)
 
 
 def matches(query: Column) -> Column:

@@ -89,10 +89,10 @@ def merged_records(records: DataFrame, grid: DataFrame, cell: Sequence[str], sta
     return A.without_empty_days(dense, ["date"]) if drop_empty_days else dense
 
 
-def level_edges(native: DataFrame, target: DataFrame, shortest: float, longest: float, neighbours: int | None = None) -> DataFrame:
+def level_edges(native: DataFrame, target: DataFrame, longest: float, neighbours: int | None = None) -> DataFrame:
     """Mapping factors per level from wet cells only."""
     wet = native.filter(F.col("hfac") > 0)
-    return R.mapping_edges(wet, target, shortest, longest, neighbours, group=("k",))
+    return R.mapping_edges(wet, target, longest, neighbours, group=("k",))
 
 
 def nearest_mask(native: DataFrame, target: DataFrame, longest: float) -> DataFrame:
@@ -103,14 +103,15 @@ def nearest_mask(native: DataFrame, target: DataFrame, longest: float) -> DataFr
 
 
 def latlon_product(
-    field: DataFrame, native: DataFrame, target: DataFrame, shortest: float, longest: float, group: Sequence[str], edges: DataFrame | None = None
+    field: DataFrame, native: DataFrame, target: DataFrame, longest: float, group: Sequence[str], edges: DataFrame | None = None
 ) -> DataFrame:
     """P-8: wet native cells -> lat-lon cells, masked, in stored precision, with cell bounds."""
-    factors = level_edges(native, target, shortest, longest) if edges is None else edges
+    factors = level_edges(native, target, longest) if edges is None else edges
     cell = ["k", "tile", "j", "i"]
     placed = field.join(dimension(native.select(*cell, "source_id")), cell)
     mapped = R.apply_mapping(factors, placed.select("k", "source_id", "value", *group), "mean", group, ("k", "source_id"))
-    masked = S.apply_mask(mapped, nearest_mask(native, target, longest), ["target_id", "k"])
+    mask = stored(nearest_mask(native, target, longest), "nearest-mask")
+    masked = S.apply_mask(mapped, mask, ["target_id", "k"])
     bounded = J.with_bounds(masked, target.select("target_id", "lon0", "lon1", "lat0", "lat1"), ["target_id"])
     return bounded.withColumn("value", F.col("value").cast("float"))
 
@@ -149,10 +150,10 @@ def budget_residual(series: DataFrame, total: str, parts: Sequence[str]) -> Data
     return wide.withColumn("term_sum", added).withColumn("residual", F.col(total) - added)
 
 
-def geometry_product(native: DataFrame, target: DataFrame, layers: DataFrame, shortest: float, longest: float) -> DataFrame:
+def geometry_product(native: DataFrame, target: DataFrame, layers: DataFrame, longest: float) -> DataFrame:
     """P-11: mask by nearest cell, wet fraction by mean, area and layer thickness per target and level."""
     cell_fraction = native.select("k", "source_id", F.col("hfac").alias("value"))
-    edges = R.mapping_edges(native, target, shortest, longest, group=("k",))
+    edges = R.mapping_edges(native, target, longest, group=("k",))
     fraction = R.apply_mapping(edges, cell_fraction, "mean", (), ("k", "source_id")).select(
         "target_id", "k", F.col("value").alias("hfac")
     )
@@ -167,7 +168,7 @@ def geometry_product(native: DataFrame, target: DataFrame, layers: DataFrame, sh
 
 
 def mixing_product(
-    field: DataFrame, native: DataFrame, target: DataFrame, shortest: float, longest: float
+    field: DataFrame, native: DataFrame, target: DataFrame, longest: float
 ) -> tuple[DataFrame, DataFrame]:
     """P-12: time-invariant 3-D coefficients on the lat-lon grid and their ranges; masked after mapping.
 
@@ -175,5 +176,5 @@ def mixing_product(
     """
     cell = ["k", "tile", "j", "i"]
     steady = A.time_mean(field, [*cell, "var"])
-    product = stored(latlon_product(steady, native, target, shortest, longest, ["var"]), "mixing-product")
+    product = stored(latlon_product(steady, native, target, longest, ["var"]), "mixing-product")
     return product, A.value_range(product, ["var"])

@@ -22,7 +22,7 @@ from .selecting import field_cols
 from .text import big, day, r3, r6, r7, stamp
 from .varlists import PARSED_SQL, varlist_lines
 
-SHORTEST, LONGEST = 100000.0, 800000.0
+LONGEST = 800000.0
 
 
 @query(
@@ -179,7 +179,7 @@ FROM p LEFT JOIN landmask l USING (target_id, k) JOIN target USING (target_id)
 )
 def p_8(t):
     months = A.monthly_mean(t.field(), ["k", "tile", "j", "i", "var"])
-    out = P.latlon_product(months, t.native_grid(), t.target(), SHORTEST, LONGEST, ["month", "var"])
+    out = P.latlon_product(months, t.native_grid(), t.target(), LONGEST, ["month", "var"])
     return out.select(
         "target_id", "k", day("month").alias("month"), "var", F.round(F.col("value").cast("double"), 2).alias("value"),
         "n_source", "is_fallback", "lon0", "lon1", "lat0", "lat1",
@@ -244,7 +244,7 @@ FROM f JOIN target USING (target_id) LEFT JOIN landmask l USING (target_id, k) L
 def p_11(t):
     layer = t.layers().groupBy("k").agg(F.avg("dr").alias("dr"))
     bounds = W.depth_bounds(layer.withColumn("profile", F.lit(0)), ["profile"])
-    out = P.geometry_product(t.native_grid(), t.target(), bounds, SHORTEST, LONGEST)
+    out = P.geometry_product(t.native_grid(), t.target(), bounds, LONGEST)
     return out.select(
         "target_id", F.col("k").cast("int").alias("k"), r6("hfac").alias("hfac"), "mask", r3(F.col("area") / F.lit(1e6)).alias("area_km2"), r6("dr").alias("dr"), r6("zl").alias("zl"), r6("depth").alias("depth")
     )
@@ -262,7 +262,7 @@ FROM x JOIN (SELECT var, min(value) AS lo, max(value) AS hi FROM x GROUP BY var)
 """,
 )
 def p_12(t):
-    product, ranges = P.mixing_product(t.field(), t.native_grid(), t.target(), SHORTEST, LONGEST)
+    product, ranges = P.mixing_product(t.field(), t.native_grid(), t.target(), LONGEST)
     two = lambda c: F.round(F.col(c).cast("double"), 2).alias(c)
     return product.join(ranges, "var").select("target_id", "k", "var", two("value"), two("valid_min"), two("valid_max"))
 

@@ -103,7 +103,7 @@ def wn_10(t):
 
 @query("wn_11", "SELECT name, dense_rank() OVER (ORDER BY name) - 1 AS number FROM (SELECT DISTINCT short_name AS name FROM cat)")
 def wn_11(t):
-    return W.dense_number(t.catalogue().select(F.col("short_name").alias("name")), "name", initial_block=14)
+    return W.dense_number(t.catalogue().select(F.col("short_name").alias("name")), "name")
 
 
 @query("sr_1", "SELECT url, strftime(gdate, '%Y-%m-%d') AS gdate FROM gran ORDER BY gran.gdate, url")
@@ -219,7 +219,7 @@ def so_5(t):
 WITH r AS (SELECT DISTINCT ['native,monthly', 'latlon,daily', 'native,all'][CAST(p_partkey % 3 + 1 AS INTEGER)] AS "key", split_part(p_name, ' ', 1) AS query FROM part),
 k AS (SELECT *, split_part("key", ',', 1) AS g, split_part("key", ',', 2) AS tr FROM r)
 SELECT DISTINCT k."key", k.query, c.short_name FROM k JOIN cat c
-  ON ((c.section = 'mixed,all' AND tr = 'all') OR (split_part(c.section, ',', 1) = g AND (tr = 'all' OR split_part(c.section, ',', 2) = tr)))
+  ON (c.section = 'mixed,all' OR (split_part(c.section, ',', 1) = g AND (tr = 'all' OR split_part(c.section, ',', 2) = tr)))
 WHERE (note IS NULL OR (contains(note, CASE g WHEN 'latlon' THEN 'lat-lon' ELSE g END) AND (tr = 'all' OR contains(note, tr))))
   AND (contains(lower(short_name), lower(query)) OR contains(lower(var), lower(query)) OR contains(lower(description), lower(query)) OR coalesce(contains(lower(note), lower(query)), false))
 """,

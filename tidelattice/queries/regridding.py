@@ -2,17 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..operators import regrid as R
 from ..operators import select as S
 from ..operators import windows as W
+from ..operators.scale import range_rank
 from .registry import query
 from .text import day, r3, r7
 
 LONGEST = 400000.0
-SHORTEST = 1000.0
 
 RANKED = """
 SELECT target_id, source_id, dist, row_number() OVER (PARTITION BY target_id ORDER BY dist, source_id) AS rank
@@ -37,10 +36,8 @@ FROM closest c LEFT JOIN core USING (target_id)
 
 @query("jn_1", f"SELECT target_id, source_id, round(dist, 3) AS dist, rank FROM ({RANKED})")
 def jn_1(t):
-    pairs = R.radius_pairs(t.obs(), t.target(), SHORTEST)
-    nearest_first = Window.partitionBy("target_id").orderBy("dist", "source_id")
-    pairs = pairs.withColumn("rank", F.row_number().over(nearest_first))
-    return pairs.select("target_id", "source_id", r3("dist").alias("dist"), F.col("rank").cast("long").alias("rank"))
+    pairs = range_rank(R.radius_pairs(t.obs(), t.target()), ["dist", "source_id"], "rank", keys=["target_id"])
+    return pairs.select("target_id", "source_id", r3("dist").alias("dist"), "rank")
 
 
 @query("jn_2", f"SELECT target_id, source_id, round(dist, 3) AS dist FROM ({CLOSEST})")
@@ -63,7 +60,7 @@ FROM edges JOIN obs USING (source_id) GROUP BY target_id, strftime(ts, '%Y-%m-%d
 )
 def jn_3(t):
     obs = t.obs()
-    edges = R.mapping_edges(obs, t.target(), SHORTEST, LONGEST)
+    edges = R.mapping_edges(obs, t.target(), LONGEST)
     field = obs.select("source_id", day("ts").alias("day"), "var", "value")
     out = R.apply_mapping(edges, field, "nanmean", group=("day", "var"))
     return out.withColumn("value", r7("value"))
@@ -133,7 +130,7 @@ def ag_6(t):
 
 @query("wn_2", f"SELECT target_id, source_id, round(dist, 3) AS dist, rank FROM ({RANKED}) WHERE rank <= 5")
 def wn_2(t):
-    pairs = R.radius_pairs(t.obs(), t.target(), SHORTEST, neighbours=None)
+    pairs = R.radius_pairs(t.obs(), t.target())
     return W.nearest_sources(pairs, 5).select(
         "target_id", "source_id", r3("dist").alias("dist"), F.col("rank").cast("long").alias("rank")
     )

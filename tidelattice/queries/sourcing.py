@@ -267,14 +267,15 @@ def snk_8(t):
     """Mapping factors: the first call computes and stores them, the second reads the stored table."""
     from ..plans.products import level_edges
 
-    path = shared_folder(t.spark, "mapping")
-    compute = lambda: level_edges(t.native_grid(), t.target(), 100000.0, 800000.0)
-    K.stored_or_computed(t.spark, path, compute)
+    path, longest = shared_folder(t.spark, "mapping"), 800000.0
+    native, target = t.native_grid(), t.target()
+    made_from = {"native": native, "target": target}
+    K.stored_or_computed(t.spark, path, lambda: level_edges(native, target, longest), made_from, longest=longest)
 
     def refuse():
         raise RuntimeError("the stored factors were not found")
 
-    return K.stored_or_computed(t.spark, path, refuse).withColumn("dist", r3("dist"))
+    return K.stored_or_computed(t.spark, path, refuse, made_from, longest=longest).withColumn("dist", r3("dist"))
 
 
 @query(

@@ -5,6 +5,9 @@ Each sink has a `*_rows` function that shapes the rows, and a writer.
 
 from __future__ import annotations
 
+import hashlib
+import json
+import uuid
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -12,6 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import MODEL_START, period_date, period_label
 from ..functions.missing import fill_missing
+from .files import get, put
 
 # Fixed value: the default fill of 64-bit and 32-bit floats in the product format.
 FLOAT_FILL = 9.969209968386869e36
@@ -102,16 +106,33 @@ def write_summary(catalogue: DataFrame, path: str, marker: str, second_part: str
     summary_rows(catalogue, marker, second_part).write.mode("overwrite").json(path)
 
 
-def stored_or_computed(spark: SparkSession, path: str, compute: Callable[[], DataFrame]) -> DataFrame:
-    """SNK-8: mapping factors from their table if it is complete, else computed and written once.
+def content_digest(df: DataFrame) -> str:
+    """A digest of a frame's rows, in whatever order and files they are: names and types, count, and two sums of row hashes."""
+    names = sorted(df.columns)
+    halves = [F.sum(F.xxhash64(F.lit(seed), *names).cast("decimal(38,0)")) for seed in (0, 1)]
+    count, *sums = df.agg(F.count(F.lit(1)), *halves).first()
+    kinds = dict(df.dtypes)
+    return hashlib.sha256(json.dumps([[(n, kinds[n]) for n in names], count, [str(s) for s in sums]]).encode()).hexdigest()
 
-    The table is clustered by source, so mapping many fields reads it in join order.
+
+def stored_or_computed(
+    spark: SparkSession, path: str, compute: Callable[[], DataFrame], made_from: dict[str, DataFrame], **parameters
+) -> DataFrame:
+    """SNK-8: mapping factors from the cache at `path`, else computed and written once.
+
+    An entry is known by the contents of the frames that it is made from and the
+    parameters, so another grid or radius never finds it.  Its rows are written
+    to a folder of their own, and only then named by the entry's file: what is
+    half written is not seen, and of two writers one wins.  Rows are clustered
+    by source, so mapping many fields reads them in join order.
     """
-    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path + "/_SUCCESS")
-    done = hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop)
-    if not done:
-        compute().repartition("source_id").sortWithinPartitions("source_id").write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    said = {"frames": {k: content_digest(df) for k, df in sorted(made_from.items())}, "parameters": parameters}
+    entry = f"{path}/entries/{hashlib.sha256(json.dumps(said, sort_keys=True).encode()).hexdigest()}.json"
+    if get(entry) is None:
+        folder = f"rows-{uuid.uuid4().hex}"
+        compute().repartition("source_id").sortWithinPartitions("source_id").write.parquet(f"{path}/{folder}")
+        put(entry, json.dumps(said | {"folder": folder}).encode())
+    return spark.read.parquet(f"{path}/{json.loads(get(entry))['folder']}")
 
 
 def write_bucketed(df: DataFrame, table: str, path: str, keys: Sequence[str], buckets: int) -> DataFrame:
