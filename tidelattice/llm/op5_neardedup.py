@@ -62,6 +62,7 @@ SCAN_BYTES, PAIRS_AT_ONCE = 1 << 20, 256
 # half deviations off, below 168, a pair is not verified.
 PLANES, WIDTH, DEVIATIONS = 4, 60, 4.5
 PARITY = 1024
+BROADCAST_ROWS = 200_000
 
 
 def shingles(words: Words, size: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
@@ -259,7 +260,7 @@ def _rare_meetings(rows: DataFrame, shingle: int, threshold: float, weighted: bo
     shared = held.groupBy("shingle").agg(F.min("class_id").alias("_a"), F.max("class_id").alias("_b"), F.count(F.lit(1)).alias("df"))
     shared = kept(shared.filter("_a < _b").select("shingle", "df"), "shared-shingles")
     mine = Window.partitionBy("set_id")
-    placed = held.join(small_or_plain(shared), "shingle").select(
+    placed = held.join(small_or_plain(shared, most=BROADCAST_ROWS), "shingle").select(
         "*",
         F.sum("weight").over(mine.orderBy("df", "shingle").rowsBetween(Window.unboundedPreceding, 0)).alias("_upto"),
         F.sum("weight").over(mine).alias("_shared"),
