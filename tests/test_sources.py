@@ -188,7 +188,7 @@ def test_stored_ranges_read_recursively(spark, tmp_path):
 
 def test_csv_and_json_tables(spark, tmp_path):
     (tmp_path / "d.csv").write_text('name,text\nA,"two\nlines, and ""quotes"""\n')
-    got = T.read_csv_table(spark, str(tmp_path / "d.csv")).first()
+    got = T.read_csv_table(spark, str(tmp_path / "d.csv"), spanning=True).first()
     assert tuple(got) == ("A", 'two\nlines, and "quotes"')
     (tmp_path / "groupings.json").write_text(json.dumps([{"name": "g1"}, {"name": "g2"}]))
     rows = T.read_json_list(spark, str(tmp_path / "groupings.json")).collect()

@@ -130,10 +130,12 @@ def src_8(t):
 
 @query("src_9", "SELECT s_suppkey, short_name, s_name AS list_title, n_name AS author FROM meta")
 def src_9(t):
+    """Lists of datasets with attributes of any shape, which stay VARIANT until they are asked for."""
     path = shared_folder(t.spark, "lists-json")
     t.metadata().select("s_suppkey", "short_name", "attrs").write.json(path)
-    stored = t.spark.read.schema("s_suppkey long, short_name string, attrs map<string,string>").json(path)
-    return stored.select("s_suppkey", "short_name", F.col("attrs")["Title"].alias("list_title"), F.col("attrs")["author"].alias("author"))
+    stored = T.read_json_list(t.spark, path, "s_suppkey long, short_name string, attrs variant", lines=True)
+    attr = lambda name: F.variant_get("attrs", f"$.{name}", "string")
+    return stored.select("s_suppkey", "short_name", attr("Title").alias("list_title"), attr("author").alias("author"))
 
 
 @query(
@@ -159,8 +161,11 @@ def src_12(t):
 
 @query("src_13", "SELECT dataset, var, round(valid_min, 6) AS valid_min, round(valid_max, 6) AS valid_max FROM qc")
 def src_13(t):
+    """Range files, one folder a dataset, written and read back."""
+    path = shared_folder(t.spark, "ranges")
     stored = t.stored_ranges().withColumn("id", F.concat(F.lit("10.9999/"), "dataset"))
-    out = T.ranges_by_dataset(stored)
+    K.write_ranges(stored, path, "native", "daily")
+    out = T.read_stored_ranges(t.spark, path, "*.parquet")
     return out.select("dataset", "var", r6("valid_min").alias("valid_min"), r6("valid_max").alias("valid_max"))
 
 
@@ -247,14 +252,26 @@ FROM field GROUP BY dataset, var
 """,
 )
 def snk_6(t):
-    from ..operators.aggregate import value_range
+    """Ranges of a product's granules: the second update scans the granules of the last month only."""
+    from ..plans import ranges as N
 
-    return K.range_rows(value_range(t.field(), ["dataset", "var"]), "native", "daily")
+    field, granules, store = t.field(), shared_folder(t.spark, "granules"), shared_folder(t.spark, "range-store")
+    dated = field.withColumn("year_month", F.date_format("time", "yyyy-MM"))
+    last = dated.agg(F.max("year_month")).first()[0]
+    for some in (F.col("year_month") < last, F.col("year_month") == last):
+        dated.filter(some).write.mode("append").partitionBy("year_month").parquet(granules)
+        N.update(t.spark, store, granules, ["dataset", "var"])
+    path = shared_folder(t.spark, "ranges")
+    K.write_ranges(N.current(t.spark, store, granules, ["dataset", "var"]), path, "native", "daily")
+    return t.spark.read.parquet(path)
 
 
 @query("snk_7", "SELECT id, short_name, title, string_split(summary, ' Marker')[1] || ' Second part.' AS summary FROM meta")
 def snk_7(t):
-    return K.summary_rows(t.metadata().withColumnRenamed("summary", "description"), " Marker", " Second part.")
+    """Summaries, written as JSON and read back."""
+    path = shared_folder(t.spark, "summaries")
+    K.write_summary(t.metadata().withColumnRenamed("summary", "description"), path, " Marker", " Second part.")
+    return t.spark.read.schema("id string, short_name string, title string, summary string").json(path)
 
 
 @query(

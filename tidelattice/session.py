@@ -18,7 +18,7 @@ DEFAULTS = {
     # A skewed partition may be split even when that costs one more shuffle.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     # Batches for Python are bounded by bytes too: rows may be long texts.
-    "spark.sql.execution.arrow.maxBytesPerBatch": str(8 << 20),
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(4 << 20),
 }
 
 

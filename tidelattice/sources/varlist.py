@@ -2,19 +2,36 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..operators.scale import carry_forward
+from ..operators.scale import carry_forward, summary_side
 from ..session import stored
 
 LINES_PER_BLOCK = 100_000
 
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
-    """(file, line_no, line) of text lists; whole files keep their line order."""
-    text = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_name").alias("file"), "value")
-    return text.select("file", F.posexplode(F.split("value", "\n")).alias("line_no", "line"))
+    """(file, line_no, line) of text lists, in the files' line order; long files are read in blocks by many tasks.
+
+    A task reads the lines of a block in order, so a line's place in its block is
+    its distance from the block's first line; the lines of the blocks before it
+    are added, one row per block.
+    """
+    text = spark.read.text(path).select(
+        F.col("_metadata.file_name").alias("file"),
+        F.col("_metadata.file_path").alias("_path"),
+        F.col("_metadata.file_block_start").alias("_start"),
+        F.monotonically_increasing_id().alias("_at"),
+        F.col("value").alias("line"),
+    )
+    # Written with their numbers: a later read may deal blocks to tasks in another way.
+    text = stored(text, "text-lines")
+    blocks = text.groupBy("_path", "_start").agg(F.min("_at").alias("_first"), F.count(F.lit(1)).alias("_n"))
+    before = Window.partitionBy("_path").orderBy("_start").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = blocks.select("_path", "_start", (F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_first")).alias("_shift"))
+    placed = text.join(summary_side(offsets, "line-offsets"), ["_path", "_start"])
+    return placed.select("file", (F.col("_at") + F.col("_shift")).alias("line_no"), "line")
 
 
 def parse_varlist(lines: DataFrame, section_mark: str, block_rows: int = LINES_PER_BLOCK) -> DataFrame:
