@@ -57,7 +57,7 @@ from .stages import free_name, kept, small_or_plain
 SHINGLE, THRESHOLD = 5, 0.8
 BANDS, BAND = 40, 6
 CENTRES = 6
-SCAN_BYTES, PAIRS_AT_ONCE = 1 << 20, 256
+SCAN_BYTES, PAIRS_AT_ONCE = 1 << 18, 64
 # Registers are compared by four bits each.  Of 240, a pair at 0.8 agrees on 195, with a deviation of 6; four and a
 # half deviations off, below 168, a pair is not verified.
 PLANES, WIDTH, DEVIATIONS = 4, 60, 4.5
@@ -211,7 +211,7 @@ def _verify(pairs: DataFrame, texts: DataFrame, shingle: int, threshold: float,
             sets = []
             for side in (2, 3):
                 found = {}
-                for part in text_slices(batch.column(side)):
+                for part in text_slices(batch.column(side), SCAN_BYTES):
                     hashes, text = shingles(split_words(part, PLAIN), shingle)
                     order = np.argsort(text, kind="stable")
                     bounds = np.searchsorted(text[order], np.arange(part.last - part.first + 1))

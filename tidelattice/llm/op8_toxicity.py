@@ -47,6 +47,7 @@ MAX_LOSS = 0.01  # share of the clean rows that `accept` may reject
 RECURRING = 0.008  # share of the toxic texts a word must be in
 LEVEL = 3
 FOLDS = 5
+ROWS_AT_ONCE = 200
 PUNCTUATION = b".,;:!?"
 
 
@@ -215,6 +216,12 @@ def fit(
     return train(by[1], by[0], counts[1] / (counts[0] + counts[1]))
 
 
+def _column_scores(column: pa.Array, model: Model, measure: Savings) -> np.ndarray:
+    """Scores of a column, a few texts at a time."""
+    parts = [_scores(column.slice(at, ROWS_AT_ONCE).to_pylist(), model, measure) for at in range(0, len(column), ROWS_AT_ONCE)]
+    return np.concatenate([np.zeros(0), *parts])
+
+
 def _scores(texts: Sequence[str | None], model: Model, measure: Savings) -> np.ndarray:
     if not len(texts):
         return np.zeros(0)
@@ -232,7 +239,7 @@ def accept(docs: DataFrame, model: Model | None, text_column: str = "text") -> D
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         measure = Savings(model.ordinary, model.both)
         for batch in batches:
-            yield batch.filter(pa.array(_scores(batch.column(at).to_pylist(), model, measure) <= model.reject))
+            yield batch.filter(pa.array(_column_scores(batch.column(at), model, measure) <= model.reject))
 
     return docs.mapInArrow(keep, docs.schema)
 
@@ -243,7 +250,7 @@ def score(docs: DataFrame, model: Model | None, id_column: str = "doc_id", text_
     def rate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         measure = Savings(model.ordinary, model.both) if model else None
         for batch in batches:
-            scores = _scores(batch.column(2).to_pylist(), model, measure) if model else np.zeros(len(batch))
+            scores = _column_scores(batch.column(2), model, measure) if model else np.zeros(len(batch))
             columns = [batch.column(0), batch.column(1), pa.array(scores, pa.float64())]
             yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "held_out", "score"])
 
