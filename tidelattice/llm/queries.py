@@ -145,7 +145,24 @@ def op6(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-@query("op5_near_dedup")
+# All pairs of documents with a shingle in common; least ids spread along the links until nothing changes.
+OP5_SQL = r"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+copies AS (SELECT doc_id, CASE WHEN len(ws) > 0 THEN min(doc_id) OVER (PARTITION BY ws) ELSE doc_id END AS copy_of FROM w),
+sh AS (
+  SELECT DISTINCT doc_id, array_to_string(ws[i : i + 4], ' ') AS s
+  FROM (SELECT doc_id, ws, unnest(range(1, greatest(len(ws) - 4, 1) + 1)) AS i FROM w JOIN copies USING (doc_id) WHERE len(ws) > 0 AND doc_id = copy_of)),
+n AS (SELECT doc_id, count(*) AS n FROM sh GROUP BY doc_id),
+pairs AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS shared FROM sh a JOIN sh b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY ALL),
+linked AS (SELECT a, b FROM pairs JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 5 * shared >= 4 * (x.n + y.n - shared)),
+ways AS (SELECT a, b FROM linked UNION ALL SELECT b, a FROM linked),
+reach AS (SELECT doc_id, doc_id AS other FROM w UNION SELECT reach.doc_id, ways.b FROM reach JOIN ways ON ways.a = reach.other),
+least AS (SELECT doc_id, min(other) AS class_id FROM reach GROUP BY doc_id)
+SELECT copies.doc_id, copy_of, class_id FROM copies JOIN least ON least.doc_id = copy_of
+"""
+
+
+@query("op5_near_dedup", OP5_SQL)
 def op5(spark: SparkSession, folder: str) -> DataFrame:
     return op5_neardedup.near_classes(table(spark, folder, "documents"))
 
