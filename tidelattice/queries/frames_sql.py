@@ -2,9 +2,9 @@
 
 FRAMES: dict[str, str] = {}
 
-FRAMES["field"] = """
+FIELD = """
 SELECT 'DS_' || (l_partkey % 2) AS dataset,
-       CAST(DATE '2000-01-01' + CAST(l_orderkey % 91 AS INTEGER) AS TIMESTAMP) AS "time",
+       make_timestamp((epoch_us(TIMESTAMP '2000-01-01') + ((l_orderkey % 91) * 86400 + {second}) * 1000000)) AS "time",
        CAST((l_linenumber - 1) % 2 AS INTEGER) AS k, CAST(l_partkey % 13 AS INTEGER) AS tile,
        CAST(l_suppkey % 5 AS INTEGER) AS j, CAST(l_orderkey % 5 AS INTEGER) AS i,
        'V' || (l_partkey % 3) AS var, ['c', 'w', 's'][CAST(l_partkey % 3 + 1 AS INTEGER)] AS loc,
@@ -12,10 +12,14 @@ SELECT 'DS_' || (l_partkey % 2) AS dataset,
                  + day(DATE '2000-01-01' + CAST(l_orderkey % 91 AS INTEGER))) % 7 <> 0
             THEN max(l_extendedprice) END AS value
 FROM lineitem
-GROUP BY l_partkey % 2, l_orderkey % 91, (l_linenumber - 1) % 2, l_partkey % 13, l_suppkey % 5,
+GROUP BY l_partkey % 2, l_orderkey % 91, {second}, (l_linenumber - 1) % 2, l_partkey % 13, l_suppkey % 5,
          l_orderkey % 5, l_partkey % 3
 """
 
+# One instant per order; and the maxima of whole days.
+FRAMES["field"] = FIELD.format(second="(l_orderkey // 91) % 86400")
+FRAMES["dayfield"] = FIELD.format(second="(l_orderkey * 0)")
+
 FRAMES["gridmask"] = """
 SELECT *, CAST((tile * 31 + j * 7 + i * 3 + k) % 5 AS DOUBLE) / CAST(4 AS DOUBLE) AS hfac,
        (tile * 31 + j * 7 + i * 3 + k) % 5 > 0 AS maskc,

@@ -6,17 +6,18 @@ arithmetic, whole tables at a time.  Grid dimensions come from `range`.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.geometry import effective_radius
 from ..session import stored
 
 # Fixed sizes of the derived grids: native tile edge of fields and of the wider cell table,
-# levels, and the rows and columns of the 5-degree target grid.
+# levels, days of the field, and the rows and columns of the 5-degree target grid.
 FIELD_N = 5
 CELL_N = 90
 LEVELS = 2
+DAYS = 91
 TARGET_ROWS, TARGET_COLS = 36, 72
 
 
@@ -35,11 +36,24 @@ class Tables:
     # --- fields -----------------------------------------------------------------
 
     def field(self) -> DataFrame:
-        """Native field (dataset, time, k, tile, j, i, var, loc, value) from line items."""
+        """Native field (dataset, time, k, tile, j, i, var, loc, value) from line items.
+
+        An order is one instant: a day of the first quarter of 2000 by its number, and the second of
+        that day by its rank among the orders of the same day.  So there are about as many rows as line
+        items, up to 91 days of 86,400 seconds each; only lines of one order in one cell fold.
+        """
+        return self._field(F.pmod(F.floor(F.col("l_orderkey") / DAYS), F.lit(86400)))
+
+    def daily(self) -> DataFrame:
+        """The field's daily maxima, for what sets whole days beside each other."""
+        return self._field(F.lit(0))
+
+    def _field(self, second: Column) -> DataFrame:
         li = self.table("lineitem")
+        midnight = F.date_add(F.lit("2000-01-01").cast("date"), (F.col("l_orderkey") % DAYS).cast("int"))
         keyed = li.select(
             F.concat(F.lit("DS_"), F.col("l_partkey") % 2).alias("dataset"),
-            F.date_add(F.lit("2000-01-01").cast("date"), (F.col("l_orderkey") % 91).cast("int")).cast("timestamp").alias("time"),
+            F.timestamp_seconds(F.unix_timestamp(midnight.cast("timestamp")) + second).alias("time"),
             ((F.col("l_linenumber") - 1) % LEVELS).cast("int").alias("k"),
             (F.col("l_partkey") % 13).cast("int").alias("tile"),
             (F.col("l_suppkey") % FIELD_N).cast("int").alias("j"),
