@@ -138,6 +138,9 @@ def test_wide_variable_choice(spark):
     assert choose_columns(df, ["time"], include=["SSH"]).columns == ["time", "XC", "YC", "SSH"]
     assert choose_columns(df, ["time"], omit=["SSH"], latlon_coords=False).columns == ["time", "SALT"]
     assert "XC" in choose_columns(df, ["time"], latlon_coords=False, geometry=True).columns
+    deep = df.select("*", *[F.lit(1).alias(c) for c in ("nv", "Zl", "time_bnds")])
+    assert choose_columns(deep, ["time", "nv"], include=["SALT"], omit=["SALT"]).columns == ["time", "XC", "YC", "SALT", "Zl", "time_bnds"]
+    assert choose_columns(deep, ["time"], omit=["Zl", "time"]).columns == ["time", "XC", "YC", "SSH", "SALT", "time_bnds"]
 
 
 def test_url_template(spark):

@@ -40,8 +40,8 @@ def test_time_range_and_columns_reach_the_scan(spark, tmp_path, tables):
 def test_no_pairwise_joins(tables):
     t = tables
     for df in (
-        P.latlon_product(A.monthly_mean(t.field(), ["k", "tile", "j", "i", "var"]), t.native_grid(), t.target(), 8e5, ["month", "var"]),
-        P.native_product(t.field(), t.mask(), "V0:SSH"),
+        P.latlon_values(A.monthly_mean(t.field(), ["k", "tile", "j", "i", "var"]), t.native_grid(), t.target(), 8e5, ["month", "var"]),
+        P.native_product(t.field(), t.mask(), "V0:SSH", ["SSH", "V1", "V2"], F.lit("AVG_DAY"), "1992-01-01 12:00:00", "2018-01-01")[0],
         P.observation_records(t.obs(), t.target(), "2024-01-01", "2024-01-31", 4e5),
     ):
         assert "NestedLoop" not in plan(df) and "Cartesian" not in plan(df)

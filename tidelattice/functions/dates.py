@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Collection
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -112,6 +113,13 @@ def clamp_bounds(start: Column, end: Column, model_start: Column, model_end: Col
     return F.struct(clamped.alias("start"), midpoint(clamped, end).alias("centre"), end.alias("end"))
 
 
+def record_bounds(end: Column, code: Column, model_start: Column, model_end: Column) -> Column:
+    """SF-5 and SF-6: struct(start, centre, end) by averaging code; a record of any other code is an instant."""
+    mean = clamp_bounds(period_start(end, code), end, model_start, model_end)
+    instant = F.struct(end.alias("start"), end.alias("centre"), end.alias("end"))
+    return F.when(F.contains(code, F.lit("AVG")), mean).otherwise(instant)
+
+
 def month_offsets(month_index: Column, base: Column) -> Column:
     """SF-7: days from `base` to the bounds and middle of the n-th month, plus its ANSI date."""
     lo = F.datediff(F.add_months(base, month_index), base)
@@ -160,6 +168,26 @@ def first_bounds(*candidates: Column) -> Column:
     return F.coalesce(*candidates)
 
 
+def file_bounds(rule: str, date: Column, columns: Collection[str]) -> Column:
+    """SF-9 and SF-11 to SF-13: struct(start, end) of a record by how its file keeps times.
+
+    `time_bounds` takes the first bounds column there is, `no_time` the record's date, and the others read
+    time_coverage_start and time_coverage_end: `compact` yyyymmdd, `zone` with a zone letter, `plain`, and
+    `day` the whole day of the start.
+    """
+    first, last = F.col("time_coverage_start"), F.col("time_coverage_end")
+    if rule == "time_bounds":
+        return first_bounds(*[F.col(c) for c in BOUNDS_PRIORITY if c in columns])
+    if rule == "day":
+        return day_bounds(F.to_timestamp(first))
+    if rule == "no_time":
+        pair = date, date
+    else:
+        read = {"compact": from_compact, "zone": without_zone, "plain": F.to_timestamp}[rule]
+        pair = read(first), read(last)
+    return F.struct(pair[0].cast("timestamp").alias("start"), pair[1].cast("timestamp").alias("end"))
+
+
 def step_to_time(step_hours: Column, origin: dt.datetime = MODEL_START) -> Column:
     """SF-14: model step in hours -> timestamp."""
     return F.timestamp_seconds(F.unix_timestamp(F.lit(origin)) + step_hours.cast("long") * 3600)

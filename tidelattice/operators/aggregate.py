@@ -143,12 +143,13 @@ def empty_periods(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.groupBy(*keys).agg((F.count("value") == 0).alias("is_empty"))
 
 
-def coverage(df: DataFrame, keys: Sequence[str], resolution: str) -> DataFrame:
-    """AG-24."""
+def coverage(df: DataFrame, keys: Sequence[str], resolution: Column) -> DataFrame:
+    """AG-24 in one pass; `resolution` is one value for all rows of the same keys."""
+    codes = F.create_map(*[F.lit(x) for pair in DURATION.items() for x in pair])
     return df.groupBy(*keys).agg(
         F.min("time_start").alias("coverage_start"),
         F.max("time_end").alias("coverage_end"),
-        F.lit(DURATION[resolution]).alias("duration"),
+        F.try_element_at(codes, F.min(resolution)).alias("duration"),
     )
 
 

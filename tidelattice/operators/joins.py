@@ -8,12 +8,14 @@ with skew splitting applies beyond.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.geometry import planar_km
+from ..functions.geometry import KM_PER_DEGREE, planar_km
 from ..functions.strings import basename
+from ..session import stored
 from .scale import dimension, join_back, sorted_ranges, summary_side
 
 # Period words that separate the stem of a granule name from its date.
@@ -184,6 +186,72 @@ def nearest_cell(cells: DataFrame, points: Sequence[tuple[str, float, float]], c
     )
 
 
+def nearest_cells(
+    cells: DataFrame, points: DataFrame, cell: Sequence[str] = ("tile", "j", "i"), start: float | None = None
+) -> DataFrame:
+    """JN-14 for a table of points (point, lon, lat): the nearest cell on the scaled plane, exactly.
+
+    Cells lie in bins of latitude bands, which hold fewer bins towards the poles.  A round looks at the
+    bins within `start` degrees of each point, scaled as the distance is; a point whose best cell is nearer
+    than that is done, the others go on with twice the width and bins twice as wide, so that every round
+    meets a few bins a point.  The default width follows from the number of cells.  Ties go to the least
+    cell index; rows that repeat a point are one point.  A point without a position, or where there are no
+    cells, has no cell.
+    """
+    placed = stored(cells.select(*cell, "xc", "yc").filter(F.col("xc").isNotNull() & F.col("yc").isNotNull()), "placed-cells")
+    width = start or min(360.0, (64800.0 / max(placed.count(), 1)) ** 0.5)
+    keys = ["point", "lon", "lat"]
+    left = points.select(*keys).distinct()
+    done: list[DataFrame] = []
+    while True:
+        found = _nearest_within(placed, left, width, cell)
+        round_ = stored(join_back(left, found, keys, "left"), "nearest-round")
+        whole = F.lit(width >= 360.0) | F.col("lon").isNull() | F.col("lat").isNull()
+        near = F.coalesce(F.col("_best.dist") < F.lit(KM_PER_DEGREE * width * (1 - 1e-9)), F.lit(False))
+        done.append(round_.filter(whole | near))
+        if width >= 360.0 or (left := round_.filter(~(whole | near)).select(*keys)).isEmpty():
+            break
+        width = min(360.0, width * 2)
+    out = reduce(DataFrame.unionByName, done)
+    return out.select(*keys, *[F.col(f"_best.{c}").alias(c) for c in cell], F.col("_best.dist").alias("dist"))
+
+
+def _nearest_within(placed: DataFrame, points: DataFrame, width: float, cell: Sequence[str]) -> DataFrame:
+    """The best cell of each point (point, lon, lat, _best) among the bins within `width` degrees."""
+    size = F.lit(width)
+    turn = lambda lon: F.pmod(lon + 180.0, F.lit(360.0))
+    band = lambda lat: F.floor((lat + 90.0) / size)
+
+    def bins_in(at: Column) -> Column:
+        low, high = at * size - 90.0, (at + 1) * size - 90.0
+        inner = F.when((low < 0) & (high > 0), 0.0).otherwise(F.least(F.abs(low), F.abs(high), F.lit(90.0)))
+        return F.greatest(F.floor(F.cos(F.radians(inner)) * 360.0 / size), F.lit(1))
+
+    slot = lambda turned, count: F.floor(turned * count / 360.0)
+    binned = placed.withColumn("_band", band(F.col("yc"))).withColumn(
+        "_bin", F.least(slot(turn(F.col("xc")), bins_in(F.col("_band"))), bins_in(F.col("_band")) - 1)
+    )
+    # The window in longitude grows with the scale of the plane at the point; a hair covers rounding.
+    reach = F.least(F.lit(180.0), size / F.greatest(F.cos(F.radians("lat")), F.lit(1e-9)) + 1e-9)
+    spread = points.filter(F.col("lon").isNotNull() & F.col("lat").isNotNull()).withColumn(
+        "_band", F.explode(F.sequence(band(F.col("lat") - size - 1e-9), band(F.col("lat") + size + 1e-9)))
+    )
+    count = bins_in(F.col("_band"))
+    first, last = slot(turn(F.col("lon")) - reach, count), slot(turn(F.col("lon")) + reach, count)
+    spread = spread.withColumn("_at", F.explode(F.sequence(first, F.least(last, first + count - 1)))).withColumn(
+        "_bin", F.pmod("_at", count)
+    )
+    met = spread.drop("_at").join(binned, ["_band", "_bin"])
+    far = planar_km(F.col("xc"), F.col("yc"), F.col("lon"), F.col("lat"))
+    return met.groupBy("point", "lon", "lat").agg(F.min(F.struct(far.alias("dist"), *cell)).alias("_best"))
+
+
+def first_size(urls: DataFrame, listing: DataFrame, order: str) -> DataFrame:
+    """JN-18: the size of each URL's first entry in a listing, missing where it has none."""
+    sizes = listing.groupBy("url").agg(F.min_by("size_mb", order).alias("size_mb"))
+    return urls.join(sizes, "url", "left")
+
+
 def cell_corners(corners: DataFrame, n: int) -> DataFrame:
     """JN-16: four corners per cell from corner points, ordered (j,i), (j,i+1), (j+1,i+1), (j+1,i).
 

@@ -11,8 +11,11 @@ from pyspark.sql import functions as F
 from ..functions.missing import null_if_nan
 from .scale import dimension, summary_side
 
-# Horizontal coordinates of the native grid, and field location -> mask column.
+# Horizontal coordinates of the native grid, the other coordinates, the dimensions of bounds, and
+# field location -> mask column.
 LATLON_COORDS = ("XC", "YC", "XG", "YG", "XC_bnds", "YC_bnds")
+OTHER_COORDS = ("time_bnds", "Zl", "Zu", "Zp1", "Z_bnds", "latitude_bnds", "longitude_bnds")
+BOUNDS_DIMS = ("nb", "nv")
 LOCATION_MASK = {"c": "maskc", "w": "maskw", "s": "masks"}
 
 
@@ -35,16 +38,22 @@ def choose_columns(
     latlon_coords: bool = True,
     geometry: bool = False,
 ) -> DataFrame:
-    """PRJ-1 on a wide frame: dimensions stay, horizontal coordinates may go except for geometry products."""
+    """PRJ-1 on a wide frame: an include list wins, and coordinates come along with it; only with `all` does the omit list apply.
+
+    Dimensions stay, but for those of bounds.  Horizontal coordinates may go, except from geometry products.
+    An omit list may name coordinates too.
+    """
     dropped = set() if latlon_coords or geometry else set(LATLON_COORDS)
-    always = set(dims) | set(LATLON_COORDS)
+    dropped |= set(BOUNDS_DIMS)
 
     def wanted(name: str) -> bool:
         if name in dropped:
             return False
-        if name in always:
+        if name in dims:
             return True
-        return name in include if include != "all" else name not in (omit or ())
+        if include == "all":
+            return name not in (omit or ())
+        return name in include or name in LATLON_COORDS or name in OTHER_COORDS
 
     return df.select(*[c for c in df.columns if wanted(c)])
 

@@ -14,8 +14,9 @@ from ..operators import aggregate as A
 from ..operators import joins as J
 from ..operators import regrid as R
 from ..operators import select as S
-from ..operators.scale import dimension, summary_side
+from ..operators.scale import dimension
 from ..session import stored
+from ..sources import granules as G
 
 # UD-1: named transforms applied before mapping; each is DataFrame -> DataFrame.
 TRANSFORMS: dict[str, Callable[[DataFrame], DataFrame]] = {
@@ -44,6 +45,26 @@ def with_bounds(df: DataFrame, end: Column, code: str) -> DataFrame:
     ).drop("_b")
 
 
+def with_record_bounds(df: DataFrame, code: Column, model_start: str, model_end: str) -> DataFrame:
+    """SF-5/6: bounds and centre of records that end at `time_end`."""
+    limits = [F.lit(x).cast("timestamp") for x in (model_start, model_end)]
+    bounds = D.record_bounds(F.col("time_end"), code, *limits)
+    return df.withColumn("_b", bounds).withColumns({"time_start": F.col("_b.start"), "time": F.col("_b.centre")}).drop("_b")
+
+
+def written_product(
+    values: DataFrame, keys: Sequence[str], names: Sequence[str], record: Sequence[str]
+) -> tuple[DataFrame, DataFrame]:
+    """JN-6 and SF-50: one row per coordinate with a column per variable, and each variable's range per record.
+
+    The product is written before its ranges are read off it, so nothing is mapped twice.  The range of a
+    variable without any value in a record is missing.
+    """
+    product = stored(J.merge_variables(values, keys, names), "product")
+    ranges = [F.struct(F.lit(n).alias("var"), F.min(n).alias("valid_min"), F.max(n).alias("valid_max")) for n in names]
+    return product, product.groupBy(*record).agg(F.array(*ranges).alias("_r")).select(*record, F.inline("_r"))
+
+
 def observation_records(
     obs: DataFrame,
     target: DataFrame,
@@ -67,6 +88,45 @@ def observation_records(
     )
 
 
+def observation_year(
+    obs: DataFrame,
+    files: DataFrame,
+    target: DataFrame,
+    year: int,
+    longest: float,
+    rule: str,
+    transforms: Sequence[str] = (),
+    default: float | None = None,
+    time_scale: str = "DAILY",
+    pattern: str = "yyyyMMdd",
+    hemisphere: str = "",
+) -> tuple[DataFrame, DataFrame]:
+    """P-5 from files: the mapped values (date, target_id, value) of a year and its records.
+
+    Every expected date takes the last file that carries it (SRC-11); `obs` rows name the file they are
+    from, so other files' rows fall out in a join with at most one row per date.  Records have the chosen
+    path, time bounds by the file's `rule` and notes on missing files and on files without a valid value;
+    a date without a file covers its own period (SF-10).
+    """
+    chosen = stored(G.harvest_year(obs.sparkSession, files, year, time_scale, pattern, hemisphere), "chosen-files")
+    rows = apply_transforms(obs.join(dimension(chosen.filter("path <> ''")), "path"), transforms)
+    mapped = R.regrid_points(rows, target, "mean", longest=longest, group=("date",)).select("date", "target_id", "value")
+    cells = target.select("target_id", F.explode(G.year_dates(year, time_scale)).alias("date"))
+    laid = cells.join(mapped, ["date", "target_id"], "left").withColumn(
+        "value", S.overlay(F.col("value"), F.lit(default).cast("double"))
+    )
+    valid = rows.groupBy("path").agg(F.count("value").alias("_valid"))
+    found = chosen.join(files, "path", "left").join(valid, "path", "left")
+    missing = F.col("path") == ""
+    own = F.struct(F.col("date").cast("timestamp").alias("start"), D.record_end(F.col("date"), F.lit(time_scale)).cast("timestamp").alias("end"))
+    bounds = F.when(missing, own).otherwise(D.file_bounds(rule, F.col("date"), files.columns))
+    notes = F.when(missing, "file not found").when(F.coalesce("_valid", F.lit(0)) == 0, "empty record").otherwise("")
+    records = found.withColumn("_b", bounds).select(
+        "date", "path", F.col("_b.start").alias("time_start"), F.col("_b.end").alias("time_end"), notes.alias("notes")
+    )
+    return laid, records
+
+
 def monthly_product(
     daily: DataFrame, keys: Sequence[str], skip_missing: bool, drop_empty_days: bool, record: Sequence[str], fill: float
 ) -> DataFrame:
@@ -102,34 +162,59 @@ def nearest_mask(native: DataFrame, target: DataFrame, longest: float) -> DataFr
     )
 
 
-def latlon_product(
+def latlon_values(
     field: DataFrame, native: DataFrame, target: DataFrame, longest: float, group: Sequence[str], edges: DataFrame | None = None
 ) -> DataFrame:
-    """P-8: wet native cells -> lat-lon cells, masked, in stored precision, with cell bounds."""
+    """Wet native cells -> lat-lon cells, masked, in stored precision."""
     factors = level_edges(native, target, longest) if edges is None else edges
     cell = ["k", "tile", "j", "i"]
     placed = field.join(dimension(native.select(*cell, "source_id")), cell)
     mapped = R.apply_mapping(factors, placed.select("k", "source_id", "value", *group), "mean", group, ("k", "source_id"))
     mask = stored(nearest_mask(native, target, longest), "nearest-mask")
     masked = S.apply_mask(mapped, mask, ["target_id", "k"])
-    bounded = J.with_bounds(masked, target.select("target_id", "lon0", "lon1", "lat0", "lat1"), ["target_id"])
-    return bounded.withColumn("value", F.col("value").cast("float"))
+    return masked.withColumn("value", F.col("value").cast("float"))
+
+
+def with_cell_bounds(product: DataFrame, target: DataFrame) -> DataFrame:
+    """JN-17."""
+    return J.with_bounds(product, target.select("target_id", "lon0", "lon1", "lat0", "lat1"), ["target_id"])
+
+
+def latlon_product(
+    field: DataFrame,
+    native: DataFrame,
+    target: DataFrame,
+    longest: float,
+    names: Sequence[str],
+    code: Column,
+    model_start: str,
+    model_end: str,
+    edges: DataFrame | None = None,
+) -> tuple[DataFrame, DataFrame]:
+    """P-8: one row per lat-lon cell, level and record with a column per variable, and the ranges of each record.
+
+    `field` has records that end at `time_end`.  Wet native cells are mapped, masked and cast, merged on
+    their coordinates, and given time bounds by averaging code and cell bounds.
+    """
+    values = latlon_values(field, native, target, longest, ["time_end", "var"], edges)
+    product, ranges = written_product(values, ["target_id", "k", "time_end"], names, ["time_end"])
+    return with_cell_bounds(with_record_bounds(product, code, model_start, model_end), target), ranges
 
 
-def native_product(field: DataFrame, grid: DataFrame, rename: str) -> DataFrame:
-    """P-9: masked by staggering, renamed, in stored precision, with daily bounds and each variable's range.
+def native_product(
+    field: DataFrame, grid: DataFrame, rename: str, names: Sequence[str], code: Column, model_start: str, model_end: str
+) -> tuple[DataFrame, DataFrame]:
+    """P-9: one row per native cell and record with a column per variable, and the ranges of each record.
 
-    The range is an aggregate joined back, not a window over the variable.
+    Values are masked by staggering, renamed, in stored precision; `code` is the averaging code, a Column
+    over the dataset.  Records end at the field's `time`.
     """
-    masked = S.land_mask(field, grid).withColumn("var", rename_by_list(F.col("var"), F.lit(rename)))
+    ended = field.withColumnRenamed("time", "time_end")
+    masked = S.land_mask(ended, grid).withColumn("var", rename_by_list(F.col("var"), F.lit(rename)))
     cast = masked.withColumn("value", F.col("value").cast("float"))
-    ranges = summary_side(A.value_range(cast, ["dataset", "var"]), "ranges")
-    start = F.col("time").cast("timestamp")
-    return (
-        cast.join(ranges, ["dataset", "var"])
-        .withColumn("time_start", start)
-        .withColumn("time_end", start + F.expr("INTERVAL '1' DAY"))
-    )
+    keys = ["dataset", "time_end", "k", "tile", "j", "i"]
+    product, ranges = written_product(cast, keys, names, ["dataset", "time_end"])
+    return with_record_bounds(product, code, model_start, model_end), ranges
 
 
 def series_product(
@@ -176,5 +261,6 @@ def mixing_product(
     """
     cell = ["k", "tile", "j", "i"]
     steady = A.time_mean(field, [*cell, "var"])
-    product = stored(latlon_product(steady, native, target, longest, ["var"]), "mixing-product")
+    values = with_cell_bounds(latlon_values(steady, native, target, longest, ["var"]), target)
+    product = stored(values, "mixing-product")
     return product, A.value_range(product, ["var"])

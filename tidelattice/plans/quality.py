@@ -7,9 +7,10 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.attrs import scaled_range
+from ..functions.attrs import patch_attributes, scaled_range, sorted_attributes
 from ..functions.strings import link_short_name
 from ..operators import aggregate as A
+from ..session import stored
 
 FAILED, UNCHANGED, UPDATED = -1, 0, 1
 
@@ -92,3 +93,28 @@ def repair_audit(
         updated = updated | F.coalesce(F.col("units")[name] != F.lit(unit), F.lit(False))
     status = F.when(failed, FAILED).when(updated, UPDATED).otherwise(UNCHANGED)
     return joined.withColumn("status", status.cast("long")).drop("_bad", "_changed")
+
+
+def repair_job(
+    granules: DataFrame,
+    repairs: DataFrame,
+    ranges: DataFrame,
+    actual: DataFrame,
+    new: DataFrame,
+    comment_fixes: Sequence[str] = (),
+    unit_fixes: Mapping[str, str] | None = None,
+    patch: Mapping[str, str | None] | None = None,
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """P-14: repaired granules, their new ranges and the summary of the run.
+
+    Global attributes are patched (SF-46) and sorted (SR-2); a granule that fails keeps its own, as they
+    are.  Ranges are replaced where they differ (JN-15); the summary counts granules by status (AG-19).
+    `ranges` holds the stored range of each (dataset, var, file).  The granules are written once.
+    """
+    audited = repair_audit(granules, repairs, ranges, actual, new, comment_fixes, unit_fixes)
+    patched = sorted_attributes(patch_attributes(F.col("attrs"), dict(patch or {})))
+    fixed = audited.withColumn(
+        "attrs", F.when(F.col("status") == FAILED, F.map_entries("attrs")).otherwise(patched)
+    )
+    written = stored(fixed, "repaired-granules")
+    return written, correct_ranges(ranges, new, ["dataset", "var"]), A.status_summary(written)

@@ -73,7 +73,7 @@ def p_2(t):
     """
 SELECT dataset, strftime("time", '%Y-%m-%d %H:%M:%S') AS "time", k, tile, j, i, var, value FROM field
 WHERE var <> 'V1' AND tile >= 1 AND tile <= 12 AND (tile - 1) % 2 = 0 AND i < 4
-  AND ((dataset = 'DS_0' AND (month("time") = 1 OR "time" = TIMESTAMP '2000-02-29')) OR (dataset = 'DS_1' AND day("time") = 1 AND month("time") <= 2))
+  AND ((dataset = 'DS_0' AND (month("time") = 1 OR CAST("time" AS DATE) = DATE '2000-02-29')) OR (dataset = 'DS_1' AND day("time") = 1 AND month("time") <= 2))
 """,
 )
 def p_3(t):
@@ -92,40 +92,85 @@ def p_3(t):
 @query(
     "p_4",
     """
-SELECT dataset, strftime("time", '%Y-%m-%d %H:%M:%S') AS "time", k, tile, j, i, var, value FROM field
-WHERE dataset = 'DS_1' AND CAST("time" AS DATE) BETWEEN DATE '2000-01-10' AND DATE '2000-03-15'
+WITH f AS (SELECT *, CASE dataset WHEN 'DS_0' THEN 'DS_L4_PRICE_LLC0090GRID_DAILY_V1' ELSE 'DS_L4_PRICE_LLC0090GRID_SNAPSHOT_V1' END AS short_name FROM field),
+asked AS (SELECT 'all' AS asked, * FROM f WHERE CAST("time" AS DATE) BETWEEN DATE '2000-01-10' AND CASE dataset WHEN 'DS_0' THEN DATE '2000-03-15' ELSE DATE '2000-03-16' END
+          UNION ALL SELECT 'snapshot', * FROM f WHERE dataset = 'DS_1' AND CAST("time" AS DATE) IN (DATE '2000-02-01', DATE '2000-03-01'))
+SELECT asked, short_name, strftime("time", '%Y-%m-%d %H:%M:%S') AS "time", k, tile, j, i, var, value FROM asked
 """,
 )
 def p_4(t):
-    """The catalogue of the field itself, searched by text, then opened for a date range."""
-    field = t.field()
-    catalogue = field.groupBy("dataset", "var").agg(F.count(F.lit(1)).alias("entry_id")).select(
-        F.when(F.col("dataset") == "DS_1", "native,daily").otherwise("latlon,daily").alias("section"),
-        F.col("dataset").alias("short_name"), F.lit(None).cast("string").alias("note"), "var",
+    """Two datasets searched, listed with gaps filled and opened: all of them, and the snapshots alone, then by month.
+
+    The listing lacks every fifth day of a month, which the field has.
+    """
+    name = F.concat(F.lit("DS_L4_PRICE_LLC0090GRID_"), F.when(F.col("dataset") == "DS_0", "DAILY").otherwise("SNAPSHOT"), F.lit("_V1"))
+    field = t.field().withColumn("short_name", name)
+    period = F.when(F.col("dataset") == "DS_0", "day_mean").otherwise("snap")
+    listing = field.groupBy("short_name", period.alias("period"), F.to_date("time").alias("gdate")).agg(
+        (F.count(F.lit(1)) / F.lit(10.0)).alias("size_mb")
+    ).filter(F.dayofmonth("gdate") % 5 != 0).select(
+        "*",
+        F.concat(F.lit("https://h/"), "short_name", F.lit("/"), F.concat_ws("_", F.lit("PRICE"), "period", day("gdate"), F.lit("MODEL_V1_native_g.nc"))).alias("url"),
+        F.col("gdate").cast("timestamp").alias("time_start"),
+    )
+    kind = F.when(F.contains("short_name", F.lit("DAILY")), "native,daily").otherwise("native,snapshot")
+    catalogue = field.groupBy("short_name", "var").agg(F.count(F.lit(1)).alias("entry_id")).select(
+        kind.alias("section"), "short_name", F.lit(None).cast("string").alias("note"), "var",
         F.concat(F.lit("Variable of part group "), "var").alias("description"), "entry_id",
     )
-    out = SB.open_matching(field, catalogue, "PART GROUP", grid="native", start="2000-01-10", end="2000-03-15")
-    return out.select(*field_cols(), "value")
+    opened = None
+    for time_res in ("all", "snapshot"):
+        _, rows = SB.access_dataset(field, listing, catalogue, "PART GROUP", "2000-01-10", "2000-03-15", "native", time_res)
+        rows = rows.withColumn("asked", F.lit(time_res))
+        opened = rows if opened is None else opened.unionByName(rows)
+    return opened.select("asked", "short_name", *field_cols()[1:], "value")
 
 
 @query(
     "p_5",
     """
-WITH o AS (SELECT *, CAST(ts AS DATE) AS d FROM near),
-i AS (SELECT target_id, CAST(ts AS DATE) AS d, count(*) AS n, CASE WHEN count(value) = count(*) THEN avg(value) END AS v FROM inside GROUP BY ALL),
-c AS (SELECT target_id, d, value FROM (SELECT *, row_number() OVER (PARTITION BY target_id, d ORDER BY dist, source_id) AS rn FROM o WHERE dist <= CAST(400000 AS DOUBLE)) WHERE rn = 1),
+WITH o AS (SELECT *, CAST(ts AS DATE) AS d, day(ts) AS dd, CASE WHEN day(ts) % 3 = 0 THEN 0 ELSE source_id % 2 END AS version FROM near
+           WHERE var IN ('click', 'view') AND day(ts) % 5 <> 0),
+last AS (SELECT d, max(version) AS version FROM (SELECT CAST(ts AS DATE) AS d, CASE WHEN day(ts) % 3 = 0 THEN 0 ELSE source_id % 2 END AS version FROM obs
+           WHERE var = 'click' AND day(ts) % 5 <> 0) GROUP BY d),
+fed AS (SELECT target_id, o.d, dist, source_id, radius, CASE WHEN dd % 8 <> 0 AND value - 20 >= 0 THEN value - 20 END AS value
+        FROM o JOIN last ON last.d = o.d AND last.version = o.version WHERE var = 'click'),
+i AS (SELECT target_id, d, count(*) AS n, CASE WHEN count(value) = count(*) THEN avg(value) END AS v FROM fed
+      WHERE dist <= radius AND dist <= (SELECT floor(max(radius)) FROM target) GROUP BY ALL),
+c AS (SELECT target_id, d, value FROM (SELECT *, row_number() OVER (PARTITION BY target_id, d ORDER BY dist, source_id) AS rn FROM fed WHERE dist <= CAST(400000 AS DOUBLE)) WHERE rn = 1),
 mapped AS (SELECT c.target_id, c.d, CASE WHEN i.n > 0 THEN i.v ELSE c.value END AS value FROM c LEFT JOIN i USING (target_id, d)),
-days AS (SELECT CAST(unnest(generate_series(TIMESTAMP '2023-12-31', TIMESTAMP '2024-01-31', INTERVAL 1 DAY)) AS DATE) AS d)
-SELECT strftime(days.d, '%Y-%m-%d') AS "date", t.target_id, round(coalesce(m.value, CAST(-1 AS DOUBLE)), 7) AS value,
-       strftime(days.d + INTERVAL 1 DAY, '%Y-%m-%d %H:%M:%S') AS time_end
-FROM target t CROSS JOIN days LEFT JOIN mapped m ON m.target_id = t.target_id AND m.d = days.d
+days AS (SELECT CAST(unnest(generate_series(TIMESTAMP '2024-01-01', TIMESTAMP '2024-02-05', INTERVAL 1 DAY)) AS DATE) AS d),
+rec AS (SELECT days.d, coalesce('click_' || strftime(days.d, '%Y%m%d') || '_v' || version || '.nc', '') AS path,
+               CASE WHEN version IS NULL THEN 'file not found' WHEN coalesce(n, 0) = 0 THEN 'empty record' ELSE '' END AS notes,
+               CASE WHEN version IS NULL THEN CAST(days.d + INTERVAL 1 DAY AS TIMESTAMP) ELSE days.d + INTERVAL 23 HOUR END AS time_end
+        FROM days LEFT JOIN last USING (d)
+        LEFT JOIN (SELECT CAST(ts AS DATE) AS d, CASE WHEN day(ts) % 3 = 0 THEN 0 ELSE source_id % 2 END AS version,
+                          count(CASE WHEN day(ts) % 8 <> 0 AND value - 20 >= 0 THEN 1 END) AS n FROM obs WHERE var = 'click' GROUP BY ALL) v USING (d, version))
+SELECT strftime(rec.d, '%Y-%m-%d') AS "date", t.target_id, round(coalesce(m.value, CAST(-1 AS DOUBLE)), 7) AS value, path, notes,
+       strftime(rec.d, '%Y-%m-%d %H:%M:%S') AS time_start, strftime(time_end, '%Y-%m-%d %H:%M:%S') AS time_end
+FROM target t CROSS JOIN rec LEFT JOIN mapped m ON m.target_id = t.target_id AND m.d = rec.d
 """,
 )
 def p_5(t):
-    out = P.observation_records(
-        t.obs(), t.target(), "2023-12-31", "2024-01-31", 400000.0, transforms=["remove_negative"], default=-1.0
+    """Files of one kind of event, one or two a day: days without a file, with an older version only, and with nothing valid."""
+    dom = F.dayofmonth("ts")
+    version = F.when(dom % 3 == 0, 0).otherwise((F.col("source_id") % 2).cast("int"))
+    path = F.concat("var", F.lit("_"), F.date_format("ts", "yyyyMMdd"), F.lit("_v"), version.cast("string"), F.lit(".nc"))
+    obs = t.obs().filter(F.col("var").isin("click", "view") & (dom % 5 != 0)).withColumns(
+        {"path": path, "value": F.when(dom % 8 != 0, F.col("value") - F.lit(20.0))}
+    )
+    stamped = lambda c, p: F.date_format(c, p).alias
+    files = obs.groupBy("path", F.to_date("ts").alias("_d")).agg(F.count(F.lit(1)).alias("n_rows")).select(
+        "path", stamped("_d", "yyyy-MM-dd'T00:00:00Z'")("time_coverage_start"), stamped("_d", "yyyy-MM-dd'T23:00:00Z'")("time_coverage_end")
+    )
+    values, records = P.observation_year(
+        obs, files, t.target(), 2024, 400000.0, "zone", transforms=["remove_negative"], default=-1.0, hemisphere="click"
+    )
+    out = values.filter(F.col("date") <= "2024-02-05").join(records, "date")
+    return out.select(
+        day("date").alias("date"), "target_id", r7("value").alias("value"), "path", "notes",
+        stamp("time_start").alias("time_start"), stamp("time_end").alias("time_end"),
     )
-    return out.select(day("date").alias("date"), "target_id", r7("value").alias("value"), stamp("time_end").alias("time_end"))
 
 
 @query(
@@ -163,44 +208,71 @@ def p_7(t):
     return out.select(day("date").alias("date"), *cell, "value")
 
 
-MONTHLY = """SELECT date_trunc('month', "time") AS "month", k, tile, j, i, var, avg(value) AS value FROM field GROUP BY ALL"""
+def product_rows(product, ranges, record, coords, names):
+    """A product beside the ranges of its records: rounded columns, stamped times."""
+    lows = ranges.groupBy(*record).pivot("var", names).agg(F.first("valid_min").alias("min"), F.first("valid_max").alias("max"))
+    two = lambda c: F.round(F.col(c).cast("double"), 2).alias(c)
+    values = [two(f"{n}{part}") for n in names for part in ("", "_min", "_max")]
+    return product.join(lows, record).select(*[stamp(c).alias(c) for c in ("time_start", "time", "time_end")], *coords, *values)
+
+
+def product_sql(values, names, record, coords, start, also=""):
+    """SQL of the same rows from (..., time_end, var, value); `start` is the record's start before the limits of the run."""
+    cols = ", ".join(f"max(value) FILTER (var = '{n}') AS \"{n}\"" for n in names)
+    two = lambda e, n: f'round(CAST({e} AS DOUBLE), 2) AS "{n}"'
+    over = f"OVER (PARTITION BY {', '.join(record)})"
+    shown = ", ".join(
+        x for n in names for x in (two(f'"{n}"', n), two(f'min("{n}") {over}', f"{n}_min"), two(f'max("{n}") {over}', f"{n}_max"))
+    )
+    return f"""
+WITH v AS ({values}),
+w AS (SELECT {', '.join(record + [c for c in coords if c not in record])}, {cols} FROM v GROUP BY ALL),
+late AS (SELECT *, CASE WHEN {start} < time_end AND CAST(time_end AS DATE) = DATE '2000-03-31' THEN {start} + INTERVAL 12 HOUR ELSE {start} END AS s1 FROM w),
+b AS (SELECT *, CASE WHEN s1 < time_end AND CAST(s1 AS DATE) = DATE '2000-01-01' THEN TIMESTAMP '2000-01-01 12:00:00' ELSE CAST(s1 AS TIMESTAMP) END AS time_start FROM late)
+SELECT strftime(time_start, '%Y-%m-%d %H:%M:%S') AS time_start, strftime(make_timestamp((epoch_us(time_start) + epoch_us(time_end)) // 2), '%Y-%m-%d %H:%M:%S') AS "time",
+       strftime(time_end, '%Y-%m-%d %H:%M:%S') AS time_end, {', '.join(coords)}{also}, {shown}
+FROM b
+"""
+
+
+MONTHLY = """SELECT CAST(date_trunc('month', "time") + INTERVAL 1 MONTH - INTERVAL 1 DAY AS TIMESTAMP) AS time_end, k, tile, j, i, var, avg(value) AS value FROM field GROUP BY ALL"""
+RUN = ("2000-01-01 12:00:00", "2000-03-31 00:00:00")
 
 
 @query(
     "p_8",
-    f"""
-WITH m AS ({MONTHLY}),
-p AS (SELECT e.target_id, e.k, m."month", m.var, CASE WHEN count(m.value) = count(*) THEN avg(m.value) END AS value, count(*) AS n_source, bool_or(is_fallback) AS is_fallback
-      FROM celledges e JOIN m ON m.k = e.k AND m.tile * 25 + m.j * 5 + m.i = e.source_id GROUP BY ALL)
-SELECT p.target_id, p.k, strftime(p."month", '%Y-%m-%d') AS "month", p.var, round(CAST(CAST(CASE WHEN l.wet THEN p.value END AS FLOAT) AS DOUBLE), 2) AS value,
-       n_source, is_fallback, lon0, lon1, lat0, lat1
-FROM p LEFT JOIN landmask l USING (target_id, k) JOIN target USING (target_id)
-""",
+    product_sql(
+        f"""SELECT p.target_id, p.k, p.time_end, p.var, CAST(CASE WHEN l.wet THEN p.value END AS FLOAT) AS value
+FROM (SELECT e.target_id, e.k, m.time_end, m.var, CASE WHEN count(m.value) = count(*) THEN avg(m.value) END AS value
+      FROM celledges e JOIN ({MONTHLY}) m ON m.k = e.k AND m.tile * 25 + m.j * 5 + m.i = e.source_id GROUP BY ALL) p LEFT JOIN landmask l USING (target_id, k)""",
+        ["V0", "V1", "V2"], ["time_end"], ["target_id", "k"], "time_end - INTERVAL 1 MONTH",
+    ).replace("FROM b\n", "FROM b JOIN target USING (target_id)\n").replace("target_id, k, round", "target_id, k, lon0, lon1, lat0, lat1, round"),
 )
 def p_8(t):
+    """Monthly means whose records end with the last day of the month."""
     months = A.monthly_mean(t.field(), ["k", "tile", "j", "i", "var"])
-    out = P.latlon_product(months, t.native_grid(), t.target(), LONGEST, ["month", "var"])
-    return out.select(
-        "target_id", "k", day("month").alias("month"), "var", F.round(F.col("value").cast("double"), 2).alias("value"),
-        "n_source", "is_fallback", "lon0", "lon1", "lat0", "lat1",
-    )
+    ended = months.withColumn("time_end", F.last_day("month").cast("timestamp"))
+    names = ["V0", "V1", "V2"]
+    product, ranges = P.latlon_product(ended, t.native_grid(), t.target(), LONGEST, names, F.lit("AVG_MON"), *RUN)
+    return product_rows(product, ranges, ["time_end"], ["target_id", "k", "lon0", "lon1", "lat0", "lat1"], names)
 
 
 @query(
     "p_9",
-    """
-WITH m AS (SELECT f.dataset, f."time", k, tile, j, i, CASE var WHEN 'V0' THEN 'SSH' WHEN 'V2' THEN 'SALT' ELSE var END AS var,
-             CAST(CASE WHEN CASE loc WHEN 'c' THEN maskc WHEN 'w' THEN maskw ELSE masks END THEN value END AS FLOAT) AS value
-           FROM field f JOIN gridmask USING (k, tile, j, i))
-SELECT dataset, strftime("time", '%Y-%m-%d %H:%M:%S') AS time_start, k, tile, j, i, var, round(CAST(value AS DOUBLE), 2) AS value,
-       round(CAST(min(value) OVER (PARTITION BY dataset, var) AS DOUBLE), 2) AS valid_min, round(CAST(max(value) OVER (PARTITION BY dataset, var) AS DOUBLE), 2) AS valid_max
-FROM m
-""",
+    product_sql(
+        """SELECT f.dataset, f."time" AS time_end, k, tile, j, i, CASE var WHEN 'V0' THEN 'SSH' WHEN 'V2' THEN 'SALT' ELSE var END AS var,
+  CAST(CASE WHEN CASE loc WHEN 'c' THEN maskc WHEN 'w' THEN maskw ELSE masks END THEN value END AS FLOAT) AS value
+FROM dayfield f JOIN gridmask USING (k, tile, j, i)""",
+        ["SSH", "V1", "SALT"], ["dataset", "time_end"], ["dataset", "k", "tile", "j", "i"],
+        "(CASE dataset WHEN 'DS_0' THEN time_end - INTERVAL 1 DAY ELSE time_end END)",
+    ),
 )
 def p_9(t):
-    out = P.native_product(t.field(), t.mask(), "V0:SSH,V2:SALT")
-    two = lambda c: F.round(F.col(c).cast("double"), 2).alias(c)
-    return out.select("dataset", stamp("time_start").alias("time_start"), "k", "tile", "j", "i", "var", two("value"), two("valid_min"), two("valid_max"))
+    """One dataset of daily means and one of snapshots, by days."""
+    names = ["SSH", "V1", "SALT"]
+    code = F.when(F.col("dataset") == "DS_0", "AVG_DAY").otherwise("SNAPSHOT")
+    product, ranges = P.native_product(t.daily(), t.mask(), "V0:SSH,V2:SALT", names, code, *RUN)
+    return product_rows(product, ranges, ["dataset", "time_end"], ["dataset", "k", "tile", "j", "i"], names)
 
 
 @query(
@@ -295,9 +367,15 @@ u AS (SELECT dataset, var, "month", valid_min AS omin, valid_max AS omax FROM qc
 n AS (SELECT dataset, var, min(omin) AS nmin, max(omax) AS nmax FROM u WHERE "month" > '2000-01' GROUP BY dataset, var),
 x AS (SELECT u.dataset, bool_or(nmin > lo OR nmax < hi) AS bad, bool_or(omin <> nmin OR omax <> nmax) AS changed FROM u JOIN a USING (dataset, var) JOIN n USING (dataset, var) GROUP BY u.dataset),
 h AS (SELECT m.*, 'DS_' || (s_suppkey % 3) AS dataset, CASE WHEN fix_title IS NULL OR fix_title <> title THEN -1
-         WHEN string_split(link, 'ShortName=')[2] <> fix_short_name OR summary <> fix_summary THEN 1 ELSE 0 END AS st FROM meta m LEFT JOIN repairs USING (id))
-SELECT s_suppkey, h.dataset, CAST(CASE WHEN st = -1 OR changed IS NULL OR bad THEN -1 WHEN st = 1 OR changed OR s_suppkey % 3 = 1 OR s_suppkey % 5 = 2 THEN 1 ELSE 0 END AS BIGINT) AS status
-FROM h LEFT JOIN x ON x.dataset = h.dataset
+         WHEN string_split(link, 'ShortName=')[2] <> fix_short_name OR summary <> fix_summary THEN 1 ELSE 0 END AS st FROM meta m LEFT JOIN repairs USING (id)),
+g AS (SELECT s_suppkey, s_name, n_name, n_regionkey, h.dataset, CAST(CASE WHEN st = -1 OR changed IS NULL OR bad THEN -1 WHEN st = 1 OR changed OR s_suppkey % 3 = 1 OR s_suppkey % 5 = 2 THEN 1 ELSE 0 END AS BIGINT) AS status
+FROM h LEFT JOIN x ON x.dataset = h.dataset)
+SELECT 'granule' AS part, 'DS_' || s_suppkey AS name, status, CAST(NULL AS BIGINT) AS n, CAST(NULL AS DOUBLE) AS valid_min, CAST(NULL AS DOUBLE) AS valid_max,
+       CASE WHEN status = -1 THEN 'Title=' || s_name || ';author=' || n_name || ';Zone=' || n_regionkey || ';date=2000-01-01'
+            ELSE 'author=' || n_name || ';references=R1;Title=' || s_name || ';Zone=' || n_regionkey END AS attrs FROM g
+UNION ALL SELECT 'range', q.dataset || q."month" || q.var, CAST(CASE WHEN omin = nmin AND omax = nmax THEN 0 ELSE 1 END AS BIGINT), NULL, round(nmin, 6), round(nmax, 6), NULL
+FROM u q JOIN n USING (dataset, var)
+UNION ALL SELECT 'summary', 'status', status, count(*), NULL, NULL, NULL FROM g GROUP BY status
 """,
 )
 def p_14(t):
@@ -313,10 +391,24 @@ def p_14(t):
     actual = A.value_range(t.field(), ["dataset", "var"])
     stored_rows = t.stored_ranges()
     new = A.stored_range(stored_rows.filter(F.col("month") > "2000-01"), ["dataset", "var"])
-    out = Q.repair_audit(
-        granules, t.repairs(), stored_rows, actual, new, comment_fixes=["V1", "absent"], unit_fixes={"Tair": "degree_K"}
+    fixed, ranges, summary = Q.repair_job(
+        granules, t.repairs(), stored_rows, actual, new, comment_fixes=["V1", "absent"], unit_fixes={"Tair": "degree_K"},
+        patch={"references": "R1", "date": None},
+    )
+    none = lambda kind: F.lit(None).cast(kind)
+    text = F.array_join(F.transform("attrs", lambda e: F.concat(e["key"], F.lit("="), e["value"])), ";")
+    parts = (
+        (fixed, "granule", F.concat(F.lit("DS_"), "s_suppkey"), none("long"), none("double"), none("double"), text),
+        (ranges, "range", F.concat("dataset", F.regexp_extract("file", r"(\d{4}-\d{2})\.nc", 1), "var"), none("long"), r6("valid_min"), r6("valid_max"), none("string")),
+        (summary, "summary", F.lit("status"), F.col("n"), none("double"), none("double"), none("string")),
     )
-    return out.select("s_suppkey", "dataset", "status")
+    out = None
+    for df, part, name, n, low, high, attrs in parts:
+        rows = df.select(
+            F.lit(part).alias("part"), name.alias("name"), "status", n.alias("n"), low.alias("valid_min"), high.alias("valid_max"), attrs.alias("attrs")
+        )
+        out = rows if out is None else out.unionByName(rows)
+    return out
 
 
 REGION_BOX = (-85.5, 60.0, -170.15, 130.15)

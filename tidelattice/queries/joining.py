@@ -33,26 +33,26 @@ def jn_5(t):
     """
 SELECT dataset, strftime("time", '%Y-%m-%d') AS "day", k, tile, j, i, max(value) FILTER (var = 'V0') AS "V0",
        max(value) FILTER (var = 'V1') AS "V1", max(value) FILTER (var = 'V2') AS "V2"
-FROM field GROUP BY ALL
+FROM dayfield GROUP BY ALL
 """,
 )
 def jn_6(t):
     keys = ["dataset", "time", "k", "tile", "j", "i"]
-    wide = J.merge_variables(t.field(), keys, ["V0", "V1", "V2"])
+    wide = J.merge_variables(t.daily(), keys, ["V0", "V1", "V2"])
     return wide.withColumn("day", day("time")).drop("time")
 
 
 @query(
     "jn_7",
     """
-WITH m AS (SELECT dataset, "time", k, tile, j, var, avg(value) AS value FROM field GROUP BY ALL)
+WITH m AS (SELECT dataset, "time", k, tile, j, var, avg(value) AS value FROM dayfield GROUP BY ALL)
 SELECT strftime(a."time", '%Y-%m-%d') AS "day", a.k, a.tile, a.j, a.var, round(a.value - b.value, 7) AS value
 FROM m a JOIN m b USING ("time", k, tile, j, var) WHERE a.dataset = 'DS_1' AND b.dataset = 'DS_0'
 """,
 )
 def jn_7(t):
     keys = ["time", "k", "tile", "j", "var"]
-    means = t.field().groupBy("dataset", *keys).agg(F.avg("value").alias("value"))
+    means = t.daily().groupBy("dataset", *keys).agg(F.avg("value").alias("value"))
     out = J.difference(means.filter(F.col("dataset") == "DS_1"), means.filter(F.col("dataset") == "DS_0"), keys)
     return out.select(day("time").alias("day"), "k", "tile", "j", "var", r7("value").alias("value"))
 
@@ -143,16 +143,21 @@ def jn_13(t):
 @query(
     "jn_14",
     """
-WITH p AS (SELECT * FROM (VALUES ('gulf', CAST(-87.5 AS DOUBLE), CAST(28.4 AS DOUBLE)), ('dateline', CAST(179.9 AS DOUBLE), CAST(-10 AS DOUBLE)),
-                                 ('north', CAST(10 AS DOUBLE), CAST(88 AS DOUBLE))) v(point, plon, plat)),
+WITH p AS (SELECT c_custkey AS point, CAST(c_custkey * 3701 % 36000 AS DOUBLE) / CAST(100 AS DOUBLE) - CAST(179.9963 AS DOUBLE) AS plon,
+             CAST(c_custkey * 2903 % 18001 AS DOUBLE) / CAST(100.013 AS DOUBLE) - CAST(89.9917 AS DOUBLE) AS plat FROM customer),
 d AS (SELECT point, tile, j, i, CAST(111.1 AS DOUBLE) * cos(radians(plat)) * ((((xc - plon + 180) % 360) + 360) % 360 - 180) AS dx,
-             CAST(111.1 AS DOUBLE) * (yc - plat) AS dy FROM p CROSS JOIN cells)
-SELECT point, tile, j, i, round(dist, 3) AS dist FROM (
-  SELECT *, row_number() OVER (PARTITION BY point ORDER BY dist, tile, j, i) AS rn FROM (SELECT *, sqrt(dx * dx + dy * dy) AS dist FROM d)) WHERE rn = 1
+             CAST(111.1 AS DOUBLE) * (yc - plat) AS dy FROM p CROSS JOIN cells),
+b AS (SELECT point, min({'dist': sqrt(dx * dx + dy * dy), 'tile': tile, 'j': j, 'i': i}) AS best FROM d GROUP BY point)
+SELECT point, best.j AS j, best.i AS i, round(best.dist, 3) AS dist FROM b
 """,
 )
 def jn_14(t):
-    return J.nearest_cell(t.cells(), POINTS).withColumn("dist", r3("dist"))
+    """The nearest cell to a place for every customer; tiles 0 and 12 lie on the same places, so the tile is left out."""
+    key = F.col("c_custkey")
+    points = t.table("customer").select(
+        key.alias("point"), (key * 3701 % 36000 / F.lit(100.0) - F.lit(179.9963)).alias("lon"), (key * 2903 % 18001 / F.lit(100.013) - F.lit(89.9917)).alias("lat")
+    )
+    return J.nearest_cells(t.cells(), points).select("point", "j", "i", r3("dist").alias("dist"))
 
 
 @query(
@@ -212,13 +217,18 @@ def jn_17(t):
 @query(
     "jn_18",
     """
-SELECT u.url, min(g.size_mb) AS size_mb FROM (SELECT regexp_replace(url, '_V1_native', '_V1_native') AS url FROM gran) u LEFT JOIN gran g ON g.url = u.url GROUP BY u.url
+WITH l AS (SELECT url, size_mb, 1 AS page FROM gran WHERE delivered UNION ALL SELECT url, size_mb * 2, 2 FROM gran WHERE day(gdate) % 2 = 0),
+f AS (SELECT url, size_mb FROM (SELECT *, row_number() OVER (PARTITION BY url ORDER BY page) AS rn FROM l) WHERE rn = 1)
+SELECT g.url, f.size_mb FROM gran g LEFT JOIN f USING (url)
 """,
 )
 def jn_18(t):
-    """Sizes looked up by URL; a URL listed twice takes its first size."""
-    sizes = t.granules().groupBy("url").agg(F.min("size_mb").alias("size_mb"))
-    return t.granules().select("url").join(sizes, "url", "left")
+    """All URLs looked up in a listing of two pages: some are on both, some on one, some on none."""
+    granules = t.granules()
+    pages = granules.filter("delivered").select("url", "size_mb", F.lit(1).alias("page")).unionByName(
+        granules.filter(F.dayofmonth("gdate") % 2 == 0).select("url", (F.col("size_mb") * 2).alias("size_mb"), F.lit(2).alias("page"))
+    )
+    return J.first_size(granules.select("url"), pages, "page")
 
 
 @query(

@@ -9,7 +9,7 @@ from ..functions.attrs import rename_by_list
 from ..functions.geometry import in_box
 from ..operators import select as S
 from ..operators import windows as W
-from ..operators.joins import on_dates
+from ..operators.joins import merge_variables, on_dates
 from ..plans.products import apply_transforms, budget_residual
 from ..sources.derived import FIELD_N
 from .registry import query
@@ -24,10 +24,20 @@ def field_cols():
 FIELD_SQL = "dataset, strftime(\"time\", '%Y-%m-%d %H:%M:%S') AS \"time\", k, tile, j, i, var"
 
 
-@query("prj_1", f"SELECT {FIELD_SQL}, value FROM field WHERE var IN ('V0', 'V2')")
+@query(
+    "prj_1",
+    f"""
+SELECT {FIELD_SQL.replace(', var', '')}, CAST(k * -10 - 10 AS BIGINT) AS "Zl", max(value) FILTER (var = 'V0') AS "V0", max(value) FILTER (var = 'V2') AS "V2"
+FROM dayfield GROUP BY dataset, "time", k, tile, j, i
+""",
+)
 def prj_1(t):
-    kept = S.choose_variables(t.field(), include=["V0", "V2"], omit=["V0"])
-    return kept.select(*field_cols(), "value")
+    """A wide file: two variables asked for, so depths come along; the positions of cells and the bounds dimension do not."""
+    dims = ["dataset", "time", "k", "tile", "j", "i", "nv"]
+    wide = merge_variables(t.daily(), dims[:-1], ["V0", "V1", "V2"]).withColumns(
+        {"time": stamp("time"), "XC": F.col("i") * 1.0, "Zl": (F.col("k") * -10 - 10).cast("long"), "nv": F.lit(2)}
+    )
+    return S.choose_columns(wide, dims, include=["V0", "V2"], omit=["V0", "Zl"], latlon_coords=False)
 
 
 @query("prj_2", f"SELECT {FIELD_SQL}, value FROM field WHERE tile >= 2 AND tile <= 12 AND (tile - 2) % 3 = 0 AND j >= 0 AND j <= 2 AND k = 0")

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import atexit
 import functools
 import os
+import shutil
 import tempfile
 import uuid
 
@@ -43,7 +45,10 @@ def apply_defaults(spark: SparkSession) -> SparkSession:
 
 @functools.cache
 def _local_root() -> str:
-    return tempfile.mkdtemp(prefix="tidelattice-")
+    """The folder of a local session, removed when Python ends."""
+    root = tempfile.mkdtemp(prefix="tidelattice-")
+    atexit.register(shutil.rmtree, root, ignore_errors=True)
+    return root
 
 
 def shared_folder(spark: SparkSession, purpose: str) -> str:

@@ -85,19 +85,19 @@ def listing_between(listing: DataFrame, start: Column, stop: Column) -> DataFram
     return dated.filter((F.col("time_start") >= start) & (F.col("time_start") < stop))
 
 
+def year_dates(year: int, time_scale: str) -> Column:
+    """SRC-11: array of the dates a complete year has."""
+    step = {"DAILY": "INTERVAL '1' DAY", "MONTHLY": "INTERVAL '1' MONTH"}[time_scale.upper()]
+    return F.sequence(F.lit(f"{year}-01-01").cast("date"), F.lit(f"{year}-12-31").cast("date"), F.expr(step))
+
+
 def harvest_year(spark: SparkSession, files: DataFrame, year: int, time_scale: str = "DAILY", pattern: str = "yyyyMMdd", hemisphere: str = "") -> DataFrame:
     """SRC-11: each expected date of a year with the last path that carries it (empty when none).
 
     `pattern` is how the date is written in the file name.  The date is cut out
     of each path once, so dates and paths meet in an equi join.
     """
-    step = {"DAILY": "1 DAY", "MONTHLY": "1 MONTH"}[time_scale.upper()]
-    count, unit = step.split()
-    dates = spark.range(1).select(
-        F.explode(
-            F.sequence(F.lit(f"{year}-01-01").cast("date"), F.lit(f"{year}-12-31").cast("date"), F.expr(f"INTERVAL '{count}' {unit}"))
-        ).alias("date")
-    )
+    dates = spark.range(1).select(F.explode(year_dates(year, time_scale)).alias("date"))
     digits = "".join(r"\d" if ch.isalpha() else ch for ch in pattern)
     kept = files.filter(F.contains("path", F.lit(hemisphere))) if hemisphere else files
     text = F.regexp_extract(basename(F.col("path")), rf"(?<!\d)({digits})(?!\d)", 1)
