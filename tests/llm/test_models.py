@@ -140,13 +140,14 @@ def test_figures_are_of_window_lengths():
 
 def kd_split(rows, shards):
     """Shards of (size, check, id) rows by sorted lists: widest dimension, cut at the weighted quantile."""
-    low, high = ([f(r[1][d] for r in rows) for d in range(2)] for f in (min, max))
-    scaled = [(size, [0 if high[d] == low[d] else int((v[d] - low[d]) / (high[d] - low[d]) * ((1 << op10.VALUE_BITS) - 1)) for d in range(2)], check, key) for size, v, check, key in rows]
+    dims = range(len(rows[0][1]))
+    low, high = ([f(r[1][d] for r in rows) for d in dims] for f in (min, max))
+    scaled = [(size, [0 if high[d] == low[d] else int((v[d] - low[d]) / (high[d] - low[d]) * ((1 << op10.VALUE_BITS) - 1)) for d in dims], check, key) for size, v, check, key in rows]
 
     def place(part, first, n):
         if n == 1 or not part:
             return {r[3]: first for r in part}
-        wide = max(range(2), key=lambda d: max(r[1][d] for r in part) - min(r[1][d] for r in part))
+        wide = max(dims, key=lambda d: max(r[1][d] for r in part) - min(r[1][d] for r in part))
         part = sorted(part, key=lambda r: (r[1][wide], r[2]))
         wanted, sums, at = sum(r[0] for r in part) * (n // 2) / n, 0, 0
         while at < len(part) and sums + part[at][0] / 2 < wanted:
@@ -160,12 +161,28 @@ def kd_split(rows, shards):
 def test_shards_are_those_of_a_plain_split(spark):
     """Distinct texts without tolerance: the distributed search finds the cuts that sorted lists have, give or take a row."""
     pick = random.Random(12)
-    texts = ["".join(pick.choice("abc ") for _ in range(pick.randint(1, 400))) for _ in range(1500)]
+    kinds = ["abc ", "abc\n ", "a\u00e9\u4e2d ", "abcdefgh"]
+    texts = ["".join(pick.choices(pick.choice(kinds), k=pick.randint(1, 400))) for _ in range(1500)]
+    texts = list(dict.fromkeys(texts))
     frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     got = {r["doc_id"]: r["shard"] for r in op10.shard(frame, shards=8, tolerance=0.0, group_tolerance=0.0).collect()}
     rows = []
     for k, t in enumerate(texts):
-        size, check = len(t) + op10.OVERHEAD, zlib.crc32(t.encode())
-        rows.append((size, (np.log2(size), float(check)), check, k))
+        held = len(t.encode())
+        size, check = held + op10.OVERHEAD, zlib.crc32(t.encode())
+        rows.append((size, (np.log2(size), np.log2(t.count("\n") + 1), t.count(" ") / size, (held - len(t)) / size), check, k))
     want = kd_split(rows, 8)
     assert sum(got[k] != want[k] for k in want) <= 8
+
+
+def test_equal_texts_share_a_shard_and_dimensions_split(spark):
+    """Copies stay together whatever their other columns say; NULL, empty and blank texts have defined dimensions."""
+    texts = [None, "", " ", "\n\n", "same words here"] * 40 + [f"text {k} " + "w " * (k % 90) + "\n" * (k % 7) for k in range(2000)]
+    rows = [(k, t, f"l{k % 5}") for k, t in enumerate(texts)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = {r["doc_id"]: r["shard"] for r in op10.shard(frame, shards=6).collect()}
+    assert len(got) == len(rows) and set(got.values()) == set(range(6))
+    by_text = {}
+    for k, t, _ in rows:
+        by_text.setdefault(t or "", set()).add(got[k])
+    assert all(len(s) == 1 for s in by_text.values())

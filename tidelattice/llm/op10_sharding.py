@@ -18,9 +18,10 @@ Defined results: a NULL text has no bytes; NULL metadata counts as the least
 value; repeated rows are placed one by one, in any order among equals; an empty
 table gives no rows; only the named columns are read.  Law `bytes`: shards
 differ by about the weight of what their cuts may not divide.  The default
-dimensions follow from the text alone, so equal texts share a shard unless a
-cut runs through a group heavier than `group_tolerance`, as it must through
-one that is larger than a shard.
+dimensions are metadata of the text (size, lines, gaps, bytes beyond one a
+character) and follow from it alone, so equal texts share a shard unless a cut
+runs through a group heavier than `group_tolerance`, as it must through one
+that is larger than a shard.
 """
 
 from __future__ import annotations
@@ -99,6 +100,22 @@ def _find_cuts(rows: DataFrame, wanted: dict[int, float], slack: float, group_sl
     return cuts
 
 
+def text_dimensions(text: Column, size: Column) -> dict[str, Column]:
+    """What the text alone says of a document; shares are of the bytes with the overhead, so never of none.
+
+    Logarithm of the size, logarithm of the newlines, share of gaps between words, share of bytes beyond one a character.
+    """
+    text = F.coalesce(text, F.lit(""))
+    held = F.octet_length(text)
+    without = lambda c: held - F.octet_length(F.replace(text, F.lit(c), F.lit("")))
+    return {
+        "_size": F.log2(size),
+        "_lines": F.log2(without("\n") + 1),
+        "_gaps": without(" ") / size,
+        "_wide": (held - F.length(text)) / size,
+    }
+
+
 def split_tree(rows: DataFrame, dimensions: list[str], shards: int, tolerance: float, group_tolerance: float) -> DataFrame:
     """(doc_id, size, text_crc32, shard) from rows with scaled dimensions, checksum and tie."""
     rows = rows.withColumn("shard", F.lit(0))
@@ -157,13 +174,14 @@ def shard(
 ) -> DataFrame:
     """One row per document: size, checksum, shard, and a gapless slot in the shard.
 
-    Dimensions are the logarithm of the size and the text's checksum, and any
-    further columns: `numbers` as they are, `labels` by their checksum.
+    Dimensions are those of `text_dimensions` and any further columns: `numbers`
+    as they are, `labels` by their checksum.  The text's checksum orders what is
+    equal in the dimension that a node splits.
     """
     text = F.col(text_column).cast("string")
     size = (F.coalesce(F.octet_length(text), F.lit(0)) + OVERHEAD).cast("long")
     dims = {f"_n_{c}": F.col(c).cast("double") for c in numbers}
-    dims |= {"_size": F.log2(size), "_check": F.crc32(F.coalesce(text, F.lit("")).cast("binary")).cast("double")}
+    dims |= text_dimensions(text, size)
     dims |= {f"_l_{c}": F.crc32(F.col(c).cast("string").cast("binary")).cast("double") for c in labels}
     flat = kept(
         docs.select(
