@@ -8,6 +8,8 @@ from ..operators import regrid as R
 from ..operators import select as S
 from ..operators import windows as W
 from ..operators.scale import range_rank
+from ..plans import medians as M
+from ..session import shared_folder, stored
 from .registry import query
 from .text import day, r3, r7
 
@@ -105,6 +107,26 @@ def ag_4(t):
     return _reduce(t, "nanmedian")
 
 
+@query(
+    "ag_3_stored",
+    """
+SELECT target_id, count(*) AS n_rows, count(value) AS n_present,
+       CASE WHEN count(value) = count(*) THEN round(median(value), 7) END AS median, round(median(value), 7) AS nanmedian
+FROM inside GROUP BY target_id
+""",
+)
+def ag_3_stored(t):
+    """Both medians of the sources in reach, kept for a growing archive: the second update scans the last day's granules only."""
+    granules, store, keys = shared_folder(t.spark, "mapped"), shared_folder(t.spark, "median-store"), {"target_id": "long"}
+    mapped = R.radius_pairs(t.obs(), t.target(), carry=["value", "ts"]).withColumn("day", F.to_date("ts"))
+    mapped = stored(mapped.select("target_id", "value", "day"), "mapped-sources")
+    last = mapped.agg(F.max("day")).first()[0]
+    for some in (F.col("day") < last, F.col("day") == last):
+        mapped.filter(some).repartition("day").write.mode("append").partitionBy("day").parquet(granules)
+        M.update(t.spark, store, granules, keys)
+    return M.current(t.spark, store, granules, keys).withColumns({c: r7(c) for c in ("median", "nanmedian")})
+
+
 @query(
     "ag_5",
     f"""
