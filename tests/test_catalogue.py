@@ -82,3 +82,20 @@ def test_candidates_grow_with_hits(spark):
     plan = C.search_requests(held, requests)._jdf.queryExecution().executedPlan().toString()
     assert "NestedLoop" not in plan and "Cartesian" not in plan
     assert C.search_requests(held, requests.withColumn("query", F.lit("none of them"))).count() == 0
+
+
+def test_an_index_holds_each_text_once(spark):
+    """Postings grow with the texts and with the runs asked for, not with the rows that repeat a text."""
+    rows = spark.range(2000).selectExpr(
+        "'native,daily' AS section", "concat('DS_', id % 20) AS short_name", "CAST(NULL AS string) AS note", "concat('v', id % 40) AS var",
+        "'words of all rows' AS description", "0 AS source_order", "id AS entry_id",
+    )
+    once = rows.dropDuplicates(["short_name", "var"])
+    assert C.index(rows).postings.count() == C.index(once).postings.count() < 2000
+    requests = spark.createDataFrame([("native,daily", "v39"), ("native,all", "V3"), ("latlon,daily", "v39"), ("native,daily", "")], "key string, query string")
+    asked = C.index(rows, requests)
+    assert {r["gram"] for r in asked.postings.collect()} == {"v39", "v3", ""}
+    found = {tuple(r) for r in C.search_requests(rows, requests).collect()}
+    assert found == {tuple(r) for r in C.search_requests(C.index(once), requests).collect()}
+    by_v3 = {("native,all", "V3", f"DS_{k % 20}") for k in range(40) if f"v{k}".startswith("v3")}
+    assert found == {("native,daily", "v39", "DS_19")} | by_v3 | {("native,daily", "", f"DS_{k}") for k in range(20)}
