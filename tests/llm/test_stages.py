@@ -87,6 +87,35 @@ def test_classes_of_a_crowd(spark, weighted):
     assert got == want
 
 
+def linked_classes(pairs):
+    least = {x: x for pair in pairs for x in pair}
+    while changed := [(a, b) for a, b in pairs if least[a] != least[b]]:
+        for a, b in changed:
+            least[a] = least[b] = min(least[a], least[b])
+    return least
+
+
+def test_links_of_a_crowd_are_looked_up_once(spark, monkeypatch):
+    """Rows that the joins on an end of a link make; a round over all links, both ways, would make some 2 x links each."""
+    pick, pairs = random.Random(3), set()
+    for member in range(100, 1100):
+        pairs |= {(member, pick.choice(range(10 * (member % 3), 10 * (member % 3) + 10))) for _ in range(6)}
+    pairs |= {(k, k + 1) for k in range(2000, 2040)} | {(3000 + (7 * k) % 41, 3000 + (7 * k + 7) % 41) for k in range(40)} | {(5000, k) for k in range(4000, 4050)}
+    made, join = [], type(spark.range(0)).join
+
+    def counted(left, right, on=None, how=None):
+        out = join(left, right, on, how)
+        if on in ("a", "b"):
+            made.append(out.count())
+        return out
+
+    monkeypatch.setattr(type(spark.range(0)), "join", counted)
+    frame = spark.createDataFrame(sorted(pairs), "a long, b long")
+    got = {r["doc_id"]: r["class_id"] for r in op5.components(frame).collect()}
+    assert got == linked_classes(pairs) and sum(made) < 2.2 * len(pairs)
+    assert op5.components(frame.limit(0)).count() == 0
+
+
 @pytest.mark.parametrize("weighted", [False, True])
 def test_rare_meetings_lose_no_link_and_make_few_pairs(spark, weighted):
     texts = crowd()

@@ -282,29 +282,52 @@ def _rare_meetings(rows: DataFrame, shingle: int, threshold: float, weighted: bo
 
 
 def components(links: DataFrame) -> DataFrame:
-    """(doc_id, class_id) of all linked documents: least labels spread over links, halving paths as they go."""
-    both = links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    both = kept(both.distinct(), "links")
-    labels = kept(
-        both.groupBy("a").agg(F.least("a", F.min("b")).alias("class_id")).withColumnRenamed("a", "doc_id"), "labels"
-    )
+    """(doc_id, class_id) of all linked documents, the least id of each connected component.
+
+    Every document points to the least one beside it, pointers are followed to their roots, and links between roots are all
+    that the next round sees.  A root that takes in none of its neighbours is one no longer after another round, so two
+    rounds at least halve what is left, and the links of a crowd around few centres are gone after the first.
+    """
+    edges = kept(links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "links")
+    labels = None
     while True:
-        near = (
-            both.join(labels.select(F.col("doc_id").alias("b"), F.col("class_id").alias("near")), "b")
-            .groupBy(F.col("a").alias("doc_id"))
-            .agg(F.min("near").alias("near"))
-        )
-        over = labels.select(F.col("doc_id").alias("class_id"), F.col("class_id").alias("over"))
-        new = kept(
-            labels.join(near, "doc_id")
-            .join(over, "class_id", "left")
-            .select("doc_id", F.least("class_id", "near", "over").alias("class_id"), F.col("class_id").alias("before")),
-            "labels",
-        )
+        ends = edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        roots = _roots(ends.groupBy("a").agg(F.least("a", F.min("b")).alias("class_id")).withColumnRenamed("a", "doc_id"))
+        labels = roots if labels is None else kept(_over(labels, roots), "labels")
+        edges = kept(_between(edges, roots), "links")
+        if not edges.limit(1).count():
+            return labels
+
+
+def _roots(pointers: DataFrame) -> DataFrame:
+    """Where the pointers (doc_id, class_id) end; each step doubles the way."""
+    roots = kept(pointers, "labels")
+    while True:
+        up = roots.select(F.col("doc_id").alias("class_id"), F.col("class_id").alias("up"))
+        new = roots.join(up, "class_id").select("doc_id", F.col("up").alias("class_id"), F.col("class_id").alias("before"))
+        new = kept(new, "labels")
         changed = new.filter("class_id < before").limit(1).count()
-        labels = new.drop("before")
+        roots = new.drop("before")
         if not changed:
-            return labels
+            return roots
+
+
+def _over(labels: DataFrame, roots: DataFrame) -> DataFrame:
+    """The labels with classes replaced by their roots; a class without one stays."""
+    up = roots.select(F.col("doc_id").alias("class_id"), F.col("class_id").alias("root"))
+    return labels.join(up, "class_id", "left").select("doc_id", F.coalesce("root", "class_id").alias("class_id"))
+
+
+def _between(links: DataFrame, labels: DataFrame) -> DataFrame:
+    """The links (a, b) of different classes, as pairs of classes; a document without a label is its own."""
+    a, b = F.coalesce("_a", "a"), F.coalesce("_b", "b")
+    return (
+        links.join(labels.select(F.col("doc_id").alias("a"), F.col("class_id").alias("_a")), "a", "left")
+        .join(labels.select(F.col("doc_id").alias("b"), F.col("class_id").alias("_b")), "b", "left")
+        .filter(a != b)
+        .select(F.least(a, b).alias("a"), F.greatest(a, b).alias("b"))
+        .distinct()
+    )
 
 
 def near_classes(
@@ -379,14 +402,15 @@ def near_classes(
         .distinct()
     )
     more = kept(_verify(kept(across, "cross-pairs"), texts, shingle, threshold, weighted), "cross-links")
-    if more.limit(1).count():
-        classes = components(links.unionByName(more))
-
     named = scanned.select("doc_id", "words_sha").join(firsts, "words_sha", "left")
     named = named.withColumn("copy_of", F.coalesce("copy_of", "doc_id"))
-    return named.join(classes.withColumnRenamed("doc_id", "copy_of"), "copy_of", "left").select(
-        "doc_id", "copy_of", F.when(F.col("doc_id").isNotNull(), F.coalesce("class_id", "copy_of")).alias("class_id")
-    )
+    named = named.join(classes.withColumnRenamed("doc_id", "copy_of"), "copy_of", "left")
+    named = named.withColumn("class_id", F.coalesce("class_id", "copy_of"))
+    if more.limit(1).count():
+        merged = components(_between(more, classes)).withColumnRenamed("class_id", "root")
+        named = named.join(merged.withColumnRenamed("doc_id", "class_id"), "class_id", "left")
+        named = named.withColumn("class_id", F.coalesce("root", "class_id"))
+    return named.select("doc_id", "copy_of", F.when(F.col("doc_id").isNotNull(), F.col("class_id")).alias("class_id"))
 
 
 def one_of_each(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", **options) -> DataFrame:
