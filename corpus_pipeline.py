@@ -1,7 +1,9 @@
 """A training corpus from raw documents: five operators, each stage written before the next one reads it.
 
 Stages take (spark, docs, sf_dir) and work on all rows that their predecessor
-kept.  All but the last return the columns of documents:
+kept.  Each sets the session's defaults itself, so that one that is called alone
+hands Python batches of the same few MB.  All but the last return the columns of
+documents:
 
 * toxicity: fitted on the labelled rows among the documents; those above its rejection cut go, which is set to lose at
   most op8's MAX_LOSS of clean documents
@@ -21,6 +23,9 @@ doc_id and text may have any name; n_chars follows the text if there is one.
 
 from __future__ import annotations
 
+import functools
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -29,15 +34,28 @@ from tidelattice.llm.queries import vocabulary
 from tidelattice.llm.stages import kept, table
 from tidelattice.session import apply_defaults
 
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+
+
+def with_defaults(stage: Stage) -> Stage:
+    @functools.wraps(stage)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        return stage(apply_defaults(spark), docs, sf_dir)
+
+    return run_stage
+
 
+@with_defaults
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return op8_toxicity.accept(docs, op8_toxicity.fit(docs, table(spark, sf_dir, "labels")))
 
 
+@with_defaults
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return op5_neardedup.one_of_each(docs)
 
 
+@with_defaults
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     cut = op2_substrings.without_repeats(docs)
     if "n_chars" not in docs.columns:
@@ -45,10 +63,12 @@ def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return cut.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(docs.columns)
 
 
+@with_defaults
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return op1_decontamination.without_contaminated(docs, table(spark, sf_dir, "benchmark"))
 
 
+@with_defaults
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return op9_packing.pack(docs, vocabulary())
 

@@ -4,6 +4,7 @@ import random
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -186,3 +187,30 @@ def test_stage_without_n_chars(spark):
     assert stage(spark, docs, SMALL).columns == docs.columns
     with_chars = stage(spark, docs.withColumn("n_chars", F.length("text").cast("long")), SMALL)
     assert with_chars.filter("n_chars <> length(text)").count() == 0
+
+
+@pytest.mark.parametrize("name", [name for name, _ in corpus_pipeline.STAGES])
+def test_a_stage_alone_bounds_the_batches_for_python(spark, monkeypatch, tmp_path, name):
+    """On a session that nobody set up, a batch of Spark's default would hold all of these rows."""
+    limit, set_at, plain = "spark.sql.execution.arrow.maxBytesPerBatch", [], type(spark.range(0)).mapInArrow
+    before = spark.conf.get(limit)
+    docs = spark.range(0, 24, 1, 1).selectExpr("id AS doc_id", "repeat(concat('word', id, ' '), 100000) AS text")
+    few = spark.createDataFrame([(k, f"text {k} of few words and a bad{k % 2} one") for k in range(40)], "doc_id long, text string")
+    few.selectExpr("doc_id", "CAST(doc_id % 2 AS int) AS toxic").write.parquet(f"{tmp_path}/labels.parquet")
+    few.limit(1).selectExpr("doc_id AS item_id", "text").write.parquet(f"{tmp_path}/benchmark.parquet")
+
+    def sizes(batches):
+        yield pa.RecordBatch.from_pydict({"largest": [max(b.nbytes for b in batches)]})
+
+    def noted(frame, *args, **options):
+        set_at.append(spark.conf.get(limit))
+        return plain(frame, *args, **options)
+
+    try:
+        spark.conf.unset(limit)
+        monkeypatch.setattr(type(docs), "mapInArrow", noted)
+        dict(corpus_pipeline.STAGES)[name](spark, few, str(tmp_path))
+        assert set_at and set(set_at) == {str(4 << 20)}
+        assert plain(docs, sizes, "largest long").first()["largest"] < 8 << 20
+    finally:
+        spark.conf.set(limit, before)
